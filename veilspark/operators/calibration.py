@@ -15,6 +15,7 @@ a; rho is the largest value whose delta stays within the target.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from veilspark.operators.scan import global_row_number
 
-_ITER = 1000  # bisection steps; both searches converge long before
+_ITER = 1000  # upper bound on bisection steps; both searches stop once the bracket no longer shrinks
 
 
 def _delta_given_rho(rho: np.ndarray, eps: np.ndarray) -> np.ndarray:
@@ -37,6 +38,8 @@ def _delta_given_rho(rho: np.ndarray, eps: np.ndarray) -> np.ndarray:
     a_hi = (eps + 1.0) / (2.0 * safe) + 2.0
     for _ in range(_ITER):
         a = (a_lo + a_hi) / 2.0
+        if np.all((a == a_lo) | (a == a_hi)):
+            break  # floating-point fixed point: further steps change nothing
         slope = (2.0 * a - 1.0) * safe - eps + np.log1p(-1.0 / a)
         below = slope < 0
         a_lo = np.where(below, a, a_lo)
@@ -47,6 +50,7 @@ def _delta_given_rho(rho: np.ndarray, eps: np.ndarray) -> np.ndarray:
 
 
 def cdp_rho_array(eps: Sequence[float], delta: Sequence[float]) -> np.ndarray:
+    """Largest rho per (eps, delta) pair whose converted delta stays within the target."""
     eps = np.asarray(eps, dtype=float)
     delta = np.asarray(delta, dtype=float)
     if np.any(eps < 0) or np.any(delta <= 0):
@@ -55,12 +59,15 @@ def cdp_rho_array(eps: Sequence[float], delta: Sequence[float]) -> np.ndarray:
     hi = eps + 1.0
     for _ in range(_ITER):
         mid = (lo + hi) / 2.0
+        if np.all((mid == lo) | (mid == hi)):
+            break
         ok = _delta_given_rho(mid, eps) <= delta
         lo = np.where(ok, mid, lo)
         hi = np.where(ok, hi, mid)
     return np.where(delta >= 1.0, 0.0, lo)
 
 
+@functools.lru_cache(maxsize=256)
 def cdp_rho(eps: float, delta: float) -> float:
     return float(cdp_rho_array([eps], [delta])[0])
 

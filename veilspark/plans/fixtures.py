@@ -39,3 +39,60 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVENT_ORDER = ["ts", "event_id"]
+
+
+# ------------------------------------------------------------------ headers
+
+BOUNDING_STAGE = "user-contribution-bounding"
+SPLIT_STAGE = "sentence-split"
+
+
+def event_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with a ``header`` JSON: producer = event_type, seq = event_id, user = user_id.
+
+    Defects planted by ``event_id % 7``: 1 wrong destination, 2 no producer_id,
+    3 seq as numeric text, 4 seq as non-numeric text, 5 no source, 6 empty header.
+    """
+    from veilspark.functions.headers import encode_header
+
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    src, dst = F.lit(SPLIT_STAGE), F.lit(BOUNDING_STAGE)
+    prod, seq, user = F.col("event_type"), F.col("event_id"), F.col("user_id")
+    full = {"source": src, "destination": dst, "producer_id": prod, "seq": seq, "user_id": user}
+
+    def without(k):
+        return {a: b for a, b in full.items() if a != k}
+
+    m = F.col("event_id") % 7
+    header = (
+        F.when(m == 1, encode_header({**full, "destination": F.lit("word-count")}))
+        .when(m == 2, encode_header(without("producer_id")))
+        .when(m == 3, encode_header({**full, "seq": seq.cast("string")}))
+        .when(m == 4, encode_header({**full, "seq": F.concat(F.lit("x"), seq.cast("string"))}))
+        .when(m == 5, encode_header(without("source")))
+        .when(m == 6, F.lit(""))
+        .otherwise(encode_header(full))
+    )
+    return ev.withColumn("header", header).withColumn("stage", dst)
+
+
+# ------------------------------------------------------------------ records
+
+def doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as records (id, category=source, rating=n_chars % 5, body=text) in a VARIANT ``record``.
+
+    body is blanked where doc_id % 13 = 0, rating is absent where doc_id % 17 = 0
+    and category is JSON null where doc_id % 19 = 0 (present, so kept).
+    """
+    d = table(spark, sf_dir, "documents")
+    body = F.when(F.col("doc_id") % 13 == 0, F.lit("")).otherwise(F.col("text"))
+    cat = F.when(F.col("doc_id") % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("source"))
+    with_rating = F.struct(F.col("doc_id").alias("id"), cat.alias("category"),
+                           (F.col("n_chars") % 5).cast("double").alias("rating"), body.alias("body"))
+    no_rating = F.struct(F.col("doc_id").alias("id"), cat.alias("category"), body.alias("body"))
+    opts = {"ignoreNullFields": "false"}
+    js = F.when(F.col("doc_id") % 17 == 0, F.to_json(no_rating, opts)).otherwise(F.to_json(with_rating, opts))
+    return d.select("doc_id", F.parse_json(js).alias("record"))
+
+
+FIXTURE_KEY_HEX = "000102030405060708090a0b0c0d0e0f101112131415161718191a1b1c1d1e1f"  # test-only key
