@@ -34,27 +34,31 @@ def has_key(record: Column, key: str) -> Column:
 def clean_records(df: DataFrame, record: str = "record", required: Sequence[str] = REQUIRED_KEYS) -> DataFrame:
     """D1 over a VARIANT column: typed (id, category, rating, body, user_id) of the valid records.
 
-    A record that is not a JSON object is an error (the reference aborts).
+    All fields and presence flags are extracted in one projection, then
+    filtered.  A record that is not a JSON object is an error (the reference
+    aborts).
     """
     r = F.col(record)
-    is_obj = F.schema_of_variant(r).startswith("OBJECT")
-    checked = df.withColumn(
-        record, F.when(is_obj, r).otherwise(F.raise_error(F.lit("record is not a JSON object")))
+    others = [c for c in df.columns if c != record]
+    flags = [has_key(r, k).alias(f"__has_{k}") for k in required]
+    extracted = df.select(
+        *others,
+        F.schema_of_variant(r).startswith("OBJECT").alias("__obj"),
+        *flags,
+        F.try_variant_get(r, "$.id", "long").alias("id"),
+        F.try_variant_get(r, "$.category", "string").alias("category"),
+        F.try_variant_get(r, "$.rating", "double").alias("rating"),
+        F.try_variant_get(r, "$.body", "string").alias("body"),
+        F.try_variant_get(r, "$.user_id", "long").alias("user_id"),
     )
-    present = None
-    for k in required:
-        cond = has_key(F.col(record), k)
-        present = cond if present is None else (present & cond)
-    body = F.try_variant_get(F.col(record), "$.body", "string")
-    keep = present & body.isNotNull() & ~body.rlike(BLANK_PATTERN)
-    return checked.filter(keep).select(
-        *[c for c in df.columns if c != record],
-        F.try_variant_get(F.col(record), "$.id", "long").alias("id"),
-        F.try_variant_get(F.col(record), "$.category", "string").alias("category"),
-        F.try_variant_get(F.col(record), "$.rating", "double").alias("rating"),
-        body.alias("body"),
-        F.try_variant_get(F.col(record), "$.user_id", "long").alias("user_id"),
+    checked = extracted.withColumn(
+        "__obj", F.when(F.col("__obj"), F.lit(True)).otherwise(F.raise_error(F.lit("record is not a JSON object")))
     )
+    keep = F.col("__obj") & F.col("body").isNotNull() & ~F.col("body").rlike(BLANK_PATTERN)
+    for k in required:
+        keep = keep & F.col(f"__has_{k}")
+    out = checked.filter(keep)
+    return out.select(*others, "id", "category", "rating", "body", "user_id")
 
 
 def dense_ids(df: DataFrame, order_by: Sequence, name: str = "id") -> DataFrame:

@@ -67,7 +67,9 @@ def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: in
         .withColumn(BLK, F.shiftright(F.col("__mid"), _LOCAL_BITS))
         .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit(mask)))
     )
-    sizes = s.groupBy(BLK).agg(F.count(F.lit(1)).alias("__n"))
+    # counting a struct of every column keeps the column set of both branches equal, so
+    # the range exchange (and everything upstream of it) runs once and is reused
+    sizes = s.groupBy(BLK).agg(F.count(F.struct(*[F.col(c) for c in df.columns])).alias("__n"))
     # <= n rows: a single-partition window here is bounded by the block count.
     offsets = sizes.select(
         BLK,

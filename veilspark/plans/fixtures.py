@@ -90,9 +90,8 @@ def doc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_rating = F.struct(F.col("doc_id").alias("id"), cat.alias("category"),
                            (F.col("n_chars") % 5).cast("double").alias("rating"), body.alias("body"))
     no_rating = F.struct(F.col("doc_id").alias("id"), cat.alias("category"), body.alias("body"))
-    opts = {"ignoreNullFields": "false"}
-    js = F.when(F.col("doc_id") % 17 == 0, F.to_json(no_rating, opts)).otherwise(F.to_json(with_rating, opts))
-    return d.select("doc_id", F.parse_json(js).alias("record"))
+    rec = F.when(F.col("doc_id") % 17 == 0, F.to_variant_object(no_rating)).otherwise(F.to_variant_object(with_rating))
+    return d.select("doc_id", rec.alias("record"))
 
 
 FIXTURE_KEY_HEX = "000102030405060708090a0b0c0d0e0f101112131415161718191a1b1c1d1e1f"  # test-only key
