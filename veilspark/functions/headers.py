@@ -52,23 +52,39 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_header(header) -> Column:
-    """struct<source, destination, producer_id, seq long, attrs map<string,string>, user_id long>."""
+def _header_map(header) -> Column:
     h = _col(header)
     blank = h.isNull() | (F.length(h) == F.lit(0))
-    fields = F.from_json(h, _HEADER_SCHEMA)
-    attrs = F.map_filter(
-        F.from_json(h, "map<string,string>"), lambda k, v: ~k.isin(*RESERVED)
-    )
+    return F.when(blank, F.lit(None).cast("map<string,string>")).otherwise(F.from_json(h, "map<string,string>"))
+
+
+def _fields_from_map(m: Column) -> Column:
     out = F.struct(
-        fields["source"].alias("source"),
-        fields["destination"].alias("destination"),
-        fields["producer_id"].alias("producer_id"),
-        fields["seq"].try_cast("long").alias("seq"),
-        attrs.alias("attrs"),
-        attrs["user_id"].try_cast("long").alias("user_id"),
+        m["source"].alias("source"),
+        m["destination"].alias("destination"),
+        m["producer_id"].alias("producer_id"),
+        m["seq"].try_cast("long").alias("seq"),
+        F.map_filter(m, lambda k, v: ~k.isin(*RESERVED)).alias("attrs"),
+        m["user_id"].try_cast("long").alias("user_id"),
     )
-    return F.when(blank, F.lit(None).cast(HEADER_TYPE)).otherwise(out)
+    return F.when(m.isNull(), F.lit(None).cast(HEADER_TYPE)).otherwise(out)
+
+
+def parse_header(header) -> Column:
+    """struct<source, destination, producer_id, seq long, attrs map<string,string>, user_id long>.
+
+    One JSON parse into ``map<string,string>`` (a repeated key keeps its last
+    value; numbers arrive as their text), then plain map lookups.  Empty,
+    null or malformed headers give null.  Prefer ``with_header`` on a
+    DataFrame: it keeps the parse in its own projection so it runs once per row.
+    """
+    return _fields_from_map(_header_map(header))
+
+
+def with_header(df: DataFrame, header: str = "header", name: str = "h") -> DataFrame:
+    """Add the parsed header struct ``name`` (see ``parse_header``), parsing each header once."""
+    m = "__header_map"
+    return df.withColumn(m, _header_map(header)).withColumn(name, _fields_from_map(F.col(m))).drop(m)
 
 
 HEADER_TYPE = ("struct<source:string,destination:string,producer_id:string,seq:bigint,"

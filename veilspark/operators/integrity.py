@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilspark.functions.headers import COMPONENTS, routes_table
-from veilspark.operators.scan import keyed_row_number, keyed_running_max_before
+from veilspark.operators.scan import BLK, keyed_row_number, keyed_running_max_before
 from veilspark.params import DEFAULT_REPLAY_WINDOW
 
 REASON = "reason"
@@ -85,29 +85,32 @@ def replay_filter(df: DataFrame, producer: str, seq: str, order_by: Sequence, wi
     window, so the running max over *all* earlier non-negative seqs is the
     window's max-seen.
 
-    The running max is a blocked scan (``keyed_running_max_before``); the
-    first-arrival test is a (producer, seq) aggregate of the earliest arrival
-    (partial aggregation absorbs a hot pair) joined back.  Rows with a null
-    producer or seq get ``missing_producer`` / ``missing_seq``.
+    Plan: the running max is a blocked scan (``keyed_running_max_before``:
+    range shuffle, then hash on (producer, block)).  First arrival = the row
+    is first of its (producer, block, seq) - a window on the same exchange -
+    and its block is the earliest block holding (producer, seq) - a
+    ``min(block)`` aggregate with a partial phase, joined back.  Rows with a
+    null producer or seq get ``missing_producer`` / ``missing_seq``.
     """
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    arrival = F.struct(*order_cols)
     valid = df.filter(F.col(producer).isNotNull() & F.col(seq).isNotNull())
     invalid = df.filter(F.col(producer).isNull() | F.col(seq).isNull()).withColumn(
         name, F.when(F.col(producer).isNull(), F.lit("missing_producer")).otherwise(F.lit("missing_seq"))
     )
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    first_in_block = F.row_number().over(Window.partitionBy(producer, BLK, seq).orderBy(*order_cols)) == F.lit(1)
     scanned = keyed_running_max_before(
-        valid, [producer], order_by, F.when(F.col(seq) >= 0, F.col(seq)), name="__prev_max", n=n_blocks
-    ).drop("__blk")
-    firsts = valid.groupBy(producer, seq).agg(F.min(arrival).alias("__first"))
-    j = scanned.join(firsts, [producer, seq], "left")
+        valid, [producer], order_by, F.when(F.col(seq) >= 0, F.col(seq)), name="__prev_max", n=n_blocks,
+        extra_local={"__first_in_blk": first_in_block},
+    )
+    first_blk = scanned.groupBy(producer, seq).agg(F.min(BLK).alias("__first_blk"))
+    j = scanned.join(first_blk, [producer, seq], "left")
     s = F.col(seq)
     reason = (
         F.when(s < 0, F.lit("negative_seq"))
         .when(F.col("__prev_max").isNotNull() & (s <= F.col("__prev_max") - F.lit(int(window))), F.lit("stale_seq"))
-        .when(arrival != F.col("__first"), F.lit("replayed_seq"))
+        .when(~(F.col("__first_in_blk") & (F.col(BLK) == F.col("__first_blk"))), F.lit("replayed_seq"))
     )
-    out = j.withColumn(name, reason).drop("__prev_max", "__first")
+    out = j.withColumn(name, reason).drop("__prev_max", "__first_in_blk", "__first_blk", BLK)
     return out.unionByName(invalid)
 
 

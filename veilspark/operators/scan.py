@@ -94,13 +94,16 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence, nam
     """1-based position of each row within its key, in ``order_by`` order.
 
     Same result as ``row_number() over (partition by keys order by order_by)``
-    but a hot key is split over many blocks (see module doc).
+    but a hot key is split over many blocks (see module doc).  The big side
+    is shuffled twice (range, then hash on (key, block)); the per-block
+    summary is aggregated from the windowed rows, whose partitioning already
+    clusters (key, block), so it adds no exchange of the big side.
     """
     keys = list(keys)
     b = with_blocks(df, keys, order_by, n)
     local = Window.partitionBy(*keys, BLK).orderBy(*_cols(order_by))
     scanned = b.withColumn("__lrn", F.row_number().over(local).cast("long"))
-    summary = b.groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("__cnt"))
+    summary = scanned.groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("__cnt"))
     carry = summary.select(
         *keys, BLK,
         F.coalesce(
@@ -119,9 +122,9 @@ def keyed_running_max_before(df: DataFrame, keys: Sequence[str], order_by: Seque
                              extra_local: dict[str, Column] | None = None) -> DataFrame:
     """Max of ``value`` over the *earlier* rows of the same key (null if none).
 
-    ``extra_local`` adds window columns computed in the same (key, block)
-    partitioning (keys may extend the partition keys, e.g. (key, seq)).
-    Returns the rows with ``name`` and ``BLK`` kept for follow-up joins.
+    ``extra_local`` adds window columns whose partition keys extend
+    (keys, block) - e.g. (key, block, seq) - so they ride on the same
+    exchange.  The result keeps the ``BLK`` column for follow-up joins.
     """
     keys = list(keys)
     b = with_blocks(df, keys, order_by, n).withColumn("__v", value)
@@ -129,7 +132,7 @@ def keyed_running_max_before(df: DataFrame, keys: Sequence[str], order_by: Seque
     scanned = b.withColumn("__lmax", F.max("__v").over(local))
     for k, c in (extra_local or {}).items():
         scanned = scanned.withColumn(k, c)
-    summary = b.groupBy(*keys, BLK).agg(F.max("__v").alias("__bmax"))
+    summary = scanned.groupBy(*keys, BLK).agg(F.max("__v").alias("__bmax"))
     carry = summary.select(
         *keys, BLK,
         F.max("__bmax").over(Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))

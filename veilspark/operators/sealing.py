@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.functions.headers import NONCE_BYTES, encode_header, parse_header
+from veilspark.functions.headers import NONCE_BYTES, encode_header, with_header
 from veilspark.session import redact
 
 KEY_BYTES = 32  # 256-bit keys only
@@ -95,7 +95,7 @@ def reroute(df: DataFrame, key: bytes | str, stage: str, downstream: str, produc
 
     k = _key_col(df, key)
     base = [c for c in df.columns if c not in ("header", "nonce", "ciphertext")]
-    checked = df.withColumn("__h", parse_header(F.col("header"))).withColumn(
+    checked = with_header(df, "header", "__h").withColumn(
         "__pt", unseal(F.col("nonce"), F.col("ciphertext"), F.col("header"), k)
     )
     reason = (

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veilspark.functions.headers import COMPONENTS, parse_header
+from veilspark.functions.headers import COMPONENTS, with_header
 from veilspark.functions.text import extract_body
 from veilspark.operators import integrity
 from veilspark.plans import fixtures as fx
@@ -20,8 +20,7 @@ REPLAY_WINDOW = 128
 
 
 def _parsed_headers(spark, sf_dir):
-    h = fx.event_headers(spark, sf_dir)
-    return h.withColumn("h", parse_header("header"))
+    return with_header(fx.event_headers(spark, sf_dir), "header", "h")
 
 
 # ------------------------------------------------------------------ P1
