@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilspark.operators.scan import keyed_row_number
 from veilspark.params import PrivacyParams
 
 
@@ -27,6 +28,10 @@ def _orders(order_by: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
+def _group_limit_threshold(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
 def bound_contributions(df: DataFrame, user: str, order_by: Sequence, max_contributions: int,
                         rank_col: str | None = None) -> DataFrame:
     """Keep the first ``max_contributions`` rows of each user in arrival order.
@@ -36,13 +41,22 @@ def bound_contributions(df: DataFrame, user: str, order_by: Sequence, max_contri
     it exactly.  Rows with a null user are kept (B2): they take a separate
     branch joined back with ``unionByName`` so the bounded branch keeps the
     WindowGroupLimit rewrite.
+
+    Spark plans the map-side partial limit only for limits up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, the rank comes
+    from the blocked, skew-safe ``keyed_row_number`` instead of one window
+    partition per user.
     """
     if max_contributions < 1:
         raise ValueError("max_contributions must be at least 1")
-    w = Window.partitionBy(user).orderBy(*_orders(order_by))
     rn = "__rn"
     with_user = df.filter(F.col(user).isNotNull())
-    kept = with_user.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) <= F.lit(max_contributions))
+    if max_contributions <= _group_limit_threshold(df):
+        w = Window.partitionBy(user).orderBy(*_orders(order_by))
+        ranked = with_user.withColumn(rn, F.row_number().over(w))
+    else:
+        ranked = keyed_row_number(with_user, [user], order_by, rn)
+    kept = ranked.filter(F.col(rn) <= F.lit(max_contributions))
     no_user = df.filter(F.col(user).isNull())
     if rank_col:
         kept = kept.withColumn(rank_col, F.col(rn).cast("long"))

@@ -173,12 +173,11 @@ def apply_policy(df: DataFrame, reason: str = REASON, policy: str = "quarantine"
     Both fail closed: rows with a reason are never in the accepted output.
     """
     if policy == "fail":
-        checked = df.withColumn(
-            reason,
-            F.when(F.col(reason).isNotNull(), F.raise_error(F.concat(F.lit("integrity violation: "), F.col(reason))))
-            .otherwise(F.col(reason)),
-        )
-        return checked.drop(reason)
+        # the guard is a filter condition, so column pruning can never drop the check
+        guard = F.when(
+            F.col(reason).isNotNull(), F.raise_error(F.concat(F.lit("integrity violation: "), F.col(reason)))
+        ).otherwise(F.lit(True))
+        return df.filter(guard).drop(reason)
     if policy != "quarantine":
         raise ValueError("policy must be 'fail' or 'quarantine'")
     return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.operators.prep import dense_ids
+from veilspark.session import work_path
 
 
 def draw_index(seed: str, draw: Column, n: int) -> Column:
@@ -37,9 +38,13 @@ def paced_sample_stream(spark: SparkSession, table: DataFrame, order_by: Sequenc
                         rows_per_second: int = 4) -> DataFrame:
     """Streaming twin: a rate source paces the draws (4 rows/s by default).
 
-    Stream-static equi-join of each draw to the indexed table.
+    Stream-static equi-join of each draw to the indexed table.  The index is
+    written once to the shared work folder and read back, so every micro-batch
+    joins the same snapshot instead of recomputing the numbering.
     """
-    indexed = dense_ids(table, order_by, "__idx")
+    path = work_path(spark, "sample-index")
+    dense_ids(table, order_by, "__idx").write.parquet(path)
+    indexed = spark.read.parquet(path)
     n = indexed.count()
     if n == 0:
         raise ValueError("cannot sample from an empty table")
