@@ -171,6 +171,9 @@ def apply_policy(df: DataFrame, reason: str = REASON, policy: str = "quarantine"
     """I8: ``fail`` raises on the first violating row; ``quarantine`` returns (accepted, quarantined).
 
     Both fail closed: rows with a reason are never in the accepted output.
+    ``flag`` returns the rows with their reason column (null = accepted), for
+    callers that write one table and split it later instead of evaluating
+    the checks once per output.
     """
     if policy == "fail":
         # the guard is a filter condition, so column pruning can never drop the check
@@ -178,8 +181,10 @@ def apply_policy(df: DataFrame, reason: str = REASON, policy: str = "quarantine"
             F.col(reason).isNotNull(), F.raise_error(F.concat(F.lit("integrity violation: "), F.col(reason)))
         ).otherwise(F.lit(True))
         return df.filter(guard).drop(reason)
+    if policy == "flag":
+        return df
     if policy != "quarantine":
-        raise ValueError("policy must be 'fail' or 'quarantine'")
+        raise ValueError("policy must be 'fail', 'quarantine' or 'flag'")
     return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())
 
 

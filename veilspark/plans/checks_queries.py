@@ -14,7 +14,7 @@ from veilspark.operators import integrity
 from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES
 from veilspark.plans.queries import register
-from veilspark.session import table
+from veilspark.session import materialize, table
 
 REPLAY_WINDOW = 128
 
@@ -255,16 +255,15 @@ FROM g""".strip()
 
 @register("quarantine_counts")
 def q_quarantine_counts(spark, sf_dir):
-    """Verified stage (route, required fields, replay) in quarantine mode; rows per outcome."""
-    h = _parsed_headers(spark, sf_dir).select(
+    """Verified stage (route, required fields, replay), flagged once; rows per outcome."""
+    h = materialize(_parsed_headers(spark, sf_dir).select(
         "event_id", "ts", "stage", F.col("h.source").alias("src"), F.col("h.destination").alias("dst"),
         F.col("h.producer_id").alias("producer_id"), F.col("h.seq").alias("seq"),
-    )
-    accepted, quarantined = integrity.verified_stage(h, "stage", "src", "dst", "producer_id", "seq", fx.EVENT_ORDER,
-                                                     policy="quarantine", window=REPLAY_WINDOW)
-    a = accepted.groupBy().agg(F.count(F.lit(1)).cast("long").alias("cnt")).select(F.lit("accepted").alias("reason"), "cnt")
-    q = quarantined.groupBy("reason").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
-    return q.unionByName(a)
+    ))  # the replay window reads its input twice: parse the headers once
+    flagged = integrity.verified_stage(h, "stage", "src", "dst", "producer_id", "seq", fx.EVENT_ORDER,
+                                       policy="flag", window=REPLAY_WINDOW)
+    outcome = F.coalesce(F.col("reason"), F.lit("accepted"))
+    return flagged.groupBy(outcome.alias("reason")).agg(F.count(F.lit(1)).cast("long").alias("cnt"))
 
 
 ORACLES["quarantine_counts"] = f"""

@@ -17,7 +17,7 @@ from veilspark.operators import prep, release, sealing
 from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES
 from veilspark.plans.queries import _releases, register, WIDE_NOISE
-from veilspark.session import table, work_path
+from veilspark.session import materialize, table, work_path
 from veilspark.sources.records import read_records, read_records_variant, write_records
 from veilspark.sources.sample import sample_with_replacement
 from veilspark.sources.sealed import read_sealed, write_sealed
@@ -66,8 +66,8 @@ ORACLES["clean_records"] = f"WITH {CLEAN_SQL} SELECT id, category, rating, body
 @register("dense_ids")
 def q_dense_ids(spark, sf_dir):
     """Cleaned records renumbered 0..n-1 in input (id) order."""
-    c = _cleaned(spark, sf_dir).select(F.col("id").alias("doc_id"), "category")
-    return prep.dense_ids(c, ["doc_id"], "id").select("id", "doc_id")
+    c = materialize(_cleaned(spark, sf_dir).select(F.col("id").alias("doc_id"), "category"))
+    return prep.dense_ids(c, ["doc_id"], "id").select("id", "doc_id")  # two passes over the cleaned table
 
 
 ORACLES["dense_ids"] = f"""

@@ -79,3 +79,15 @@ def redact(spark: SparkSession, *secrets: str) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """Read one driver table (parquet) from ``sf_dir``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and continue from the written copy.
+
+    For inputs of two-pass operators (blocked scans, global numbering) whose
+    upstream is expensive: both passes then read the written table instead of
+    recomputing the upstream.  Never use it on plaintext that must not rest
+    on disk.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
