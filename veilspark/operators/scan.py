@@ -35,15 +35,36 @@ def _cols(cs: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def num_blocks(spark: SparkSession, n: int | None = None) -> int:
+BLOCK_BYTES_CONF = "veilspark.scan.blockBytes"
+_DEFAULT_BLOCK_BYTES = 128 * 1024 * 1024
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (file sizes scaled through the plan), if available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect): fall back to the conf
+        return None
+
+
+def num_blocks(spark: SparkSession, n: int | None = None, df: DataFrame | None = None) -> int:
+    """Blocks for a scan: ``n`` if given, else enough for ~128 MB each (``veilspark.scan.blockBytes``),
+    never fewer than ``spark.sql.shuffle.partitions`` nor more than the broadcastable bound."""
     if n:
         return int(n)
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    base = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    if df is None:
+        return base
+    size = _estimated_bytes(df)
+    if size is None:
+        return base
+    target = int(spark.conf.get(BLOCK_BYTES_CONF, str(_DEFAULT_BLOCK_BYTES)))
+    return int(min(_MAX_BROADCAST_BLOCKS, max(base, -(-size // max(1, target)))))
 
 
 def with_blocks(df: DataFrame, keys: Sequence[str], order_by: Sequence, n: int | None = None) -> DataFrame:
     """Range-partition on (keys, order) and tag each row with its block id."""
-    n = num_blocks(df.sparkSession, n)
+    n = num_blocks(df.sparkSession, n, df)
     return df.repartitionByRange(n, *_cols(list(keys) + list(order_by))).withColumn(
         BLK, F.spark_partition_id().cast("long")
     )
@@ -56,7 +77,7 @@ def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: in
     ``monotonically_increasing_id`` after a sort within the partition, offsets
     from a broadcast table with one row per block (size fixed by ``n``).
     """
-    n = num_blocks(df.sparkSession, n)
+    n = num_blocks(df.sparkSession, n, df)
     if n > _MAX_BROADCAST_BLOCKS:
         raise ValueError("too many blocks for a broadcast offset table")
     mask = (1 << _LOCAL_BITS) - 1

@@ -47,11 +47,18 @@ class StreamRelease:
         return ordered_release(latest_per_key(rel, k), k)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return  # an empty trigger does not advance the index
         spark = batch.sparkSession
         k = self.key
-        counts = batch.groupBy(k).agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+        counts = batch.groupBy(k).agg(F.count(F.lit(1)).cast("long").alias("cnt")).persist()
+        try:
+            if counts.isEmpty():
+                return  # an empty trigger does not advance the index
+            self._write(spark, counts, batch_id)
+        finally:
+            counts.unpersist()
+
+    def _write(self, spark, counts: DataFrame, batch_id: int) -> None:
+        k = self.key
         (counts.withColumn("trigger_id", F.lit(int(batch_id)).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("trigger_id").parquet(self.counts_path))

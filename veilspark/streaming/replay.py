@@ -47,14 +47,22 @@ class ReplayBatch:
     def _carry(self, spark: SparkSession, batch_id: int) -> DataFrame:
         empty = spark.createDataFrame([], _CARRY_SCHEMA)
         if batch_id == 0:
-            return empty
-        try:
-            st = spark.read.schema(_CARRY_SCHEMA).parquet(self.state_path)
-            return st.filter(F.col("batch_id") == F.lit(batch_id - 1))
-        except Exception:  # nothing written yet (all earlier batches empty)
-            return empty
+            return empty.drop("batch_id")
+        part = f"{self.state_path.rstrip('/')}/batch_id={batch_id - 1}"
+        try:  # read only the previous batch's carry, not a listing of every batch so far
+            return spark.read.schema(_CARRY_SCHEMA.replace(", batch_id long", "")).parquet(part)
+        except Exception:  # noqa: BLE001 - the previous batch wrote nothing
+            return empty.drop("batch_id")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        # the batch is read by several passes (blocks, summaries, next carry); keep it for this call only
+        batch.persist()
+        try:
+            self._run(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         p, s, w = self.producer, self.seq, self.window
         carry = self._carry(spark, batch_id)
