@@ -48,11 +48,18 @@ def tokenize(df: DataFrame, text: str = "text", keep: list[str] | None = None,
     """One row per token: ``keep`` columns, ``pos`` (0-based) and ``word``.
 
     ``keep`` carries the user and arrival columns through (user propagation,
-    P5); the text column itself is dropped right after splitting.
+    P5); the text column itself is dropped right after splitting.  Same
+    tokens as ``tokens()``, computed without higher-order functions so the
+    lower-casing stays in whole-stage codegen: runs of ``\\W`` merge, so an
+    empty piece can only come from a leading or trailing delimiter; a leading
+    one shifts every position by one.
     """
     keep = list(keep or [c for c in df.columns if c != text])
-    return df.select(*keep, F.posexplode(tokens(text)).alias(pos, word)).select(
-        *keep, F.col(pos).cast("long").alias(pos), word
+    body = F.coalesce(F.col(text), F.lit(""))
+    lead = F.when(body.rlike(r"^\W"), F.lit(1)).otherwise(F.lit(0))
+    pieces = df.select(*keep, lead.alias("__lead"), F.posexplode(F.split(body, TOKEN_SPLIT_PATTERN)).alias("__p", "__w"))
+    return pieces.filter(F.col("__w") != F.lit("")).select(
+        *keep, (F.col("__p") - F.col("__lead")).cast("long").alias(pos), F.lower(F.col("__w")).alias(word)
     )
 
 
