@@ -40,11 +40,19 @@ _DEFAULT_BLOCK_BYTES = 128 * 1024 * 1024
 
 
 def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes scaled through the plan), if available."""
+    """Catalyst's size estimate of ``df`` (file sizes scaled through the plan), if it has one.
+
+    Plans without statistics (micro-batches, RDD-backed relations) report
+    ``spark.sql.defaultSizeInBytes``; that is "unknown", not a size.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect): fall back to the conf
         return None
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
+    if size >= unknown or size >= 2 ** 60:
+        return None
+    return size
 
 
 def num_blocks(spark: SparkSession, n: int | None = None, df: DataFrame | None = None) -> int:

@@ -55,14 +55,6 @@ class ReplayBatch:
             return empty.drop("batch_id")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        # the batch is read by several passes (blocks, summaries, next carry); keep it for this call only
-        batch.persist()
-        try:
-            self._run(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         p, s, w = self.producer, self.seq, self.window
         carry = self._carry(spark, batch_id)
@@ -76,9 +68,16 @@ class ReplayBatch:
         combined = seeds.unionByName(batch.withColumn(_MARK, F.lit(True)))
         # seeds (mark = false) precede every batch row; batch rows follow ``order_by``
         order = [F.col(_MARK)] + [F.col(c) for c in self.order_by]
-        checked = replay_filter(combined, p, s, order, w, "reason")
-        _write_partition(checked.filter(F.col(_MARK)).drop(_MARK), self.out_path, batch_id)
+        # the flagged batch feeds both the output and the next carry: compute it once for this call
+        checked = replay_filter(combined, p, s, order, w, "reason").persist()
+        try:
+            _write_partition(checked.filter(F.col(_MARK)).drop(_MARK), self.out_path, batch_id)
+            self._write_carry(checked, batch_id)
+        finally:
+            checked.unpersist()
 
+    def _write_carry(self, checked: DataFrame, batch_id: int) -> None:
+        p, s, w = self.producer, self.seq, self.window
         # next carry from the seeds plus this batch's accepted rows, bounded to the window
         acc = checked.filter(~F.col(_MARK) | F.col("reason").isNull()).select(p, s)
         top = acc.groupBy(p).agg(F.max(s).alias("max_seen"))
