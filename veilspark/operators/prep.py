@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilspark.functions.noise import std_gaussian
-from veilspark.operators.scan import global_row_number
+from veilspark.operators.scan import global_row_number, global_running_sum
 
 # The keys a record must carry, and the blank-body rule
 REQUIRED_KEYS = ("body", "category", "id", "rating")
@@ -76,14 +76,13 @@ def _keyed_uniform48(*parts: Column) -> Column:
 def user_weights(spark: SparkSession, num_users: int, seed: str) -> DataFrame:
     """(user_id, weight, lo, hi): integer lognormal(0, 1) weights and their cumulative ranges.
 
-    ``num_users`` rows: the cumulative window runs over a table whose size is
-    the parameter itself.
+    The cumulative sum is a blocked running sum, so no single task holds all users.
     """
     users = spark.range(1, num_users + 1).select(F.col("id").alias("user_id"))
     z = std_gaussian(F.sha2(F.concat_ws("|", F.lit(seed), F.lit("weight"), F.col("user_id").cast("string")), 256))
     w = users.withColumn("weight", F.floor(F.exp(z) * F.lit(WEIGHT_SCALE)).cast("long"))
-    cum = Window.orderBy("user_id").rowsBetween(Window.unboundedPreceding, 0)
-    return w.withColumn("hi", F.sum("weight").over(cum)).withColumn("lo", F.col("hi") - F.col("weight"))
+    cum = global_running_sum(w, ["user_id"], "weight", "hi")
+    return cum.withColumn("hi", F.col("hi").cast("long")).withColumn("lo", F.col("hi") - F.col("weight"))
 
 
 def assign_weighted_users(df: DataFrame, record_id: str, num_users: int, seed: str,

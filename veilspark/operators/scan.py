@@ -112,6 +112,31 @@ def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: in
     return out.drop("__mid", "__loc", "__off", BLK)
 
 
+def global_running_sum(df: DataFrame, order_by: Sequence, value: str, name: str = "running",
+                       n: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` in the total order ``order_by``, without a global window.
+
+    Range blocks, a running sum inside each block (window on the block), and
+    block offsets from a broadcast table with one row per block.
+    """
+    n = num_blocks(df.sparkSession, n, df)
+    if n > _MAX_BROADCAST_BLOCKS:
+        raise ValueError("too many blocks for a broadcast offset table")
+    b = df.repartitionByRange(n, *_cols(order_by)).withColumn(BLK, F.spark_partition_id().cast("long"))
+    local = Window.partitionBy(BLK).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, 0)
+    scanned = b.withColumn("__lsum", F.sum(value).over(local))
+    totals = scanned.groupBy(BLK).agg(F.sum(value).alias("__bsum"))
+    offsets = totals.select(  # <= n rows
+        BLK,
+        F.coalesce(F.sum("__bsum").over(Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__off"),
+    )
+    out = scanned.join(F.broadcast(offsets), BLK, "left").withColumn(
+        name, F.col("__lsum") + F.coalesce(F.col("__off"), F.lit(0))
+    )
+    return out.drop("__lsum", "__off", BLK)
+
+
 def dense_index(df: DataFrame, col: str, name: str = "i", n: int | None = None) -> DataFrame:
     """0-based dense rank of the distinct non-null values of ``col`` (ascending)."""
     d = df.select(col).filter(F.col(col).isNotNull()).distinct()

@@ -49,10 +49,42 @@ class _FirstArrivals(StatefulProcessor):
         pass
 
 
+def _partial_first_arrivals(user: str, order_by: Sequence[str], limit: int):
+    """mapInPandas body: per input partition, each user's first ``limit`` rows by arrival.
+
+    The global first ``limit`` arrivals of a user are always among the union
+    of the per-partition first ``limit``, so this map-side cut is exact; it
+    caps what one user ships to the stateful task at limit x partitions rows.
+    Memory: at most ``limit`` candidate rows per user seen in the partition.
+    """
+    order = list(order_by)
+
+    def run(batches):
+        best: pd.DataFrame | None = None
+        for chunk in batches:
+            if chunk.empty:
+                continue
+            cand = chunk if best is None else pd.concat([best, chunk], ignore_index=True)
+            cand = cand.sort_values([user, *order], kind="mergesort")
+            best = cand.groupby(user, sort=False, dropna=False).head(limit)
+        if best is not None and not best.empty:
+            yield best.reset_index(drop=True)
+
+    return run
+
+
 def stream_bound_contributions(stream: DataFrame, user: str, order_by: Sequence[str], limit: int) -> DataFrame:
-    """Keep each user's first ``limit`` contributions (arrival = ``order_by``) across micro-batches."""
+    """Keep each user's first ``limit`` contributions (arrival = ``order_by``) across micro-batches.
+
+    Plan: map-side partial limit per input partition (``mapInPandas``), then
+    the keyed state (one counter per user) finishes the bound exactly.  The
+    counter then counts the rows that reached it: below C that is every row
+    of the user (nothing was cut), and once the user has C or more rows it is
+    at least C - so "room left" is exact either way.
+    """
     schema = stream.schema
     with_user = stream.filter(F.col(user).isNotNull())
+    with_user = with_user.mapInPandas(_partial_first_arrivals(user, order_by, limit), schema)
     kept = with_user.groupBy(user).transformWithStateInPandas(
         statefulProcessor=_FirstArrivals(limit, order_by),
         outputStructType=schema,
