@@ -19,10 +19,19 @@ from pyspark.sql import functions as F
 from veilspark.operators.scan import dense_index
 
 
+def epoch_seconds(ts_col: str):
+    """Whole seconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ (or TIMESTAMP) column.
+
+    Built from calendar fields, so it does not depend on the session time zone.
+    """
+    c = F.col(ts_col)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * F.lit(86400) + F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60) + F.second(c)
+
+
 def flush_bucket(ts_col: str, seconds: int):
     """Fixed processing-time-like bucket of a timestamp column (batch twin of a flush tick)."""
-    secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
-    return F.floor(secs / F.lit(int(seconds))).cast("long")
+    return F.floor(epoch_seconds(ts_col) / F.lit(int(seconds))).cast("long")
 
 
 def partial_counts(df: DataFrame, key: str, bucket: str, cnt: str = "cnt") -> DataFrame:

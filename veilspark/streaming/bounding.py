@@ -22,6 +22,16 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from pyspark.sql.types import LongType, StructField, StructType
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def require_rocksdb_state(spark) -> None:
+    """transformWithState needs the RocksDB state store; select it when the session has another."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, "") != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 class _FirstArrivals(StatefulProcessor):
     def __init__(self, limit: int, order_cols: Sequence[str]):
         self.limit = int(limit)
@@ -82,6 +92,7 @@ def stream_bound_contributions(stream: DataFrame, user: str, order_by: Sequence[
     of the user (nothing was cut), and once the user has C or more rows it is
     at least C - so "room left" is exact either way.
     """
+    require_rocksdb_state(stream.sparkSession)
     schema = stream.schema
     with_user = stream.filter(F.col(user).isNotNull())
     with_user = with_user.mapInPandas(_partial_first_arrivals(user, order_by, limit), schema)
