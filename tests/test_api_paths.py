@@ -67,3 +67,17 @@ def test_snapshot_banner_and_lines(spark):
     lines = [r["line"] for r in snapshot_lines(rel, "word").orderBy("line_no").collect()]
     assert lines[0].startswith("=== ") and lines[0].endswith(" ===")
     assert lines[1:] == ["b:7", "a:0"]
+
+
+def test_route_check_reasons(spark):
+    from veilspark.operators.integrity import route_check
+
+    b, s = "user-contribution-bounding", "sentence-split"
+    rows = [(b, s, b), (b, None, b), (b, "x", b), (b, s, None), (b, s, "word-count"), ("nope", "a", "b"),
+            (None, "a", "b"), ("_MAPPER", "_DATASET", "_MAPPER")]
+    df = spark.createDataFrame(rows, "st string, s string, d string")
+    got = [r["r"] for r in route_check(df, "st", "s", "d", "r").collect()]
+    assert got == [None, "missing_source", "source_mismatch", "missing_destination", "destination_mismatch",
+                   "unknown_stage", "unknown_stage", None]
+    plan = route_check(df, "st", "s", "d", "r")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

@@ -5,7 +5,7 @@ per row; ``apply_policy`` then either fails the job on the first violation
 (``fail``) or splits accepted rows from a quarantine table (``quarantine``).
 Both fail closed: a row with a reason never reaches the stage body.
 
-I1  route check against the static routes table (broadcast, 5 rows).
+I1  route check against the static routes table (a literal map lookup).
 I2  all sealed values of one row agree on (producer_id, seq).
 I3  producer_id and seq are required; I6 an exact expected seq.
 I4  replay window per producer (size 128): reject negative, too old
@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilspark.functions.headers import COMPONENTS, routes_table
+from veilspark.functions.headers import COMPONENTS, EXPECTED_INPUT
 from veilspark.operators.scan import BLK, keyed_row_number, keyed_running_max_before
 from veilspark.params import DEFAULT_REPLAY_WINDOW
 
@@ -34,24 +34,33 @@ def _first_reason(*reasons: Column) -> Column:
 
 # ------------------------------------------------------------------ I1
 
+def _literal_map(pairs: dict) -> Column:
+    items = []
+    for k, v in pairs.items():
+        items += [F.lit(k), F.lit(v).cast("string")]
+    return F.create_map(*items)
+
+
 def route_check(df: DataFrame, stage: str, source: str, destination: str, name: str = "route_reason") -> DataFrame:
     """Compare header source/destination with the expectations of ``stage``.
 
-    The routes table has one row per stage (a static size), so it is
-    broadcast; a stage without an entry fails as ``unknown_stage``.
+    The routes are a fixed table of five stages, so the lookup is a literal
+    map in the projection (no join, no shuffle, no broadcast); a stage
+    without an entry fails as ``unknown_stage``.
     """
-    routes = F.broadcast(routes_table(df.sparkSession).withColumnRenamed("stage", "__stage"))
-    j = df.join(routes, F.col(stage) == F.col("__stage"), "left")
-    src, dst = F.col(source), F.col(destination)
-    exp_src, exp_dst = F.col("expected_source"), F.col("expected_destination")
+    exp_src_map = _literal_map({k: v[0] for k, v in EXPECTED_INPUT.items()})
+    exp_dst_map = _literal_map({k: v[1] for k, v in EXPECTED_INPUT.items()})
+    st, src, dst = F.col(stage), F.col(source), F.col(destination)
+    known = F.coalesce(F.map_contains_key(exp_dst_map, st), F.lit(False))
+    exp_src, exp_dst = F.element_at(exp_src_map, st), F.element_at(exp_dst_map, st)
     reason = (
-        F.when(F.col("__stage").isNull(), F.lit("unknown_stage"))
+        F.when(~known, F.lit("unknown_stage"))
         .when(exp_src.isNotNull() & src.isNull(), F.lit("missing_source"))
         .when(exp_src.isNotNull() & (src != exp_src), F.lit("source_mismatch"))
         .when(dst.isNull(), F.lit("missing_destination"))
         .when(dst != exp_dst, F.lit("destination_mismatch"))
     )
-    return j.withColumn(name, reason).drop("__stage", "expected_source", "expected_destination")
+    return df.withColumn(name, reason)
 
 
 # ------------------------------------------------------------------ I2, I3, I6
