@@ -66,8 +66,3 @@ def tokenize(df: DataFrame, text: str = "text", keep: list[str] | None = None,
 def unicode_word_count(text) -> Column:
     """Number of Unicode word runs in ``text``; null counts as 0 (a long)."""
     return F.regexp_count(F.coalesce(_col(text), F.lit("")), F.lit(UNICODE_WORD_PATTERN)).cast("long")
-
-
-def token_count(text) -> Column:
-    """Number of tokens ``tokens(text)`` yields (a long)."""
-    return F.size(tokens(text)).cast("long")

@@ -11,7 +11,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from veilspark.functions.headers import DOWNSTREAM, encode_header, envelope_reason
+from veilspark.functions.headers import DOWNSTREAM, envelope_reason
 from veilspark.functions.noise import TWO48
 from veilspark.operators import prep, release, sealing
 from veilspark.plans import fixtures as fx
