@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from models import SequentialReplay, sequential_bound
@@ -106,3 +107,25 @@ def test_bounding_plans_window_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("u"), F.col("id").alias("a"))
     plan = bound_contributions(df, "u", ["a"], 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_numbering_survives_separate_plans(spark, tmp_path):
+    """Written through a parquet sink the two passes are planned separately: blocks must still agree.
+
+    200k rows make the range partitioner sample (not read everything), which
+    is when two independent range exchanges would cut different blocks.
+    """
+    n = 200_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("v"), (F.col("id") % 3).cast("string").alias("k"))
+    out = str(tmp_path / "g")
+    global_row_number(df, ["v"], "rn", n=8).write.parquet(out)
+    back = spark.read.parquet(out)
+    st = back.agg(F.countDistinct("rn").alias("d"), F.min("rn").alias("lo"), F.max("rn").alias("hi"),
+                  F.sum(F.when(F.col("rn") != F.col("v") + 1, 1).otherwise(0)).alias("bad")).first()
+    assert (st["d"], st["lo"], st["hi"], st["bad"]) == (n, 1, n, 0)
+    out2 = str(tmp_path / "k")
+    keyed_row_number(df, ["k"], ["v"], "rn", n=8).write.parquet(out2)
+    k = spark.read.parquet(out2)
+    bad = k.select("k", "v", "rn").withColumn(
+        "want", F.row_number().over(Window.partitionBy("k").orderBy("v"))).filter(F.col("rn") != F.col("want"))
+    assert bad.count() == 0

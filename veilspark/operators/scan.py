@@ -17,6 +17,13 @@ helpers here cut the arrival order into *blocks* instead:
 
 For the key-less case (global positions) the carry table has one row per block,
 a bound known at plan time, so it is broadcast.
+
+The blocked rows are *pinned* (a reliable checkpoint in the shared folder)
+before the two passes read them.  Spark's range partitioner samples with a
+seed tied to the RDD, so two separately planned range exchanges over the
+same data may cut different blocks; reading one written copy makes the
+blocks of both passes identical whatever Catalyst prunes or reuses, and the
+copy survives executor loss.
 """
 
 from __future__ import annotations
@@ -70,18 +77,24 @@ def num_blocks(spark: SparkSession, n: int | None = None, df: DataFrame | None =
     return int(min(_MAX_BROADCAST_BLOCKS, max(base, -(-size // max(1, target)))))
 
 
+def _pin(df: DataFrame) -> DataFrame:
+    from veilspark.session import materialize
+
+    return materialize(df)
+
+
 def with_blocks(df: DataFrame, keys: Sequence[str], order_by: Sequence, n: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order) and tag each row with its block id."""
+    """Range-partition on (keys, order), tag each row with its block id, and pin the result."""
     n = num_blocks(df.sparkSession, n, df)
-    return df.repartitionByRange(n, *_cols(list(keys) + list(order_by))).withColumn(
+    return _pin(df.repartitionByRange(n, *_cols(list(keys) + list(order_by))).withColumn(
         BLK, F.spark_partition_id().cast("long")
-    )
+    ))
 
 
 def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: int | None = None) -> DataFrame:
     """1-based position of each row in the total order ``order_by``.
 
-    One range shuffle; positions inside a block come from
+    One range shuffle into pinned blocks; positions inside a block come from
     ``monotonically_increasing_id`` after a sort within the partition, offsets
     from a broadcast table with one row per block (size fixed by ``n``).
     """
@@ -89,16 +102,14 @@ def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: in
     if n > _MAX_BROADCAST_BLOCKS:
         raise ValueError("too many blocks for a broadcast offset table")
     mask = (1 << _LOCAL_BITS) - 1
-    s = (
+    s = _pin(
         df.repartitionByRange(n, *_cols(order_by))
         .sortWithinPartitions(*_cols(order_by))
         .withColumn("__mid", F.monotonically_increasing_id())
         .withColumn(BLK, F.shiftright(F.col("__mid"), _LOCAL_BITS))
         .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit(mask)))
     )
-    # counting a struct of every column keeps the column set of both branches equal, so
-    # the range exchange (and everything upstream of it) runs once and is reused
-    sizes = s.groupBy(BLK).agg(F.count(F.struct(*[F.col(c) for c in df.columns])).alias("__n"))
+    sizes = s.groupBy(BLK).agg(F.count(F.lit(1)).alias("__n"))
     # <= n rows: a single-partition window here is bounded by the block count.
     offsets = sizes.select(
         BLK,
@@ -122,7 +133,7 @@ def global_running_sum(df: DataFrame, order_by: Sequence, value: str, name: str
     n = num_blocks(df.sparkSession, n, df)
     if n > _MAX_BROADCAST_BLOCKS:
         raise ValueError("too many blocks for a broadcast offset table")
-    b = df.repartitionByRange(n, *_cols(order_by)).withColumn(BLK, F.spark_partition_id().cast("long"))
+    b = _pin(df.repartitionByRange(n, *_cols(order_by)).withColumn(BLK, F.spark_partition_id().cast("long")))
     local = Window.partitionBy(BLK).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, 0)
     scanned = b.withColumn("__lsum", F.sum(value).over(local))
     totals = scanned.groupBy(BLK).agg(F.sum(value).alias("__bsum"))

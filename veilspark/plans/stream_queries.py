@@ -1,36 +1,40 @@
-"""Streaming queries (W1, W3, W4): run to completion with an availableNow trigger.
+"""Streaming queries (W1, W3, W4) over three micro-batches.
 
-The events table is streamed as it is (one parquet source); the results are
-read back from the sinks.  Their oracles are the batch twins: the stream
-must give exactly the batch answer.
+The events table is streamed in arrival order (ts, event_id), a third of it
+per micro-batch (``arrival_stream``); each batch is one availableNow run
+resumed from the checkpoint.  Results are read back from the sinks.  W1 and
+W4 must equal their batch twins exactly; W3's triggers are the micro-batches.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from veilspark.plans import fixtures as fx
-from veilspark.plans.oracles import BOUNDED_EVENTS, ORACLES, _releases_cte
+from veilspark.plans.oracles import ORACLES, _releases_cte
 from veilspark.plans.queries import EVENT_STREAM, PARAMS, TEST_SECRET, register
-from veilspark.session import work_path
+from veilspark.session import table, work_path
 from veilspark.streaming.bounding import stream_bound_contributions
 from veilspark.streaming.release import StreamRelease
 from veilspark.streaming.replay import ReplayBatch
-from veilspark.streaming.run import parquet_stream, run_foreach_batch, run_to_parquet
+from veilspark.streaming.run import arrival_stream, run_foreach_batch, run_to_parquet
+
 
+BATCHES = 3
 
-def _events_stream(spark, sf_dir):
-    return parquet_stream(spark, os.path.join(sf_dir, "events.parquet"))
+
+def _events_stream(spark, sf_dir, cols):
+    ev = table(spark, sf_dir, "events").select(*cols)
+    n = ev.count()
+    return arrival_stream(spark, ev, fx.EVENT_ORDER, -(-n // BATCHES))
 
 
 @register("stream_bounding")
 def q_stream_bounding(spark, sf_dir):
     """Per-user bounding as keyed streaming state (first 50 arrivals per user)."""
-    ev = _events_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
     kept = stream_bound_contributions(ev, "user_id", fx.EVENT_ORDER, PARAMS.max_contributions)
-    out = run_to_parquet(kept, "stream-bounding")
+    out = run_to_parquet(kept, "stream-bounding", runs=runs)
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
@@ -43,12 +47,12 @@ WHERE rn <= {PARAMS.max_contributions} OR user_id IS NULL""".strip()
 @register("stream_replay")
 def q_stream_replay(spark, sf_dir):
     """Replay window per producer over micro-batches, with a bounded carried state."""
-    ev = _events_stream(spark, sf_dir).select(
-        "event_id", "ts", F.col("event_type").alias("producer_id"),
-        (F.col("event_id") - (F.col("event_id") * 37) % 200).alias("seq"),
-    )
+    ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "event_type"])
+    ev = ev.select("event_id", "ts", F.col("event_type").alias("producer_id"),
+                   (F.col("event_id") - (F.col("event_id") * 37) % 200).alias("seq"))
     out, state = work_path(spark, "stream-replay-out"), work_path(spark, "stream-replay-state")
-    run_foreach_batch(ev, ReplayBatch(out, state, "producer_id", "seq", fx.EVENT_ORDER, 128), "stream-replay")
+    run_foreach_batch(ev, ReplayBatch(out, state, "producer_id", "seq", fx.EVENT_ORDER, 128), "stream-replay",
+                      runs=runs)
     return spark.read.parquet(out).select("event_id", "producer_id", "seq", F.col("reason").alias("replay_reason"))
 
 
@@ -57,12 +61,12 @@ ORACLES["stream_replay"] = ORACLES["replay_filter"]
 
 @register("stream_release")
 def q_stream_release(spark, sf_dir):
-    """W1 -> W3/W5: bounded stream, one trigger per non-empty micro-batch, latest ranked snapshot."""
-    ev = _events_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    """W1 -> W3/W5: bounded stream, one trigger per non-empty micro-batch (three), latest ranked snapshot."""
+    ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
     kept = stream_bound_contributions(ev, "user_id", fx.EVENT_ORDER, PARAMS.max_contributions)
     counts, snaps = work_path(spark, "stream-release-counts"), work_path(spark, "stream-release-snaps")
     run_foreach_batch(kept, StreamRelease(counts, snaps, "event_type", PARAMS, TEST_SECRET, EVENT_STREAM),
-                      "stream-release")
+                      "stream-release", runs=runs)
     s = spark.read.parquet(snaps)
     last = s.agg(F.max("snapshot_id")).first()[0]
     return s.filter(F.col("snapshot_id") == F.lit(last)).select(
@@ -70,11 +74,17 @@ def q_stream_release(spark, sf_dir):
 
 
 ORACLES["stream_release"] = f"""
-WITH {BOUNDED_EVENTS},
-one AS (SELECT event_type, count(*) AS cnt, CAST(0 AS BIGINT) AS i FROM bev GROUP BY event_type),
-{_releases_cte(PARAMS, 'srel', 'one')},
-kept AS (SELECT event_type, noisy, CAST(floor(noisy + 0.5) AS BIGINT) AS released FROM srel
+WITH arr AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS arrival,
+                    (SELECT count(*) FROM events) AS n FROM events),
+bev AS (SELECT * FROM (SELECT *, CAST(floor(arrival / ((n + {BATCHES} - 1) // {BATCHES})) AS BIGINT) AS batch,
+                              row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM arr)
+        WHERE rn <= {PARAMS.max_contributions} OR user_id IS NULL),
+cnt AS (SELECT batch, event_type, count(*) AS cnt FROM bev GROUP BY ALL),
+trig AS (SELECT batch, CAST(row_number() OVER (ORDER BY batch) - 1 AS BIGINT) AS i FROM (SELECT DISTINCT batch FROM cnt)),
+idx AS (SELECT c.event_type, c.cnt, t.i FROM cnt c JOIN trig t USING (batch)),
+{_releases_cte(PARAMS, 'srel', 'idx')},
+latest AS (SELECT event_type, arg_max(noisy, i) AS noisy FROM srel GROUP BY event_type),
+kept AS (SELECT event_type, noisy, CAST(floor(noisy + 0.5) AS BIGINT) AS released FROM latest
          WHERE floor(noisy + 0.5) >= 0)
 SELECT CAST(row_number() OVER (ORDER BY noisy DESC, event_type ASC) AS BIGINT) AS rank, event_type, released
 FROM kept""".strip()
-
