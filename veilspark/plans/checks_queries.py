@@ -14,7 +14,7 @@ from veilspark.operators import integrity
 from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES
 from veilspark.plans.queries import register
-from veilspark.session import table
+from veilspark.session import materialize, table
 
 REPLAY_WINDOW = 128
 
@@ -256,10 +256,11 @@ FROM g""".strip()
 @register("quarantine_counts")
 def q_quarantine_counts(spark, sf_dir):
     """Verified stage (route, required fields, replay), flagged once; rows per outcome."""
-    h = _parsed_headers(spark, sf_dir).select(
+    # the verified stage reads its input in several passes: parse the headers once into a written table
+    h = materialize(_parsed_headers(spark, sf_dir).select(
         "event_id", "ts", "stage", F.col("h.source").alias("src"), F.col("h.destination").alias("dst"),
         F.col("h.producer_id").alias("producer_id"), F.col("h.seq").alias("seq"),
-    )
+    ), "parsed-headers")
     flagged = integrity.verified_stage(h, "stage", "src", "dst", "producer_id", "seq", fx.EVENT_ORDER,
                                        policy="flag", window=REPLAY_WINDOW)
     outcome = F.coalesce(F.col("reason"), F.lit("accepted"))

@@ -81,13 +81,16 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and continue from the written copy.
+def materialize(df, name: str = "pinned"):
+    """Cut lineage: write ``df`` as parquet under the shared folder and continue from the written table.
 
-    For inputs of two-pass operators (blocked scans, global numbering) whose
-    upstream is expensive: both passes then read the written table instead of
-    recomputing the upstream.  Never use it on plaintext that must not rest
+    One job computes ``df`` once and writes it (an eager ``Dataset.checkpoint``
+    would compute it twice without a cache: once to count, once to save).
+    Later passes read the same files, so they agree with each other, and the
+    table outlives any executor.  Never use it on plaintext that must not rest
     on disk.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
