@@ -84,3 +84,20 @@ def test_hmac_matches_python(spark):
     long_key = "k" * 100
     got = spark.range(1).select(hmac_sha256_hex(F.lit("m"), hmac_pads(long_key)).alias("h")).first()["h"]
     assert got == hmac.new(long_key.encode(), b"m", hashlib.sha256).hexdigest()
+
+
+def test_secrets_are_redacted_from_plans(spark):
+    import contextlib
+    import io
+
+    from veilspark.operators.sealing import seal
+
+    df = spark.createDataFrame([("a", 0, 1.0)], "key string, i long, cnt double")
+    out = dp_prefix_sums(df, "key", PrivacyParams(horizon=4), "plan-secret", STREAM, sigma=1.0)
+    key = "cd" * 32
+    sealed = seal(spark.createDataFrame([("x",)], "p string"), F.col("p"), F.lit("{}"), key)
+    for frame, secrets in ((out, hmac_pads("plan-secret")), (sealed, (key,))):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            frame.explain("extended")
+        assert not any(s in buf.getvalue() for s in secrets)
