@@ -218,3 +218,42 @@ SELECT g.c AS max_contributions, count(*) AS users, count(CASE WHEN n > g.c THEN
        CAST(sum(n) AS BIGINT) AS total, CAST(sum(greatest(n - g.c, 0)) AS BIGINT) AS dropped,
        round(CAST(sum(greatest(n - g.c, 0)) AS DOUBLE) / CAST(sum(n) AS DOUBLE), 9) AS loss
 FROM totals, g GROUP BY g.c""")
+
+
+def _bisect_sql(steps: int, lo: str, hi: str, go_up: str, acc: str) -> str:
+    """``list_reduce`` bisection: keep the upper half while ``go_up`` (in terms of ``m``) holds."""
+    m = f"(({acc}.lo + {acc}.hi) / 2.0)"
+    cond = go_up.replace("{m}", m)
+    return (f"list_reduce(range({steps}), lambda {acc}, step: CASE WHEN {cond} "
+            f"THEN {{'lo': {m}, 'hi': {acc}.hi}} ELSE {{'lo': {acc}.lo, 'hi': {m}}} END, "
+            f"{{'lo': CAST({lo} AS DOUBLE), 'hi': CAST({hi} AS DOUBLE)}})")
+
+
+def _rho_sql(eps: str, delta: str, steps: int = 100) -> str:
+    """rho-zCDP for (eps, delta): outer bisection on rho, inner bisection on the Renyi order.
+
+    100 halvings per search pass the floating-point fixed point for these
+    ranges; DuckDB has no log1p, so ln(1 - 1/a) stands in (it moves the root
+    by ~1e-13 relative, far below the rounding of the compared columns).
+    """
+    r = "((o.lo + o.hi) / 2.0)"
+    inner = _bisect_sql(steps, "1.01", f"({eps} + 1.0) / (2.0 * {r}) + 2.0",
+                        f"((2.0 * {{m}} - 1.0) * {r} - {eps} + ln(1.0 - 1.0 / {{m}})) < 0", "b")
+    a = f"(({inner}).lo + ({inner}).hi) / 2.0"
+    delta_at_r = f"least(1.0, exp(({a} - 1.0) * ({a} * {r} - {eps}) + ({a}) * ln(1.0 - 1.0 / ({a}))) / ({a} - 1.0))"
+    outer = _bisect_sql(steps, "0.0", f"{eps} + 1.0", f"({delta_at_r}) <= {delta}", "o")
+    return f"({outer}).lo"
+
+
+_eps_list = ", ".join(f"CAST({e!r} AS DOUBLE)" for e in Q.GRID_EPSILONS)
+_reg("calibration_sweep", f"""
+WITH {DOC_TOTALS}, g AS (SELECT CAST(unnest([{_bounds}]) AS BIGINT) AS c),
+loss AS (SELECT g.c AS max_contributions,
+                CAST(sum(greatest(n - g.c, 0)) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS loss
+         FROM totals, g GROUP BY g.c),
+grid AS (SELECT max_contributions, loss, unnest([{_eps_list}]) AS epsilon,
+                CAST({Q.PARAMS.delta!r} AS DOUBLE) AS delta, CAST({Q.PARAMS.horizon} AS BIGINT) AS horizon FROM loss),
+r AS (SELECT *, {_rho_sql('epsilon', 'delta')} AS rho FROM grid)
+SELECT max_contributions, round(loss, 9) AS loss, epsilon, delta, horizon, round(rho, 9) AS rho,
+       round(sqrt(ln(horizon) * power(max_contributions * {Q.PARAMS.per_record_clamp!r}, 2) / (2.0 * rho)), 6) AS sigma
+FROM r""")

@@ -265,5 +265,6 @@ def q_bounding_loss(spark, sf_dir):
 def q_calibration_sweep(spark, sf_dir):
     """(C, eps) grid -> rho and sigma, next to each C's data loss."""
     loss = calibration.bounding_loss(_doc_totals(spark, sf_dir), GRID_BOUNDS)
-    return calibration.calibration_sweep(loss, GRID_EPSILONS, PARAMS.delta, PARAMS.horizon,
-                                         PARAMS.per_record_clamp)
+    sweep = calibration.calibration_sweep(loss, GRID_EPSILONS, PARAMS.delta, PARAMS.horizon, PARAMS.per_record_clamp)
+    return sweep.select("max_contributions", F.round("loss", 9).alias("loss"), "epsilon", "delta", "horizon",
+                        F.round("rho", 9).alias("rho"), F.round("sigma", 6).alias("sigma"))
