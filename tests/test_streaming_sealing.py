@@ -107,3 +107,13 @@ def test_sealed_scan_json_array_and_bad_key(spark, tmp_path):
     assert len(got) == 1 and len(got[0]["nonce"]) == 12
     with pytest.raises(ValueError):
         key_hex("00" * 16)
+
+
+def test_sealed_scan_strict_requires_array(spark, tmp_path):
+    good, bad = tmp_path / "good.json", tmp_path / "bad.json"
+    good.write_text('\n [{"header": "{}", "nonce": "AAAAAAAAAAAAAAAA", "ciphertext": "AAAA"}]')
+    bad.write_text('{"header": "{}", "nonce": "AAAAAAAAAAAAAAAA", "ciphertext": "AAAA"}')
+    assert read_sealed(spark, str(good), multi_line=True, strict=True).count() == 1
+    assert read_sealed(spark, str(bad), multi_line=True).count() == 1  # lenient: one record
+    with pytest.raises(ValueError, match="JSON array"):
+        read_sealed(spark, str(bad), multi_line=True, strict=True)

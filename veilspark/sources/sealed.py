@@ -25,8 +25,19 @@ def write_sealed(df: DataFrame, path: str, extra_cols: list[str] | None = None,
     df.select(*cols).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def read_sealed(spark: SparkSession, path: str, multi_line: bool = False, extra_schema: str = "") -> DataFrame:
-    """(header string, nonce binary, ciphertext binary [, extra]) of every entry with a header."""
+def read_sealed(spark: SparkSession, path: str, multi_line: bool = False, extra_schema: str = "",
+                strict: bool = False) -> DataFrame:
+    """(header string, nonce binary, ciphertext binary [, extra]) of every entry with a header.
+
+    ``strict`` (array form only) fails unless every file's top level is a JSON
+    array; Spark's reader alone would accept a lone object as one record.  It
+    reads each file's text once more (the array form is read whole per file
+    anyway).
+    """
+    if strict and multi_line:
+        not_array = spark.read.text(path, wholetext=True).filter(~F.col("value").rlike(r"^\s*\["))
+        if not not_array.isEmpty():
+            raise ValueError("sealed dataset must be a JSON array")
     schema = SEALED_SCHEMA + (", " + extra_schema if extra_schema else "")
     raw = spark.read.schema(schema).option("multiLine", str(bool(multi_line)).lower()).option("mode", "FAILFAST").json(path)
     extras = [f.split()[0] for f in extra_schema.split(",") if f.strip()] if extra_schema else []
