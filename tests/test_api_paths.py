@@ -81,3 +81,19 @@ def test_route_check_reasons(spark):
                    "unknown_stage", "unknown_stage", None]
     plan = route_check(df, "st", "s", "d", "r")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_snapshot_text_parts_are_in_order(spark, tmp_path):
+    import glob
+
+    from veilspark.sources.snapshot import write_snapshot_text
+
+    rel = spark.range(500).select((F.col("id") + 1).alias("rank"), F.concat(F.lit("w"), F.col("id")).alias("word"),
+                                  (F.lit(1000) - F.col("id")).alias("released"))
+    out = str(tmp_path / "snap")
+    write_snapshot_text(rel, out, "word", parts=7)
+    lines = []
+    for f in sorted(glob.glob(out + "/part-*")):
+        lines += open(f).read().splitlines()
+    assert lines[0].startswith("=== ") and len(lines) == 501
+    assert lines[1:] == [f"w{i}:{1000 - i}" for i in range(500)]

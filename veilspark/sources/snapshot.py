@@ -3,7 +3,8 @@
 Each snapshot is written as its own partition (``snapshot_id``) with the rank
 of every key, so rewriting a snapshot (a replayed micro-batch) replaces it
 instead of appending a duplicate.  ``snapshot_lines`` renders the text form:
-a banner ``=== <instant> ===`` then ``key:count`` lines in rank order.
+a banner ``=== <instant> ===`` then ``key:count`` lines in rank order;
+``write_snapshot_text`` writes it as ordered parts.
 """
 
 from __future__ import annotations
@@ -38,11 +39,16 @@ def write_snapshot(release: DataFrame, path: str, snapshot_id: int, key: str, co
      .partitionBy("snapshot_id").parquet(path))
 
 
-def write_snapshot_text(release: DataFrame, path: str, key: str, count: str = "released", rank: str = "rank") -> None:
-    """Text export of one snapshot (banner + lines), written as a single ordered file.
+def write_snapshot_text(release: DataFrame, path: str, key: str, count: str = "released", rank: str = "rank",
+                        parts: int | None = None) -> None:
+    """Text export of one snapshot: banner then ``key:count`` lines, in rank order.
 
-    A snapshot is one release, at most one line per key; it is sorted by
-    line number and coalesced to one writer to keep the file's order.
+    The lines are range-partitioned on their number and sorted within each
+    part, so the part files read in name order are the snapshot text in
+    order - no single writer task.
     """
-    lines = snapshot_lines(release, key, count, rank).orderBy("line_no")
-    lines.select("line").coalesce(1).write.mode("overwrite").text(path)
+    spark = release.sparkSession
+    n = parts or max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    lines = snapshot_lines(release, key, count, rank)
+    (lines.repartitionByRange(n, "line_no").sortWithinPartitions("line_no")
+     .select("line").write.mode("overwrite").text(path))
