@@ -62,3 +62,24 @@ def test_exact_percentile_matches_interpolation(spark, p):
 def test_percentile_empty_is_nan(spark):
     df = spark.createDataFrame([], "n long")
     assert math.isnan(exact_percentile(df, "n", 0.99).first()["value"])
+
+
+def test_user_weights_are_lognormal_and_drive_assignment(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from veilspark.operators.prep import WEIGHT_SCALE, assign_weighted_users, user_weights
+
+    w = user_weights(spark, 500, "unit-seed").orderBy("user_id").collect()
+    logs = np.log(np.array([r["weight"] for r in w], dtype=float) / WEIGHT_SCALE)
+    assert abs(logs.mean()) < 0.15 and abs(logs.std() - 1.0) < 0.15
+    assert all(r["hi"] - r["lo"] == r["weight"] for r in w) and w[0]["lo"] == 0
+    recs = spark.range(60000).select(F.col("id").alias("rid"))
+    got = assign_weighted_users(recs, "rid", 500, "unit-seed").groupBy("user_id").count().collect()
+    counts = {r["user_id"]: r["count"] for r in got}
+    assert sum(counts.values()) == 60000  # every record drawn exactly once
+    weights = np.array([r["weight"] for r in w], dtype=float)
+    expected = 60000 * weights / weights.sum()
+    observed = np.array([counts.get(r["user_id"], 0) for r in w], dtype=float)
+    big = expected > 200
+    assert np.all(np.abs(observed[big] - expected[big]) < 6 * np.sqrt(expected[big]))

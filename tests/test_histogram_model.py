@@ -21,13 +21,13 @@ def _tokens(text):
 
 def _sequential(rows, params, sigma):
     """rows: (user, turn, text) -> (final ordered release, {t: {word: released}})."""
-    # arrival order: (user, turn, pos); each user bounded to C tokens over the whole run
+    # arrival order: (user, turn, pos); each user bounded to C tokens over the whole run (user level only)
     per_user = {}
     contrib = []
     for user, turn, text in sorted(rows, key=lambda r: (r[0], r[1])):
         for w in _tokens(text):
             per_user[user] = per_user.get(user, 0) + 1
-            if per_user[user] <= params.max_contributions:
+            if not params.user_level or per_user[user] <= params.max_contributions:
                 contrib.append((turn, w))
     # one trigger per turn value, in turn order; empty triggers do not exist in the data
     by_trigger = {}
@@ -50,9 +50,9 @@ def _sequential(rows, params, sigma):
     return final, snapshots
 
 
-@pytest.mark.parametrize("eps", [10.0, 1.0])
-def test_word_histogram_matches_sequential_service(spark, eps):
-    params = PrivacyParams(epsilon=eps, max_contributions=50)
+@pytest.mark.parametrize("eps,user_level", [(10.0, True), (1.0, True), (10.0, False)])
+def test_word_histogram_matches_sequential_service(spark, eps, user_level):
+    params = PrivacyParams(epsilon=eps, max_contributions=50, user_level=user_level)
     conv = spark.read.parquet(os.path.join(SF_SMALL, "conversations.parquet")).select(
         F.col("conv_id").alias("user_id"), "turn", "text")
     res = word_histogram(conv, "text", "user_id", "turn", ["turn"], params, SECRET, STREAM)
