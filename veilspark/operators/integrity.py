@@ -95,11 +95,15 @@ def replay_filter(df: DataFrame, producer: str, seq: str, order_by: Sequence, wi
     window's max-seen.
 
     Plan: the running max is a blocked scan (``keyed_running_max_before``:
-    range shuffle, then hash on (producer, block)).  First arrival = the row
-    is first of its (producer, block, seq) - a window on the same exchange -
-    and its block is the earliest block holding (producer, seq) - a
-    ``min(block)`` aggregate with a partial phase, joined back.  Rows with a
-    null producer or seq get ``missing_producer`` / ``missing_seq``.
+    range shuffle into pinned blocks, then hash on (producer, block)).  A row
+    whose seq is above that max cannot repeat anything, and repeats inside a
+    block are caught by a window on (producer, block, seq) on the same
+    exchange.  Only *candidates* - in-window rows at or below the max - need
+    the cross-block test "is my block the earliest holding (producer, seq)".
+    That earliest block is aggregated from the rows whose keys are among the
+    candidates' (a semi join that AQE broadcasts when the candidates are
+    few), so in-order streams never reshuffle their bulk.  Rows with a null
+    producer or seq get ``missing_producer`` / ``missing_seq``.
     """
     valid = df.filter(F.col(producer).isNotNull() & F.col(seq).isNotNull())
     invalid = df.filter(F.col(producer).isNull() | F.col(seq).isNull()).withColumn(
@@ -111,15 +115,24 @@ def replay_filter(df: DataFrame, producer: str, seq: str, order_by: Sequence, wi
         valid, [producer], order_by, F.when(F.col(seq) >= 0, F.col(seq)), name="__prev_max", n=n_blocks,
         extra_local={"__first_in_blk": first_in_block},
     )
-    first_blk = scanned.groupBy(producer, seq).agg(F.min(BLK).alias("__first_blk"))
-    j = scanned.join(first_blk, [producer, seq], "left")
-    s = F.col(seq)
-    reason = (
-        F.when(s < 0, F.lit("negative_seq"))
-        .when(F.col("__prev_max").isNotNull() & (s <= F.col("__prev_max") - F.lit(int(window))), F.lit("stale_seq"))
-        .when(~(F.col("__first_in_blk") & (F.col(BLK) == F.col("__first_blk"))), F.lit("replayed_seq"))
+    s, prev = F.col(seq), F.col("__prev_max")
+    negative = s < 0
+    stale = prev.isNotNull() & (s <= prev - F.lit(int(window)))
+    candidate = ~negative & ~stale & prev.isNotNull() & (s <= prev)
+    base_reason = (
+        F.when(negative, F.lit("negative_seq"))
+        .when(stale, F.lit("stale_seq"))
+        .when(~F.col("__first_in_blk"), F.lit("replayed_seq"))
     )
-    out = j.withColumn(name, reason).drop("__prev_max", "__first_in_blk", "__first_blk", BLK)
+    settled = scanned.filter(~candidate).withColumn(name, base_reason)
+    cands = scanned.filter(candidate)
+    keys = cands.select(producer, seq)
+    first_blk = (scanned.join(keys, [producer, seq], "left_semi")
+                 .groupBy(producer, seq).agg(F.min(BLK).alias("__first_blk")))
+    checked = cands.join(first_blk, [producer, seq], "left").withColumn(
+        name, F.when(~(F.col("__first_in_blk") & (F.col(BLK) == F.col("__first_blk"))), F.lit("replayed_seq"))
+    ).drop("__first_blk")
+    out = settled.unionByName(checked).drop("__prev_max", "__first_in_blk", BLK)
     return out.unionByName(invalid)
 
 
