@@ -31,13 +31,13 @@ class HistogramResult:
     releases: DataFrame    # (key, i, cnt, prefix, noisy) for i < T
     latest: DataFrame      # (key, i, noisy, prefix)
     ordered: DataFrame     # (key, i, noisy, prefix, released, rank)
+    key: str               # name of the key column
 
     def snapshots(self) -> DataFrame:
         """T3 over the indexed triggers below the horizon (one small scalar action)."""
         n = self.releases.agg(F.max("i")).first()[0]
         n = 0 if n is None else int(n) + 1
-        key = [c for c in self.releases.columns if c not in ("i", "cnt", "prefix", "noisy")][0]
-        return snapshot_series(self.releases, key, n)
+        return snapshot_series(self.releases, self.key, n)
 
 
 def count_per_trigger(df: DataFrame, key: str, trigger: str) -> DataFrame:
@@ -55,4 +55,4 @@ def private_histogram(df: DataFrame, key: str, trigger: str, user: str, order_by
     releases = dp_prefix_sums(indexed.select(key, "i", "cnt"), key, params, secret, stream_id, sigma=sigma)
     latest = latest_per_key(releases, key)
     ordered = ordered_release(latest, key)
-    return HistogramResult(counts, triggers, releases, latest, ordered)
+    return HistogramResult(counts, triggers, releases, latest, ordered, key)
