@@ -28,14 +28,20 @@ from veilspark.operators.scan import global_row_number
 
 _ITER = 1000  # upper bound on bisection steps; both searches stop once the bracket no longer shrinks
 
+# The search brackets of the two bisections (they decide which root is found):
+# Renyi order a in [1.01, (eps + 1) / (2 rho) + 2], rho in [0, eps + 1].
+ORDER_LO = 1.01
+ORDER_HI_PAD = 2.0
+RHO_HI_PAD = 1.0
+
 
 def _delta_given_rho(rho: np.ndarray, eps: np.ndarray) -> np.ndarray:
     """Vectorised zCDP -> (eps, delta) conversion at the best Renyi order."""
     rho = np.asarray(rho, dtype=float)
     eps = np.asarray(eps, dtype=float)
     safe = np.where(rho > 0, rho, 1.0)
-    a_lo = np.full_like(safe, 1.01)
-    a_hi = (eps + 1.0) / (2.0 * safe) + 2.0
+    a_lo = np.full_like(safe, ORDER_LO)
+    a_hi = (eps + 1.0) / (2.0 * safe) + ORDER_HI_PAD
     for _ in range(_ITER):
         a = (a_lo + a_hi) / 2.0
         if np.all((a == a_lo) | (a == a_hi)):
@@ -56,7 +62,7 @@ def cdp_rho_array(eps: Sequence[float], delta: Sequence[float]) -> np.ndarray:
     if np.any(eps < 0) or np.any(delta <= 0):
         raise ValueError("epsilon must be non-negative and delta must be positive")
     lo = np.zeros_like(eps)
-    hi = eps + 1.0
+    hi = eps + RHO_HI_PAD
     for _ in range(_ITER):
         mid = (lo + hi) / 2.0
         if np.all((mid == lo) | (mid == hi)):
