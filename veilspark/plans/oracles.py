@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 
 from veilspark.functions.noise import TWO48, hmac_pads, tree_height
+from veilspark.operators.calibration import ORDER_HI_PAD, ORDER_LO, RHO_HI_PAD
 from veilspark.plans import queries as Q
 
 ORACLES: dict[str, str] = {}
@@ -237,11 +238,11 @@ def _rho_sql(eps: str, delta: str, steps: int = 100) -> str:
     by ~1e-13 relative, far below the rounding of the compared columns).
     """
     r = "((o.lo + o.hi) / 2.0)"
-    inner = _bisect_sql(steps, "1.01", f"({eps} + 1.0) / (2.0 * {r}) + 2.0",
+    inner = _bisect_sql(steps, repr(ORDER_LO), f"({eps} + 1.0) / (2.0 * {r}) + {ORDER_HI_PAD!r}",
                         f"((2.0 * {{m}} - 1.0) * {r} - {eps} + ln(1.0 - 1.0 / {{m}})) < 0", "b")
     a = f"(({inner}).lo + ({inner}).hi) / 2.0"
     delta_at_r = f"least(1.0, exp(({a} - 1.0) * ({a} * {r} - {eps}) + ({a}) * ln(1.0 - 1.0 / ({a}))) / ({a} - 1.0))"
-    outer = _bisect_sql(steps, "0.0", f"{eps} + 1.0", f"({delta_at_r}) <= {delta}", "o")
+    outer = _bisect_sql(steps, "0.0", f"{eps} + {RHO_HI_PAD!r}", f"({delta_at_r}) <= {delta}", "o")
     return f"({outer}).lo"
 
 
