@@ -13,10 +13,11 @@ from veilspark.functions.text import extract_body
 from veilspark.operators import integrity
 from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES
+from veilspark.params import DEFAULT_REPLAY_WINDOW
 from veilspark.plans.queries import register
 from veilspark.session import materialize, table
 
-REPLAY_WINDOW = 128
+REPLAY_WINDOW = DEFAULT_REPLAY_WINDOW
 
 
 def _parsed_headers(spark, sf_dir):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from veilspark.params import DEFAULT_REPLAY_WINDOW
 from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES, _releases_cte
 from veilspark.plans.queries import EVENT_STREAM, PARAMS, TEST_SECRET, register
@@ -51,8 +52,8 @@ def q_stream_replay(spark, sf_dir):
     ev = ev.select("event_id", "ts", F.col("event_type").alias("producer_id"),
                    (F.col("event_id") - (F.col("event_id") * 37) % 200).alias("seq"))
     out, state = work_path(spark, "stream-replay-out"), work_path(spark, "stream-replay-state")
-    run_foreach_batch(ev, ReplayBatch(out, state, "producer_id", "seq", fx.EVENT_ORDER, 128), "stream-replay",
-                      runs=runs)
+    replay = ReplayBatch(out, state, "producer_id", "seq", fx.EVENT_ORDER, DEFAULT_REPLAY_WINDOW)
+    run_foreach_batch(ev, replay, "stream-replay", runs=runs)
     return spark.read.parquet(out).select("event_id", "producer_id", "seq", F.col("reason").alias("replay_reason"))
 
 
