@@ -15,7 +15,7 @@ def _one(spark, col):
 
 
 @pytest.mark.parametrize("js,expect", [
-    ('{"body": "a joke"}', "a joke"),
+    ('{"body": "a line"}', "a line"),
     ('{"id": 1}', ""),
     ('{"body": null}', ""),
     ('{"body": 5}', ""),
