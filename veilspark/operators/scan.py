@@ -8,8 +8,8 @@ helpers here cut the arrival order into *blocks* instead:
 1. ``repartitionByRange(n, *keys, *order)`` gives n contiguous, similarly sized
    ranges of the total order (a hot key spans many of them); the block id is
    the partition id.  An explicit n keeps AQE from coalescing, so block ids are
-   stable; with a unique tie-breaker the blocks are deterministic, so a retried
-   task rebuilds exactly the same rows.
+   stable within the job that assigns them (a retried task of that job uses
+   the same range bounds).
 2. The scan runs *within* (key, block): bounded by the block size.
 3. A per-(key, block) summary (at most #keys + #blocks rows) gives the carry
    from all earlier blocks of the same key through a window over that small
@@ -18,12 +18,12 @@ helpers here cut the arrival order into *blocks* instead:
 For the key-less case (global positions) the carry table has one row per block,
 a bound known at plan time, so it is broadcast.
 
-The blocked rows are *pinned* (a reliable checkpoint in the shared folder)
-before the two passes read them.  Spark's range partitioner samples with a
-seed tied to the RDD, so two separately planned range exchanges over the
-same data may cut different blocks; reading one written copy makes the
-blocks of both passes identical whatever Catalyst prunes or reuses, and the
-copy survives executor loss.
+The blocked rows are *pinned* (written once as a parquet table in the shared
+folder, ``veilspark.session.materialize``) before the two passes read them.
+Spark's range partitioner samples with a seed tied to the RDD, so two
+separately planned range exchanges over the same data may cut different
+blocks; reading one written copy makes the blocks of both passes identical
+whatever Catalyst prunes or reuses, and the copy survives executor loss.
 """
 
 from __future__ import annotations
