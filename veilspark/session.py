@@ -51,7 +51,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="veilspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        has_dir = spark.sparkContext.getCheckpointDir() is not None
+    except Exception:  # pragma: no cover - older API shapes
+        has_dir = False
+    if not has_dir:  # each setCheckpointDir call makes a fresh subfolder: set it once per context
+        spark.sparkContext.setCheckpointDir(d)
     return spark.conf.get("spark.checkpoint.dir", None) or d
 
 
