@@ -97,3 +97,30 @@ def test_snapshot_text_parts_are_in_order(spark, tmp_path):
         lines += open(f).read().splitlines()
     assert lines[0].startswith("=== ") and len(lines) == 501
     assert lines[1:] == [f"w{i}:{1000 - i}" for i in range(500)]
+
+
+def test_stream_word_histogram_equals_batch_pipeline(spark):
+    from pyspark.sql import Window
+
+    from veilspark.plans.stages import stream_word_histogram
+    from veilspark.session import work_path
+    from veilspark.streaming.run import arrival_stream
+
+    conv = spark.read.parquet(os.path.join(SF_SMALL, "conversations.parquet")).select(
+        F.col("conv_id").alias("user_id"), "turn", "text")
+    n = conv.count()
+    per = -(-n // 3)
+    stream, runs = arrival_stream(spark, conv, ["user_id", "turn"], per)
+    params = PrivacyParams(max_contributions=20)
+    counts, snaps = work_path(spark, "wh-counts"), work_path(spark, "wh-snaps")
+    stream_word_histogram(stream, "text", "user_id", ["user_id", "turn"], params, "s", "unit", counts, snaps,
+                          work_path(spark, "wh-ckpt"), runs=runs)
+    last = spark.read.parquet(snaps)
+    last = last.filter(F.col("snapshot_id") == last.agg(F.max("snapshot_id")).first()[0])
+    got = {(r["key"], r["count"], r["rank"]) for r in last.collect()}
+    # batch twin: the same records, trigger = the micro-batch each record arrived in
+    arrival = F.row_number().over(Window.orderBy("user_id", "turn")) - 1
+    batched = conv.withColumn("batch", F.floor(arrival / per).cast("long"))
+    res = word_histogram(batched, "text", "user_id", "batch", ["turn"], params, "s", "unit")
+    want = {(r["word"], r["released"], r["rank"]) for r in res.ordered.collect()}
+    assert got == want and len(got) > 0
