@@ -36,15 +36,14 @@ def arrival_stream(spark: SparkSession, table: DataFrame, order_by: list, rows_p
 
     A ``rate-micro-batch`` source emits arrival indices 0, 1, ... in fixed
     batches; they are joined to the table's arrival index (``order_by``
-    numbering written once to the shared folder).  Batch k is therefore
+    numbering over blocks pinned in the shared folder).  Batch k is therefore
     exactly arrivals [k R, (k + 1) R) however the query is scheduled or
     restarted, which makes multi-batch runs reproducible.
     """
     from veilspark.operators.prep import dense_ids
 
-    path = work_path(spark, "arrival-index")
-    dense_ids(table, order_by, "__arrival").write.parquet(path)
-    indexed = spark.read.parquet(path)
+    # the numbering reads its pinned blocks (written once), so the static side of the join is stable
+    indexed = dense_ids(table, order_by, "__arrival")
     n = indexed.count()
     per = max(1, int(rows_per_batch))
     ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", per).load()
