@@ -124,3 +124,11 @@ def test_stream_word_histogram_equals_batch_pipeline(spark):
     res = word_histogram(batched, "text", "user_id", "batch", ["turn"], params, "s", "unit")
     want = {(r["word"], r["released"], r["rank"]) for r in res.ordered.collect()}
     assert got == want and len(got) > 0
+
+
+def test_flag_policy_keeps_reasons_and_rejects_unknown(spark):
+    df = spark.createDataFrame([(1, None), (2, "stale_seq")], "id long, reason string")
+    flagged = apply_policy(df, "reason", "flag")
+    assert {(r["id"], r["reason"]) for r in flagged.collect()} == {(1, None), (2, "stale_seq")}
+    with pytest.raises(ValueError):
+        apply_policy(df, "reason", "isolate")  # no fail-open mode
