@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, outliers
+from veilspark.llm import bpe, outliers, simhash
 from veilspark.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,12 +28,18 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(read(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 over all documents: three-word shingles, links at three or fewer differing bits."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, distance=3, keep=["doc_id"])
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over all documents: counts, base rules and the verdict of the robust estimate."""
     return outliers.judge(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_quality_outliers": op9_quality_outliers,
 }
