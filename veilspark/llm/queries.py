@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, outliers, simhash
+from veilspark.llm import bpe, importance, outliers, simhash
 from veilspark.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -33,6 +33,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, distance=3, keep=["doc_id"])
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7 over all documents, target: labelled good and not toxic."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return importance.resample(docs, labels, keep=["doc_id"])
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over all documents: counts, base rules and the verdict of the robust estimate."""
     return outliers.judge(read(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -41,6 +47,7 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_importance_resampling": op7_importance_resampling,
     "op9_quality_outliers": op9_quality_outliers,
 }
 
