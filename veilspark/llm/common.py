@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SLICE_BYTES = 8 << 20
 
@@ -60,7 +61,8 @@ def slices(batch: pa.RecordBatch, column: int | str, most: int = SLICE_BYTES) ->
         yield batch.slice(start)
 
 
-def add_columns(df: DataFrame, text_col: str, fields: list[T.StructField], start: Callable) -> DataFrame:
+def add_columns(df: DataFrame, text_col: str, fields: list[T.StructField], start: Callable,
+                slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``df`` with the columns ``fields``, computed from the values of ``text_col``.
 
     ``start()`` runs once per task and gives a function from a list of texts
@@ -73,18 +75,14 @@ def add_columns(df: DataFrame, text_col: str, fields: list[T.StructField], start
     base = df.drop(*names)
     schema = T.StructType(base.schema.fields + fields)
     at = base.columns.index(text_col)
-    kinds = [T_ARROW[f.dataType] for f in fields]
+    kinds = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches):
         columns = start()
         for batch in batches:
-            for part in slices(batch, at):
+            for part in slices(batch, at, slice_bytes):
                 made = columns(part.column(at).to_pylist())
                 made = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(made, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.fieldNames())
 
     return base.mapInArrow(run, schema)
-
-
-T_ARROW = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.DoubleType(): pa.float64(),
-           T.StringType(): pa.string(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}

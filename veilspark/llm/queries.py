@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, importance, outliers, simhash
+from veilspark.llm import bpe, decontaminate, importance, outliers, simhash
 from veilspark.llm.common import read
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +39,12 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, labels, keep=["doc_id"])
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: every document against the whole benchmark, with the items found in it."""
+    found = decontaminate.find_leaks(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("matches") > 0).alias("leaked"), F.col("matches.item").alias("items"), "matches")
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9 over all documents: counts, base rules and the verdict of the robust estimate."""
     return outliers.judge(read(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -48,6 +54,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_importance_resampling": op7_importance_resampling,
+    "op8_decontaminate": op8_decontaminate,
     "op9_quality_outliers": op9_quality_outliers,
 }
 
