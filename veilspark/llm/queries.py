@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, outliers, simhash
+from veilspark.llm import bpe, decontaminate, importance, outliers, repair_store, simhash
 from veilspark.llm.common import read
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -50,12 +51,19 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: all documents written as compressed shards and read back."""
+    path = repair_store.write(read(spark, sf_dir, "documents"), TOKENIZER)
+    return repair_store.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_outliers": op9_quality_outliers,
+    "op10_repair_store": op10_repair_store,
 }
 
 ORACLES: dict[str, str] = {}
