@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, outliers, repair_store, simhash
+from veilspark.llm import bpe, decontaminate, importance, langid, outliers, repair_store, simhash
 from veilspark.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(read(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: learn from three quarters of the documents (an eighth of them to calibrate), predict all."""
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"))
+    part = "pmod(xxhash64(doc_id), 8) = 0"
+    return langid.identify(docs, f"not held_out and not {part}", f"not held_out and {part}", keep=["doc_id", "held_out"])
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4 over all documents: three-word shingles, links at three or fewer differing bits."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, distance=3, keep=["doc_id"])
@@ -58,6 +66,7 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_importance_resampling": op7_importance_resampling,
