@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, langid, outliers, repair_store, simhash
+from veilspark.llm import bpe, decontaminate, importance, langid, licenses, outliers, repair_store, simhash, token_counts
 from veilspark.llm.common import read
+from veilspark.session import materialize
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,11 +25,23 @@ def encoded_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5 over all documents."""
+    return licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6 over all documents."""
     return encoded_digests(read(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: the length histogram of all documents with its suffix sums."""
+    docs = read(spark, sf_dir, "documents").select("text")
+    lengths = token_counts.with_lengths(docs, RANKS, public_tokenizers.PATTERN).select("n_tokens")
+    return token_counts.suffix_sums(materialize(token_counts.histogram(lengths), "token-histogram"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: learn from three quarters of the documents (an eighth of them to calibrate), predict all."""
     docs = read(spark, sf_dir, "documents").select(
@@ -66,8 +79,10 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
+    "op5_licenses": op5_licenses,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_decontaminate": op8_decontaminate,
