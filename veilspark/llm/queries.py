@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, langid, licenses, outliers, repair_store, simhash, token_counts
+from veilspark.llm import bpe, decontaminate, importance, langid, licenses, outliers, repair_store, sharding, simhash, token_counts
 from veilspark.llm.common import read
 from veilspark.session import materialize
 
@@ -35,6 +35,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(read(spark, sf_dir, "documents"))
 
 
+def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1: all documents on shards 0 to 15 with near equal bytes."""
+    return sharding.place(read(spark, sf_dir, "documents"), shards=16)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 2: the length histogram of all documents with its suffix sums."""
     docs = read(spark, sf_dir, "documents").select("text")
@@ -79,6 +84,7 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bounded_ring": op1_bounded_ring,
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_simhash": op4_simhash,
