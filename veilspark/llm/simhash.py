@@ -216,24 +216,22 @@ def links(prints: DataFrame, distance: int = 3, bucket_rows: int = 4096) -> Data
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node``, ``root`` for all ends of ``edges`` (a, b): the smallest node of each connected component.
 
-    Every round points each node to the smallest root next to its own root's
-    members and then shortens the pointers; rounds end when nothing moves.
+    Every round points each node, and the node it points to, at the smallest
+    root seen around it, and then at what that one points to; so paths shorten
+    by half at least, and rounds end when nothing moves.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialize(both.filter("a != b").distinct(), "components-edges")
     now = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "components")
     for _ in range(most_rounds):
-        # The smallest root around each node, offered to the node's own root as well.
         around = (both.join(now.select(F.col("node").alias("b"), F.col("root").alias("seen")), "b")
                   .groupBy(F.col("a").alias("node")).agg(F.min("seen").alias("seen")))
-        offer = now.join(around, "node")
-        to_root = offer.groupBy("root").agg(F.min("seen").alias("seen"))
-        to_root = to_root.select(F.col("root").alias("at"), F.least("root", "seen").alias("next"))
-        hooked = now.join(to_root, now.root == to_root["at"]).select("node", F.col("root").alias("was"), F.col("next").alias("root"))
-        jump = to_root.select(F.col("at").alias("root"), F.col("next").alias("beyond"))
-        after = hooked.join(jump, "root", "left").select(
-            "node", "was", F.least("root", F.coalesce("beyond", "root")).alias("root"))
-        after = materialize(after, "components")
+        offered = now.join(around, "node")
+        hooked = (offered.select("node", F.least("root", "seen").alias("root"), F.col("root").alias("was"))
+                  .unionByName(offered.select(F.col("root").alias("node"), F.col("seen").alias("root"), F.lit(None).cast("long").alias("was")))
+                  .groupBy("node").agg(F.min("root").alias("root"), F.max("was").alias("was")))
+        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("beyond"))
+        after = materialize(hooked.join(jump, "root").select("node", "was", F.col("beyond").alias("root")), "components")
         moved = not after.filter("root != was").isEmpty()
         now = after.select("node", "root")
         if not moved:
