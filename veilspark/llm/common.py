@@ -42,11 +42,15 @@ class Recent(dict):
             value = self.compute(key)
             if self.longest and len(key) > self.longest:
                 return value
+        self.trim()
+        self[key] = value
+        return value
+
+    def trim(self) -> None:
+        """Makes the younger half the older one if it is full."""
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        self[key] = value
-        return value
 
 
 def slices(batch: pa.RecordBatch, column: int | str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

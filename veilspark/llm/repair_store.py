@@ -55,7 +55,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.chunks = Recent(lambda c: self._chunks([c])[0], 200_000)
+        self.chunks = Recent(lambda c: self._chunks([c])[0], 400_000)
+        self.stops = dict(zip(".,", self._ids([".", ","]), strict=True))
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for x, i in vocabulary.items() if x.startswith("\u0120")]] = True  # a byte-level space comes first
@@ -65,34 +66,43 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
     def _chunks(self, chunks: list[str]) -> list[bytes | None]:
-        """Ids of a space and each chunk; None where what stands around could matter."""
-        whole = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        """Ids of a space and each chunk; None where what stands around could matter.
+
+        A full stop or comma after a letter is a piece of its own, so it is cut off and its id put after the rest's.
+        """
+        cores = [c[:-1] if c[-1:] in (".", ",") and c[-2:-1].isalpha() else c for c in chunks]
+        ids = {c: self.chunks.get(c) or self.chunks.old.get(c) for c in cores}
+        whole = [c for c, known in ids.items() if not known and c and not c[0].isspace() and not c[-1].isspace()]
         # All in one text: the only ids that start with a space are the first ones of the chunks.
-        made: list[bytes] = []
         for at in range(0, len(whole), 5000):
             part = whole[at : at + 5000]
             (raw,) = self._ids([" " + " ".join(part)])
             cuts = np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")]) * 4
             if len(cuts) == len(part):
-                made += [raw[i:j] for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(raw)], strict=True)]
+                ids |= {c: raw[i:j] for c, i, j in zip(part, cuts.tolist(), [*cuts[1:].tolist(), len(raw)], strict=True)}
             else:
-                made += self._ids([" " + c for c in part])
-        ids = dict(zip(whole, made, strict=True))
-        return [ids.get(c) for c in chunks]
+                ids |= dict(zip(part, self._ids([" " + c for c in part]), strict=True))
+        return [ids[core] if core is c or ids[core] is None else ids[core] + self.stops[c[-1]]
+                for c, core in zip(chunks, cores, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [t.split(" ") for t in texts]
-        chunks, old = self.chunks, self.chunks.old
-        missing = list({c for p in parts for c in p[1:] if c not in chunks and c not in old and len(c) <= chunks.longest})
-        for chunk, ids in zip(missing, self._chunks(missing), strict=True):
-            chunks.old[chunk] = ids  # moves to the younger half at its first use
-        out: list[bytes | None] = []
-        for p in parts:
-            made = [chunks[c] for c in p[1:]]
-            out.append(None if None in made or made and p[0][-1:].isspace() else b"".join(made))
-        firsts = self._ids([t if rest is None else p[0] for t, p, rest in zip(texts, parts, out, strict=True)])
-        return [first + (rest or b"") for first, rest in zip(firsts, out, strict=True)]
+        known = [list(map(self.chunks.get, p)) for p in parts]  # of the first one too, which is not asked for
+        missing = list({c: None for p, k in zip(parts, known, strict=True) if None in k for c, x in zip(p[1:], k[1:], strict=True) if x is None})
+        new = {c: self.chunks.old.get(c) for c in missing}
+        missing = [c for c, ids in new.items() if ids is None]
+        new |= zip(missing, self._chunks(missing), strict=True)
+        for c, ids in new.items():
+            if ids is not None and len(c) <= self.chunks.longest:
+                self.chunks[c] = ids
+        self.chunks.trim()
+        # A chunk without ids of its own leaves None, and the whole text is encoded at once.
+        rest = [[new[c] if x is None else x for c, x in zip(p[1:], k[1:], strict=True)] for p, k in zip(parts, known, strict=True)]
+        alone = [None not in r and not (r and p[0][-1:].isspace()) for p, r in zip(parts, rest, strict=True)]
+        whole = list({p[0] if a else t: None for t, p, a in zip(texts, parts, alone, strict=True)})
+        made = dict(zip(whole, self._ids(whole), strict=True))
+        return [made[p[0]] + b"".join(r) if a else made[t] for t, p, r, a in zip(texts, parts, rest, alone, strict=True)]
 
 
 @functools.cache
