@@ -17,6 +17,38 @@ def test_calibration_pins(eps, rho, sigma):
     assert tree_sigma(r, 60, 50.0) == pytest.approx(sigma, abs=5e-3)
 
 
+def test_oracle_constants_fit_the_conversion():
+    """delta(rho) stays within 1e-5 and that of a slightly larger rho does not, by a dense search over the order."""
+    from veilspark.plans.oracles import RHO, SIGMA
+
+    x = np.exp(np.linspace(-12, 18, 2_000_001))  # order less one
+
+    def log_delta(rho, eps):
+        return (x * ((x + 1) * rho - eps) - (x + 1) * np.log1p(1 / x) - np.log(x)).min()
+
+    for eps, rho in RHO.items():
+        assert log_delta(rho * (1 - 1e-9), eps) <= math.log(1e-5) < log_delta(rho * (1 + 1e-6), eps)
+    for eps, sigma in SIGMA.items():
+        assert sigma == pytest.approx(math.sqrt(math.log(60) * 50**2 / (2 * RHO[eps])), rel=1e-12)
+
+
+def test_conversion_over_the_whole_range():
+    x = np.exp(np.linspace(-18, 28, 400_001))
+    for eps in (0.0, 0.01, 0.5, 3.0, 50.0):
+        for delta in (1e-9, 1e-3, 0.1, 0.9):
+            rho = cdp_rho(eps, delta)
+            low, high = ((x * ((x + 1) * r - eps) - (x + 1) * np.log1p(1 / x) - np.log(x)).min()
+                         for r in (rho * (1 - 1e-4), rho * (1 + 1e-4)))
+            assert low <= math.log(delta) < high
+
+
+def test_percentile_with_almost_all_values_tied(spark):
+    df = spark.range(20_000).selectExpr("if(id % 100 = 0, id, 7) as n")
+    vals = [i if i % 100 == 0 else 7 for i in range(20_000)]
+    for p in (0.0, 0.5, 0.99, 0.995, 1.0):
+        assert exact_percentile(df, "n", p).first()["value"] == pytest.approx(_py_percentile(vals, p))
+
+
 def test_vectorised_equals_scalar():
     eps = np.array([0.1, 1.0, 10.0, 3.0])
     delta = np.array([1e-5, 1e-6, 1e-5, 1e-3])

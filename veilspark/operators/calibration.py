@@ -1,6 +1,6 @@
 """Noise calibration and choosing the contribution bound.
 
-A7  (epsilon, delta) -> rho-zCDP by bisection, sigma of the tree noise
+A7  (epsilon, delta) -> rho-zCDP by Newton steps, sigma of the tree noise
     sigma = sqrt(ln T * L^2 / (2 rho)), L = C * L_m; swept over a grid of
     (C, epsilon) together with the share of contributions each C drops.
 A8  per-user totals (Unicode word counts); a missing user is an error.
@@ -11,6 +11,14 @@ The conversions follow the zCDP literature (Bun & Steinke 2016; Canonne,
 Kamath & Steinke 2020): for rho-zCDP and a Renyi order a > 1,
 delta(a) = exp((a - 1)(a rho - eps) + a log(1 - 1/a)) / (a - 1), minimised over
 a; rho is the largest value whose delta stays within the target.
+
+Both searches are Newton's method on concave, increasing functions, started on
+the low side, from where every step stays on it:
+
+* in x = a - 1, the derivative of log delta(a) is
+  (2a - 1) rho - eps + log(1 - 1/a), whose own derivative is 2 rho + 1 / (a (a - 1));
+* in rho, min over a of log delta(a; rho) is a minimum of lines, with
+  slope a (a - 1) at the best a.
 """
 
 from __future__ import annotations
@@ -24,35 +32,33 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.operators.scan import global_row_number
+from veilspark.operators.scan import global_running_sum
+from veilspark.session import materialize
 
-_ITER = 1000  # upper bound on bisection steps; both searches stop once the bracket no longer shrinks
+_STEPS = 200  # far above what Newton's method takes; every element stops on its own
 
-# The search brackets of the two bisections (they decide which root is found):
-# Renyi order a in [1.01, (eps + 1) / (2 rho) + 2], rho in [0, eps + 1].
-ORDER_LO = 1.01
-ORDER_HI_PAD = 2.0
-RHO_HI_PAD = 1.0
 
+def _climb(start: np.ndarray, step) -> np.ndarray:
+    """Adds ``step(x)`` to each element while that still increases it."""
+    x, moving = start, np.ones(len(start), bool)
+    for _ in range(_STEPS):
+        new = x + step(x)
+        moving &= new > x
+        if not moving.any():
+            break
+        x = np.where(moving, new, x)
+    return x
 
-def _delta_given_rho(rho: np.ndarray, eps: np.ndarray) -> np.ndarray:
-    """Vectorised zCDP -> (eps, delta) conversion at the best Renyi order."""
-    rho = np.asarray(rho, dtype=float)
-    eps = np.asarray(eps, dtype=float)
-    safe = np.where(rho > 0, rho, 1.0)
-    a_lo = np.full_like(safe, ORDER_LO)
-    a_hi = (eps + 1.0) / (2.0 * safe) + ORDER_HI_PAD
-    for _ in range(_ITER):
-        a = (a_lo + a_hi) / 2.0
-        if np.all((a == a_lo) | (a == a_hi)):
-            break  # floating-point fixed point: further steps change nothing
-        slope = (2.0 * a - 1.0) * safe - eps + np.log1p(-1.0 / a)
-        below = slope < 0
-        a_lo = np.where(below, a, a_lo)
-        a_hi = np.where(below, a_hi, a)
-    a = (a_lo + a_hi) / 2.0
-    d = np.exp((a - 1.0) * (a * safe - eps) + a * np.log1p(-1.0 / a)) / (a - 1.0)
-    return np.where(rho > 0, np.minimum(d, 1.0), 0.0)
+
+def _log_delta(rho: np.ndarray, eps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log delta at the best Renyi order, that order less one), for rho > 0."""
+    def slope(x):
+        return (2.0 * x + 1.0) * rho - eps - np.log1p(1.0 / x)
+
+    # At a = (eps / rho + 1) / 2 only the logarithm is left of the slope, and near a = 1 it outweighs the rest.
+    x = np.where(eps > rho, (eps / rho - 1.0) / 2.0, np.exp(-(3.0 * rho + 1.0)))
+    x = _climb(x, lambda x: -slope(x) / (2.0 * rho + 1.0 / (x * (x + 1.0))))
+    return x * ((x + 1.0) * rho - eps) - (x + 1.0) * np.log1p(1.0 / x) - np.log(x), x
 
 
 def cdp_rho_array(eps: Sequence[float], delta: Sequence[float]) -> np.ndarray:
@@ -61,16 +67,20 @@ def cdp_rho_array(eps: Sequence[float], delta: Sequence[float]) -> np.ndarray:
     delta = np.asarray(delta, dtype=float)
     if np.any(eps < 0) or np.any(delta <= 0):
         raise ValueError("epsilon must be non-negative and delta must be positive")
-    lo = np.zeros_like(eps)
-    hi = eps + RHO_HI_PAD
-    for _ in range(_ITER):
-        mid = (lo + hi) / 2.0
-        if np.all((mid == lo) | (mid == hi)):
+    target = np.log(np.where(delta < 1.0, delta, 0.5))
+    # The plain conversion eps = rho + 2 sqrt(rho log(1 / delta)) gives a rho that is never too large.
+    rho = np.maximum((np.sqrt(eps - target) - np.sqrt(-target)) ** 2, delta * delta / 16.0)
+    for _ in range(_STEPS):
+        over = _log_delta(rho, eps)[0] > target
+        if not over.any():
             break
-        ok = _delta_given_rho(mid, eps) <= delta
-        lo = np.where(ok, mid, lo)
-        hi = np.where(ok, hi, mid)
-    return np.where(delta >= 1.0, 0.0, lo)
+        rho = np.where(over, rho / 2.0, rho)
+
+    def step(rho):
+        log_delta, x = _log_delta(rho, eps)
+        return (target - log_delta) / (x * (x + 1.0))
+
+    return np.where(delta >= 1.0, 0.0, _climb(rho, step))
 
 
 @functools.lru_cache(maxsize=256)
@@ -99,21 +109,23 @@ def exact_percentile(values: DataFrame, col: str, p: float) -> DataFrame:
     """One row ``(p, value)``; NaN for no rows.
 
     Linear interpolation between the values at sorted positions floor(k)
-    and ceil(k), k = (n - 1) p.  Positions come from a distributed sort
-    (``global_row_number``), so no task ever holds all values.
+    and ceil(k), k = (n - 1) p.  Equal values are counted first (partial sums
+    on the map side, so ties never meet as rows); a running sum over the
+    distinct values in order finds the two positions.  The input is read once.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("percentile must be within [0, 1]")
     spark = values.sparkSession
     v = values.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = v.count()
+    sizes = materialize(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "percentile")
+    n = sizes.agg(F.sum("n")).first()[0] or 0
     if n == 0:
         return spark.range(1).select(F.lit(float(p)).alias("p"), F.lit(float("nan")).alias("value"))
     k = (n - 1) * p
     f, c = math.floor(k), math.ceil(k)
-    ranked = global_row_number(v, [F.col("v")], name="__pos").filter(F.col("__pos").isin(f + 1, c + 1))
-    lo = F.max(F.when(F.col("__pos") == F.lit(f + 1), F.col("v")))
-    hi = F.max(F.when(F.col("__pos") == F.lit(c + 1), F.col("v")))
+    ranked = global_running_sum(sizes, [F.col("v")], "n", "__upto")
+    lo = F.min(F.when(F.col("__upto") > F.lit(f), F.col("v")))
+    hi = F.min(F.when(F.col("__upto") > F.lit(c), F.col("v")))
     value = lo if f == c else lo * F.lit(c - k) + hi * F.lit(k - f)
     return ranked.agg(F.lit(float(p)).alias("p"), value.alias("value"))
 
@@ -158,7 +170,7 @@ def calibration_sweep(loss: DataFrame, epsilons: Sequence[float], delta: float,
     """A7 sweep: every bound C (with its data loss) x every epsilon -> rho, sigma.
 
     The epsilon list is exploded onto each C row (no join); rho and sigma are
-    computed in one vectorised ``mapInPandas`` pass (bisection per row).
+    computed in one vectorised ``mapInPandas`` pass.
     """
     eps_arr = F.array(*[F.lit(float(e)) for e in epsilons])
     grid = loss.select("max_contributions", "loss", F.explode(eps_arr).alias("epsilon")).withColumn(
