@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from models import HeapTree, keyed_gauss
+from veilspark.functions.noise import release_scope
 from veilspark.params import PrivacyParams
 from veilspark.plans.stages import word_histogram
 
@@ -38,7 +39,7 @@ def _sequential(rows, params, sigma):
     for i, turn in enumerate(sorted(by_trigger)):
         for w, c in by_trigger[turn].items():
             tree = forest.setdefault(
-                w, HeapTree(params.horizon, lambda j, k=w: sigma * keyed_gauss(SECRET, STREAM, k, j)))
+                w, HeapTree(params.horizon, lambda j, k=w: sigma * keyed_gauss(SECRET, release_scope(STREAM, params, sigma, "turn"), k, j)))
             if i < params.horizon:
                 tree.add(i, c)
                 current[w] = tree.prefix(i)

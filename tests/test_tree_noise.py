@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from models import HeapTree, keyed_gauss
-from veilspark.functions.noise import hmac_pads
+from veilspark.functions.noise import hmac_pads, release_scope
 from veilspark.operators.dp import dp_prefix_sums
 from veilspark.params import PrivacyParams
 
@@ -49,8 +50,9 @@ def test_keyed_noise_matches_heap_tree(spark, horizon):
             if rnd.random() < 0.7:
                 rows.append((key, i, float(rnd.randint(0, 9))))
     got = _spark_releases(spark, rows, horizon, sigma)
+    params = PrivacyParams(horizon=horizon)
     for key in {r[0] for r in rows}:
-        tree = HeapTree(horizon, lambda j, k=key: sigma * keyed_gauss(SECRET, STREAM, k, j))
+        tree = HeapTree(horizon, lambda j, k=key: sigma * keyed_gauss(SECRET, release_scope(STREAM, params, sigma), k, j))
         for _, i, c in sorted(r for r in rows if r[0] == key):
             tree.add(i, c)
             assert abs(got[(key, i)] - tree.prefix(i)) < 1e-6, (key, i)
@@ -86,6 +88,21 @@ def test_hmac_matches_python(spark):
     assert got == hmac.new(long_key.encode(), b"m", hashlib.sha256).hexdigest()
 
 
+def test_releases_under_other_parameters_draw_other_noise(spark):
+    df = spark.createDataFrame([(f"k{j}", 0, float(j)) for j in range(40)], "key string, i long, cnt double")
+    draws = []
+    for params in (PrivacyParams(), PrivacyParams(epsilon=1.0), PrivacyParams(horizon=61), PrivacyParams(max_contributions=51),
+                   PrivacyParams(per_record_clamp=2.0), PrivacyParams(user_level=False)):
+        out = dp_prefix_sums(df, "key", params, SECRET, STREAM)
+        draws.append([(r["noisy"] - r["prefix"]) / params.sigma for r in out.orderBy("key").collect()])
+    other = dp_prefix_sums(df, "key", PrivacyParams(), SECRET, STREAM, trigger="hour")
+    draws.append([(r["noisy"] - r["prefix"]) / PrivacyParams().sigma for r in other.orderBy("key").collect()])
+    assert len({round(d[0], 9) for d in draws}) == len(draws)
+    for i, a in enumerate(draws):
+        for b in draws[:i]:
+            assert abs(np.corrcoef(a, b)[0, 1]) < 0.6  # no fixed linear map between two releases
+
+
 def test_secrets_are_redacted_from_plans(spark):
     import contextlib
     import io

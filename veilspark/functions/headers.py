@@ -104,6 +104,20 @@ def encode_header(fields: Mapping[str, Column]) -> Column:
     return F.to_json(F.struct(*[c.alias(k) for k, c in items]), {"ignoreNullFields": "false"})
 
 
+def update_header(header, fields: Mapping[str, Column]) -> Column:
+    """P4 over a header read at run time: its attributes with ``fields`` set, as canonical JSON.
+
+    Attributes keep their JSON values and types; none is added but ``fields``.
+    """
+    old = F.try_parse_json(_col(header)).try_cast("map<string,variant>")
+    old = F.coalesce(old, F.create_map().cast("map<string,variant>"))
+    set_ = F.create_map(*[x for k, c in fields.items() for x in (F.lit(k), c.cast("variant"))])
+    merged = F.map_concat(F.map_filter(old, lambda k, v: ~k.isin(*fields)), set_)
+    items = F.array_sort(F.transform(F.map_entries(merged), lambda e: F.struct(
+        e["key"].alias("k"), F.concat(F.to_json(e["key"].cast("variant")), F.lit(":"), F.coalesce(F.to_json(e["value"]), F.lit("null"))).alias("j"))))
+    return F.concat(F.lit("{"), F.array_join(F.transform(items, lambda e: e["j"]), ","), F.lit("}"))
+
+
 def envelope_reason(nonce, ciphertext, header) -> Column:
     """Null when the envelope is well formed, else a reason code."""
     n, c, h = _col(nonce), _col(ciphertext), _col(header)

@@ -10,8 +10,10 @@ gets ``sigma * z`` with
 A re-run task, a recomputed stage or a restarted stream therefore draws the
 very same noise for the same node, so re-computation never leaks a second,
 independent sample.  HMAC is two nested ``sha2`` calls, so it runs in the JVM.
-The secret enters plans only as two derived pads, which are registered with
-``spark.sql.redaction.string.regex``.
+The two pads derived from the secret come as columns of a one-row table
+(``veilspark.session.with_secrets``), so no plan shows them.  ``s`` is a *scope*: the stream's name with every
+parameter that the release depends on, so releases of the same counts under
+other parameters draw other noise and their difference cancels nothing.
 
 Tree arithmetic (T leaves padded to L = 2^H, H = ceil(log2 T)): the release at
 0-based index i sums, for each set bit b of n = i + 1, the node with
@@ -23,9 +25,10 @@ the noise needs the node ids.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLOCK = 64
@@ -45,11 +48,11 @@ def hmac_pads(secret: bytes | str) -> tuple[str, str]:
     return ipad, opad
 
 
-def hmac_sha256_hex(msg_utf8: Column, pads: tuple[str, str]) -> Column:
-    """HMAC-SHA256 hex digest of a string column (UTF-8 bytes)."""
-    ipad, opad = pads
-    inner = F.sha2(F.concat(F.unhex(F.lit(ipad)), F.encode(msg_utf8, "UTF-8")), 256)
-    return F.sha2(F.concat(F.unhex(F.lit(opad)), F.unhex(inner)), 256)
+def hmac_sha256_hex(msg_utf8: Column, pads: tuple[str | Column, str | Column]) -> Column:
+    """HMAC-SHA256 hex digest of a string column (UTF-8 bytes); pads as hex text or as binary columns."""
+    ipad, opad = (p if isinstance(p, Column) else F.unhex(F.lit(p)) for p in pads)
+    inner = F.sha2(F.concat(ipad, F.encode(msg_utf8, "UTF-8")), 256)
+    return F.sha2(F.concat(opad, F.unhex(inner)), 256)
 
 
 def noise_message(stream_id: str, key: Column, node: Column) -> Column:
@@ -68,7 +71,7 @@ def std_gaussian(h: Column) -> Column:
     )
 
 
-def node_noise(stream_id: str, key: Column, node: Column, pads: tuple[str, str]) -> Column:
+def node_noise(stream_id: str, key: Column, node: Column, pads: tuple[str | Column, str | Column]) -> Column:
     """Standard normal draw for one tree node of one key."""
     return std_gaussian(hmac_sha256_hex(noise_message(stream_id, key, node), pads))
 
@@ -83,7 +86,7 @@ def node_for_bit(n: Column, bit: int, height: int) -> Column:
 
 
 def prefix_noise(key: Column, index: Column, horizon: int, sigma: float, stream_id: str,
-                 pads: tuple[str, str]) -> Column:
+                 pads: tuple[str | Column, str | Column]) -> Column:
     """sigma x (sum of the node draws on the binary decomposition of index+1).
 
     Unrolled over the H + 1 bits at plan time (H is a constant of the
@@ -101,7 +104,7 @@ def prefix_noise(key: Column, index: Column, horizon: int, sigma: float, stream_
     return F.lit(float(sigma)) * total
 
 
-def register_secret(spark: SparkSession, pads: tuple[str, str]) -> None:
-    from veilspark.session import redact
-
-    redact(spark, *pads)
+def release_scope(stream_id: str, params, sigma: float, trigger: str = "trigger_id") -> str:
+    """What the noise of a release is bound to: its stream, trigger, privacy parameters and sigma (nine digits)."""
+    return json.dumps([stream_id, trigger, params.epsilon, params.delta, params.horizon, params.max_contributions,
+                       params.per_record_clamp, params.user_level, f"{sigma:.9g}"])

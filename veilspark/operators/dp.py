@@ -15,25 +15,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.functions.noise import hmac_pads, prefix_noise, register_secret
+from veilspark.functions.noise import hmac_pads, prefix_noise, release_scope
 from veilspark.operators.counts import prefix_sum
 from veilspark.params import PrivacyParams
+from veilspark.session import with_secrets
 
 
 def dp_prefix_sums(counts: DataFrame, key: str, params: PrivacyParams, secret: bytes | str, stream_id: str,
-                   index: str = "i", cnt: str = "cnt", sigma: float | None = None) -> DataFrame:
+                   index: str = "i", cnt: str = "cnt", sigma: float | None = None,
+                   trigger: str = "trigger_id") -> DataFrame:
     """(key, i, cnt) -> adds ``prefix`` (S_i) and ``noisy`` (S_i + noise).
 
-    Rows with ``i >= horizon`` are dropped here (A6); use ``horizon_split``
+    ``prefix`` is the exact count: drop it before anything is released or
+    written.  The noise is bound to ``release_scope``: stream, trigger definition
+    (``trigger`` names it) and parameters.  Rows with ``i >= horizon`` are dropped here (A6); use ``horizon_split``
     to report them.  ``sigma`` defaults to the calibrated value of ``params``.
     """
     sig = params.sigma if sigma is None else float(sigma)
-    pads = hmac_pads(secret)
-    register_secret(counts.sparkSession, pads)
     kept = counts.filter(F.col(index) < F.lit(int(params.horizon)))
     with_prefix = prefix_sum(kept, key, index, cnt, "prefix")
-    noise = prefix_noise(F.col(key), F.col(index), params.horizon, sig, stream_id, pads)
-    return with_prefix.withColumn("noisy", F.col("prefix").cast("double") + noise)
+    ipad, opad = map(bytes.fromhex, hmac_pads(secret))
+    with_prefix = with_secrets(with_prefix, __ipad=ipad, __opad=opad)
+    pads = F.col("__ipad"), F.col("__opad")
+    noise = prefix_noise(F.col(key), F.col(index), params.horizon, sig, release_scope(stream_id, params, sig, trigger), pads)
+    return with_prefix.withColumn("noisy", F.col("prefix").cast("double") + noise).drop("__ipad", "__opad")
 
 
 def horizon_split(counts: DataFrame, key: str, horizon: int, index: str = "i", cnt: str = "cnt") -> DataFrame:

@@ -28,8 +28,8 @@ def rounded_release(df: DataFrame, noisy: str = "noisy", name: str = "released")
 
 
 def latest_per_key(releases: DataFrame, key: str, index: str = "i",
-                   cols: tuple[str, ...] = ("noisy", "prefix")) -> DataFrame:
-    """Per key, the values of its release at the largest index.
+                   cols: tuple[str, ...] = ("noisy",)) -> DataFrame:
+    """Per key, the values of its release at the largest index (the noisy one alone by default).
 
     ``max_by`` is an aggregate with a partial phase, so a key's many
     releases are reduced before the exchange.

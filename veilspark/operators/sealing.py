@@ -8,8 +8,8 @@ split here into ``nonce`` and ``ciphertext``.
 
 Because the IV is random, a sealed column must be *materialised* (written)
 before it is used twice; ``seal_table`` callers write it with
-``veilspark.sources.sealed.write_sealed``.  Keys are never logged: their
-literals are registered with ``spark.sql.redaction.string.regex``.
+``veilspark.sources.sealed.write_sealed``.  Keys are data of a one-row table
+(``veilspark.session.with_secrets``): no plan, setting or event log shows one.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.functions.headers import NONCE_BYTES, encode_header, with_header
-from veilspark.session import redact
+from veilspark.functions.headers import NONCE_BYTES, encode_header, update_header, with_header
+from veilspark.session import with_secrets
 
 KEY_BYTES = 32  # 256-bit keys only
 
@@ -39,23 +39,23 @@ def key_hex(key: bytes | str) -> str:
     return raw.hex()
 
 
-def _key_col(df: DataFrame, key: bytes | str) -> Column:
-    kh = key_hex(key)
-    redact(df.sparkSession, kh)
-    return F.unhex(F.lit(kh))
+_KEY = "__sealing_key"
+
+
+def _with_key(df: DataFrame, key: bytes | str) -> DataFrame:
+    return with_secrets(df, **{_KEY: bytes.fromhex(key_hex(key))})
 
 
 def seal(df: DataFrame, payload: Column, header: Column, key: bytes | str) -> DataFrame:
     """Add ``header`` (string), ``nonce`` and ``ciphertext`` (binary) sealing ``payload`` (string)."""
-    k = _key_col(df, key)
     aad = F.encode(header, "UTF-8")
-    blob = F.aes_encrypt(F.encode(payload, "UTF-8"), k, F.lit("GCM"), F.lit("DEFAULT"), F.lit(b"").cast("binary"), aad)
+    blob = F.aes_encrypt(F.encode(payload, "UTF-8"), F.col(_KEY), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b"").cast("binary"), aad)
     return (
-        df.withColumn("header", header)
-        .withColumn("__blob", blob)
+        _with_key(df, key).withColumn("__blob", blob)
+        .withColumn("header", header)
         .withColumn("nonce", F.substring(F.col("__blob"), 1, NONCE_BYTES))
         .withColumn("ciphertext", F.expr(f"substring(__blob, {NONCE_BYTES + 1})"))
-        .drop("__blob")
+        .drop("__blob", _KEY)
     )
 
 
@@ -67,54 +67,53 @@ def seal_rows(df: DataFrame, header_fields: Mapping[str, Column], key: bytes | s
     return seal(df, payload, encode_header(header_fields), key)
 
 
-def unseal(nonce: Column, ciphertext: Column, header: Column, key_literal: Column) -> Column:
+def unseal(nonce: Column, ciphertext: Column, header: Column, key: Column) -> Column:
     """C2 building block: plaintext string, or null when authentication fails."""
     blob = F.concat(nonce, ciphertext)
     aad = F.encode(F.coalesce(header, F.lit("")), "UTF-8")
-    pt = F.try_aes_decrypt(blob, key_literal, F.lit("GCM"), F.lit("DEFAULT"), aad)
+    pt = F.try_aes_decrypt(blob, key, F.lit("GCM"), F.lit("DEFAULT"), aad)
     return F.decode(pt, "UTF-8")
 
 
 def unseal_table(df: DataFrame, key: bytes | str, name: str = "plaintext", reason: str = "seal_reason") -> DataFrame:
     """Add the plaintext and a reason (``auth_failed``) where unsealing fails."""
-    k = _key_col(df, key)
-    pt = unseal(F.col("nonce"), F.col("ciphertext"), F.col("header"), k)
-    return df.withColumn(name, pt).withColumn(reason, F.when(F.col(name).isNull(), F.lit("auth_failed")))
+    pt = unseal(F.col("nonce"), F.col("ciphertext"), F.col("header"), F.col(_KEY))
+    return _with_key(df, key).withColumn(name, pt).drop(_KEY).withColumn(reason, F.when(F.col(name).isNull(), F.lit("auth_failed")))
 
 
 def reroute(df: DataFrame, key: bytes | str, stage: str, downstream: str, producer_id: str, order_by: list,
             expected_source: str = "_DATASET", expected_destination: str = "_MAPPER") -> DataFrame:
     """Check DATASET -> MAPPER, unseal, re-seal for ``stage`` -> ``downstream``.
 
-    The new header keeps the input attributes (e.g. ``user_id``) and gets
-    ``producer_id`` plus ``seq``: 0, 1, ... over the envelopes that passed, in
-    ``order_by`` order (I5, a blocked scan).  Rows failing the route or the
-    tag keep a ``reason`` and get no new envelope.
+    The new header keeps every input attribute as it was and sets ``source``,
+    ``destination``, ``producer_id`` and ``seq``: 0, 1, ... over the envelopes
+    that passed, in ``order_by`` order (I5, a blocked scan).  Rows failing the
+    route or the tag keep a ``reason`` and get no new envelope.  What the scan
+    writes to the shared folder are the sealed rows; a body is in the clear only
+    within the projections that check its tag and that seal it again.
     """
     from veilspark.operators.integrity import sequence_stamp
 
-    k = _key_col(df, key)
     base = [c for c in df.columns if c not in ("header", "nonce", "ciphertext")]
-    checked = with_header(df, "header", "__h").withColumn(
-        "__pt", unseal(F.col("nonce"), F.col("ciphertext"), F.col("header"), k)
-    )
+    body = unseal(F.col("nonce"), F.col("ciphertext"), F.col("header"), F.col(_KEY))
+    checked = with_header(_with_key(df, key), "header", "__h")
     reason = (
         F.when(F.col("__h.source").isNull() | (F.col("__h.source") != F.lit(expected_source)), F.lit("source_mismatch"))
         .when(F.col("__h.destination").isNull() | (F.col("__h.destination") != F.lit(expected_destination)),
               F.lit("destination_mismatch"))
-        .when(F.col("__pt").isNull(), F.lit("auth_failed"))
+        .when(body.isNull(), F.lit("auth_failed"))
     )
-    checked = checked.withColumn("reason", reason)
+    checked = checked.withColumn("reason", reason).drop("__h", _KEY)
     ok = checked.filter(F.col("reason").isNull()).withColumn("__producer", F.lit(producer_id))
-    stamped = sequence_stamp(ok, "__producer", order_by, "__seq")
-    fields = {
+    stamped = sequence_stamp(ok, "__producer", order_by, "__seq").withColumnRenamed("header", "__old")
+    header = update_header(F.col("__old"), {
         "source": F.lit(stage),
         "destination": F.lit(downstream),
         "producer_id": F.col("__producer"),
         "seq": F.col("__seq"),
-        "user_id": F.col("__h.user_id"),
-    }
-    resealed = seal(stamped.drop("header", "nonce", "ciphertext"), F.col("__pt"), encode_header(fields), key)
+    })
+    opened = unseal(F.col("nonce"), F.col("ciphertext"), F.col("__old"), F.col(_KEY))
+    resealed = seal(_with_key(stamped, key).withColumn("__body", opened).drop(_KEY).drop("nonce", "ciphertext"), F.col("__body"), header, key)
     good = resealed.select(*base, "header", "nonce", "ciphertext", "reason")
     bad = checked.filter(F.col("reason").isNotNull()).select(
         *base, F.lit(None).cast("string").alias("header"), F.lit(None).cast("binary").alias("nonce"),

@@ -7,6 +7,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "veilspark",
@@ -39,8 +41,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it.  Only
-    when nothing is configured (local tests) do we make one of our own.
+    On a cluster this is ``spark.checkpoint.dir`` as the cluster names it, and
+    it must name one.  Only a local master (tests) gets a folder of our own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -49,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - older API shapes
             d = None
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="veilspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -67,18 +72,38 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/veilspark/{name}-{uuid.uuid4().hex}"
 
 
-def redact(spark: SparkSession, *secrets: str) -> None:
-    """Keep secret literals (keys, noise seeds) out of plans, UI and event logs."""
-    pats = [s for s in secrets if s]
-    if not pats:
-        return
-    import re
+#: What keys and noise secrets look like in a plan: a long run of hex digits.
+SECRET_SHAPE = "[0-9a-fA-F]{48,}"
+
+
+def redact(spark: SparkSession) -> None:
+    """A second guard for secrets that a caller's own expressions hold as literals.
 
+    Spark hides what matches ``spark.sql.redaction.string.regex`` in most plan
+    texts, though not in all that it logs; the library's own secrets are data
+    (``with_secrets``).  The setting itself is logged, so it names the *shape*
+    of secrets and never one of them.
+    """
     cur = spark.conf.get("spark.sql.redaction.string.regex", None)
-    new = "|".join(re.escape(p) for p in pats)
-    if cur and new in cur:
+    if cur and SECRET_SHAPE in cur:
         return
-    spark.conf.set("spark.sql.redaction.string.regex", f"{cur}|{new}" if cur else new)
+    spark.conf.set("spark.sql.redaction.string.regex", f"{cur}|{SECRET_SHAPE}" if cur else SECRET_SHAPE)
+
+
+def with_secrets(df, **secrets: bytes):
+    """``df`` with binary columns of the given names and values.
+
+    A literal would show in the plans that Spark logs.  The values come as a
+    table of one row instead, whose contents no plan shows, joined by broadcast.
+    """
+    spark = df.sparkSession
+    row = spark.createDataFrame([(0, *map(bytearray, secrets.values()))],
+                                "__secrets long, " + ", ".join(f"{n} binary" for n in secrets))
+    redact(spark)
+    # Always 0, but not a constant to the optimizer: so the join is a hash join.
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    zero = F.pmod(F.xxhash64(F.col(f"`{plain[0]}`")), F.lit(1)) if plain else F.lit(0).cast("long")
+    return df.withColumn("__secrets", zero).join(F.broadcast(row), "__secrets").drop("__secrets")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
