@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from veilspark.plans import catalog
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -36,8 +37,8 @@ def duck():
     return con
 
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+# The text operators have tests of their own in tests/llm.
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -62,3 +63,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_registers_all_of_them():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())

@@ -61,7 +61,7 @@ def test_stream_replay_equals_batch_over_batches(spark):
                               (F.col("event_id") - (F.col("event_id") * 37) % 200).alias("seq"))
     out, state = work_path(spark, "w4-out"), work_path(spark, "w4-state")
     run_foreach_batch(prep(_stream(spark, base)), ReplayBatch(out, state, "producer_id", "seq", ["ts", "event_id"], 128),
-                      "w4")
+                      "w4", checkpoint=work_path(spark, "w4-ckpt"))
     got = {r["event_id"]: r["reason"] for r in spark.read.parquet(out).collect()}
     want = {r["event_id"]: r["r"] for r in
             replay_filter(prep(ev), "producer_id", "seq", ["ts", "event_id"], 128, "r").collect()}
@@ -73,7 +73,7 @@ def test_stream_release_one_trigger_per_batch(spark):
     base, _ = _split_events(spark)
     counts, snaps = work_path(spark, "w3-counts"), work_path(spark, "w3-snaps")
     rel = StreamRelease(counts, snaps, "event_type", PrivacyParams(), "s", "unit")
-    run_foreach_batch(_stream(spark, base).select("event_type"), rel, "w3")
+    run_foreach_batch(_stream(spark, base).select("event_type"), rel, "w3", checkpoint=work_path(spark, "w3-ckpt"))
     s = spark.read.parquet(snaps)
     assert sorted(r[0] for r in s.select("snapshot_id").distinct().collect()) == [0, 1, 2]
     # the last snapshot equals a batch release over the three triggers

@@ -47,9 +47,9 @@ def merged_counts(partials: DataFrame, key: str, trigger: str, cnt: str = "cnt")
 def trigger_index(df: DataFrame, trigger: str = "trigger_id", name: str = "i", cnt: str | None = "cnt") -> DataFrame:
     """A3: (trigger, i) with i = 0, 1, ... over the distinct non-empty triggers.
 
-    With per-trigger counts, "non-empty" is ``cnt > 0``.  Reading the trigger
-    set from the counts' output also keeps Catalyst from re-deriving it from
-    the raw rows, so both uses of the counts share one aggregation exchange.
+    With per-trigger counts, "non-empty" is ``cnt > 0``.  The index is written in
+    a job of its own, so give it counts that are written already
+    (``veilspark.session.materialize``), else that job computes them again.
     """
     src = df.filter(F.col(cnt) > F.lit(0)) if cnt and cnt in df.columns else df
     return dense_index(src, trigger, name)

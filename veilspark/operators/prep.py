@@ -22,7 +22,7 @@ from veilspark.operators.scan import global_row_number, global_running_sum
 
 # The keys a record must carry, and the blank-body rule
 REQUIRED_KEYS = ("body", "category", "id", "rating")
-BLANK_PATTERN = r"^[\s\p{Z}]*$"
+BLANK_PATTERN = r"^[\s\p{Z}\x1c-\x1f\x85]*$"
 WEIGHT_SCALE = 1_000_000  # integer resolution of the lognormal weights
 MAX_BROADCAST_USERS = 200_000  # bucketed weight table <= 1M rows when broadcast
 

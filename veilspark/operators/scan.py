@@ -16,7 +16,7 @@ helpers here cut the arrival order into *blocks* instead:
    table; it is joined back on (key, block).
 
 For the key-less case (global positions) the carry table has one row per block,
-a bound known at plan time, so it is broadcast.
+a number known before, so it is broadcast up to 100,000 blocks.
 
 The blocked rows are *pinned* (written once as a parquet table in the shared
 folder, ``veilspark.session.materialize``) before the two passes read them.
@@ -42,39 +42,27 @@ def _cols(cs: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-BLOCK_BYTES_CONF = "veilspark.scan.blockBytes"
-_DEFAULT_BLOCK_BYTES = 128 * 1024 * 1024
+BLOCK_ROWS_CONF = "veilspark.scan.blockRows"
+_DEFAULT_BLOCK_ROWS = 1_000_000
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes scaled through the plan), if it has one.
+def num_blocks(spark: SparkSession, n: int | None = None, df: DataFrame | None = None) -> int:
+    """Blocks for a scan: ``n`` if given, else one for each ``veilspark.scan.blockRows`` rows that ``df`` has.
 
-    Plans without statistics (micro-batches, RDD-backed relations) report
-    ``spark.sql.defaultSizeInBytes``; that is "unknown", not a size.
+    The rows are counted (a pass that reads no column), not estimated: give a
+    written table where computing ``df`` is dear.
     """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM plan (e.g. Spark Connect): fall back to the conf
-        return None
-    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
-    if size >= unknown or size >= 2 ** 60:
-        return None
-    return size
-
-
-def num_blocks(spark: SparkSession, n: int | None = None, df: DataFrame | None = None) -> int:
-    """Blocks for a scan: ``n`` if given, else enough for ~128 MB each (``veilspark.scan.blockBytes``),
-    never fewer than ``spark.sql.shuffle.partitions`` nor more than the broadcastable bound."""
     if n:
         return int(n)
-    base = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     if df is None:
-        return base
-    size = _estimated_bytes(df)
-    if size is None:
-        return base
-    target = int(spark.conf.get(BLOCK_BYTES_CONF, str(_DEFAULT_BLOCK_BYTES)))
-    return int(min(_MAX_BROADCAST_BLOCKS, max(base, -(-size // max(1, target)))))
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    per = int(spark.conf.get(BLOCK_ROWS_CONF, str(_DEFAULT_BLOCK_ROWS)))
+    return max(1, -(-df.count() // max(1, per)))
+
+
+def _small(offsets: DataFrame, n: int) -> DataFrame:
+    """A table of at most ``n`` rows: broadcast up to a checked size, else joined like any other."""
+    return F.broadcast(offsets) if n <= _MAX_BROADCAST_BLOCKS else offsets
 
 
 def _pin(df: DataFrame) -> DataFrame:
@@ -99,8 +87,6 @@ def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: in
     from a broadcast table with one row per block (size fixed by ``n``).
     """
     n = num_blocks(df.sparkSession, n, df)
-    if n > _MAX_BROADCAST_BLOCKS:
-        raise ValueError("too many blocks for a broadcast offset table")
     mask = (1 << _LOCAL_BITS) - 1
     s = _pin(
         df.repartitionByRange(n, *_cols(order_by))
@@ -117,7 +103,7 @@ def global_row_number(df: DataFrame, order_by: Sequence, name: str = "rn", n: in
             F.sum("__n").over(Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("__off"),
     )
-    out = s.join(F.broadcast(offsets), BLK, "left").withColumn(
+    out = s.join(_small(offsets, n), BLK, "left").withColumn(
         name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__loc") + F.lit(1)).cast("long")
     )
     return out.drop("__mid", "__loc", "__off", BLK)
@@ -131,8 +117,6 @@ def global_running_sum(df: DataFrame, order_by: Sequence, value: str, name: str
     block offsets from a broadcast table with one row per block.
     """
     n = num_blocks(df.sparkSession, n, df)
-    if n > _MAX_BROADCAST_BLOCKS:
-        raise ValueError("too many blocks for a broadcast offset table")
     b = _pin(df.repartitionByRange(n, *_cols(order_by)).withColumn(BLK, F.spark_partition_id().cast("long")))
     local = Window.partitionBy(BLK).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, 0)
     scanned = b.withColumn("__lsum", F.sum(value).over(local))
@@ -142,7 +126,7 @@ def global_running_sum(df: DataFrame, order_by: Sequence, value: str, name: str
         F.coalesce(F.sum("__bsum").over(Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"),
     )
-    out = scanned.join(F.broadcast(offsets), BLK, "left").withColumn(
+    out = scanned.join(_small(offsets, n), BLK, "left").withColumn(
         name, F.col("__lsum") + F.coalesce(F.col("__off"), F.lit(0))
     )
     return out.drop("__lsum", "__off", BLK)

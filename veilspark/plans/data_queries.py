@@ -104,12 +104,19 @@ SELECT r.doc_id, c.user_id FROM r JOIN c ON r.x >= c.hi - c.weight AND r.x < c.h
 
 # ------------------------------------------------------------------ sealing
 
-def _sealed_docs_path(spark, sf_dir):
-    """Seal every document (payload = {doc_id, text}) for DATASET -> MAPPER and write it."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+def _sealed_docs_path(spark, sf_dir, **attributes):
+    """Seal every document (payload = {doc_id, text}) for DATASET -> MAPPER and write it.
+
+    The header has ``user_id`` and ``attributes``; with the latter, an attribute that is null in a row is left out there.
+    """
+    docs = table(spark, sf_dir, "documents")
     header = {"source": F.lit("_DATASET"), "destination": F.lit("_MAPPER"),
-              "user_id": (F.col("doc_id") % DOC_USERS).cast("long")}
-    sealed = sealing.seal_rows(docs, header, fx.FIXTURE_KEY_HEX, ["doc_id", "text"])
+              "user_id": (F.col("doc_id") % DOC_USERS).cast("long"), **attributes}
+    if attributes:
+        docs = docs.select("doc_id", "text", F.to_json(F.struct(*[c.alias(k) for k, c in sorted(header.items())])).alias("h"))
+        sealed = sealing.seal(docs, F.to_json(F.struct("doc_id", "text")), F.col("h"), fx.FIXTURE_KEY_HEX).drop("h")
+    else:
+        sealed = sealing.seal_rows(docs.select("doc_id", "text"), header, fx.FIXTURE_KEY_HEX, ["doc_id", "text"])
     path = work_path(spark, "sealed-docs")
     write_sealed(sealed, path, extra_cols=["doc_id"])
     return path
@@ -177,8 +184,12 @@ FROM documents""".strip()
 
 @register("reroute_headers")
 def q_reroute_headers(spark, sf_dir):
-    """DATASET -> MAPPER envelopes re-sealed for the spout -> split edge (tampered ones rejected)."""
-    s = _read_docs(spark, _sealed_docs_path(spark, sf_dir))
+    """DATASET -> MAPPER envelopes re-sealed for the spout -> split edge (tampered ones rejected).
+
+    Every header has a tenant and a size, every fifth one no user: all must come through as they are.
+    """
+    user = F.when(F.col("doc_id") % 5 != 0, (F.col("doc_id") % DOC_USERS).cast("long"))
+    s = _read_docs(spark, _sealed_docs_path(spark, sf_dir, user_id=user, tenant=F.col("source"), size=F.col("n_chars")))
     t = s.withColumn("header", F.when(F.col("doc_id") % 11 == 0, F.regexp_replace("header", "_MAPPER", "_MAPPEX"))
                      .otherwise(F.col("header")))
     down = DOWNSTREAM[MAPPER_STAGE][0]
@@ -195,10 +206,13 @@ def q_reroute_headers(spark, sf_dir):
 
 
 ORACLES["reroute_headers"] = f"""
-WITH ok AS (SELECT doc_id, text, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS seq
+WITH ok AS (SELECT doc_id, text, source, n_chars, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS seq
             FROM documents WHERE doc_id % 11 <> 0)
-SELECT doc_id, CAST(json_object('destination', '{DOWNSTREAM[MAPPER_STAGE][0]}', 'producer_id', '{MAPPER_PRODUCER}',
-                                'seq', seq, 'source', '{MAPPER_STAGE}', 'user_id', doc_id % {DOC_USERS}) AS VARCHAR)
+SELECT doc_id, CASE WHEN doc_id % 5 <> 0
+       THEN CAST(json_object('destination', '{DOWNSTREAM[MAPPER_STAGE][0]}', 'producer_id', '{MAPPER_PRODUCER}', 'seq', seq,
+                             'size', n_chars, 'source', '{MAPPER_STAGE}', 'tenant', source, 'user_id', doc_id % {DOC_USERS}) AS VARCHAR)
+       ELSE CAST(json_object('destination', '{DOWNSTREAM[MAPPER_STAGE][0]}', 'producer_id', '{MAPPER_PRODUCER}', 'seq', seq,
+                             'size', n_chars, 'source', '{MAPPER_STAGE}', 'tenant', source) AS VARCHAR) END
        AS header, text, CAST(NULL AS VARCHAR) AS reason FROM ok
 UNION ALL
 SELECT doc_id, NULL, NULL, 'destination_mismatch' FROM documents WHERE doc_id % 11 = 0""".strip()

@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import math
 
-from veilspark.functions.noise import TWO48, hmac_pads, tree_height
-from veilspark.operators.calibration import ORDER_HI_PAD, ORDER_LO, RHO_HI_PAD
+from veilspark.functions.noise import TWO48, tree_height
 from veilspark.plans import queries as Q
 
 ORACLES: dict[str, str] = {}
 
 C = Q.PARAMS.max_contributions
 
+# Sigma of the registered releases (delta 1e-5, T 60, C 50, L_m 1) by epsilon, and the HMAC pads of the fixture secret.
+SIGMA = {10.0: 53.58072704605254, 1.0: 409.255684277121}
+FIXTURE_PADS = ("40535f5a454657445d1b505f4e424344531b45535544534236363636363636363636363636363636363636363636363636363636363636363636363636363636",
+                "2a3935302f2c3d2e37713a352428292e39712f393f2e39285c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c")
+
 
 def _reg(name: str, sql: str) -> None:
     ORACLES[name] = sql.strip()
@@ -53,7 +57,7 @@ idx_all AS (SELECT m.trigger_id, m.event_type, m.cnt, t.i FROM merged m JOIN tri
 
 
 def _noise_sql(key: str, index: str, horizon: int, sigma: float, stream: str) -> str:
-    ipad, opad = hmac_pads(Q.TEST_SECRET)
+    ipad, opad = FIXTURE_PADS
     h = tree_height(horizon)
     n = f"(CAST({index} AS BIGINT) + 1)"
     terms = []
@@ -70,8 +74,10 @@ def _noise_sql(key: str, index: str, horizon: int, sigma: float, stream: str) ->
 
 
 def _releases_cte(params, name: str = "rel", idx: str = "idx_all", key: str = "event_type",
-                  stream: str = Q.EVENT_STREAM) -> str:
-    noise = _noise_sql(key, "i", params.horizon, params.sigma, stream)
+                  stream: str = Q.EVENT_STREAM, trigger: str = "trigger_id") -> str:
+    sigma = SIGMA[params.epsilon]
+    scope = (f'["{stream}", "{trigger}", {params.epsilon!r}, 1e-05, 60, 50, 1.0, true, "{sigma:.9g}"]')
+    noise = _noise_sql(key, "i", 60, sigma, scope)
     return f"""
 {name}_p AS (SELECT {key}, i, cnt,
                CAST(sum(cnt) OVER (PARTITION BY {key} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
@@ -160,7 +166,7 @@ SELECT event_type, i, released FROM (
 
 _reg("latest_snapshot", f"""
 WITH {BOUNDED_EVENTS}, {_releases_cte(Q.PARAMS)}
-SELECT event_type, max(i) AS i, arg_max(prefix, i) AS prefix, round(arg_max(noisy, i), 6) AS noisy
+SELECT event_type, max(i) AS i, round(arg_max(noisy, i), 6) AS noisy
 FROM rel GROUP BY event_type""")
 
 _reg("release_order", f"""
@@ -187,7 +193,7 @@ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
 cnts AS (SELECT turn, word, count(*) AS cnt FROM b GROUP BY ALL),
 trig AS (SELECT turn, CAST(row_number() OVER (ORDER BY turn) - 1 AS BIGINT) AS i FROM (SELECT DISTINCT turn FROM cnts)),
 widx AS (SELECT c.word, c.cnt, t.i FROM cnts c JOIN trig t USING (turn)),
-{_releases_cte(Q.PARAMS, 'wrel', 'widx', 'word', Q.WORD_STREAM)},
+{_releases_cte(Q.PARAMS, 'wrel', 'widx', 'word', Q.WORD_STREAM, 'turn')},
 latest AS (SELECT word, max(i) AS i, arg_max(noisy, i) AS noisy FROM wrel GROUP BY word),
 kept AS (SELECT *, CAST(floor(noisy + 0.5) AS BIGINT) AS released FROM latest WHERE floor(noisy + 0.5) >= 0)
 SELECT CAST(row_number() OVER (ORDER BY noisy DESC, word ASC) AS BIGINT) AS rank, word, i, released FROM kept""")
@@ -221,30 +227,9 @@ SELECT g.c AS max_contributions, count(*) AS users, count(CASE WHEN n > g.c THEN
 FROM totals, g GROUP BY g.c""")
 
 
-def _bisect_sql(steps: int, lo: str, hi: str, go_up: str, acc: str) -> str:
-    """``list_reduce`` bisection: keep the upper half while ``go_up`` (in terms of ``m``) holds."""
-    m = f"(({acc}.lo + {acc}.hi) / 2.0)"
-    cond = go_up.replace("{m}", m)
-    return (f"list_reduce(range({steps}), lambda {acc}, step: CASE WHEN {cond} "
-            f"THEN {{'lo': {m}, 'hi': {acc}.hi}} ELSE {{'lo': {acc}.lo, 'hi': {m}}} END, "
-            f"{{'lo': CAST({lo} AS DOUBLE), 'hi': CAST({hi} AS DOUBLE)}})")
-
-
-def _rho_sql(eps: str, delta: str, steps: int = 100) -> str:
-    """rho-zCDP for (eps, delta): outer bisection on rho, inner bisection on the Renyi order.
-
-    100 halvings per search pass the floating-point fixed point for these
-    ranges; DuckDB has no log1p, so ln(1 - 1/a) stands in (it moves the root
-    by ~1e-13 relative, far below the rounding of the compared columns).
-    """
-    r = "((o.lo + o.hi) / 2.0)"
-    inner = _bisect_sql(steps, repr(ORDER_LO), f"({eps} + 1.0) / (2.0 * {r}) + {ORDER_HI_PAD!r}",
-                        f"((2.0 * {{m}} - 1.0) * {r} - {eps} + ln(1.0 - 1.0 / {{m}})) < 0", "b")
-    a = f"(({inner}).lo + ({inner}).hi) / 2.0"
-    delta_at_r = f"least(1.0, exp(({a} - 1.0) * ({a} * {r} - {eps}) + ({a}) * ln(1.0 - 1.0 / ({a}))) / ({a} - 1.0))"
-    outer = _bisect_sql(steps, "0.0", f"{eps} + {RHO_HI_PAD!r}", f"({delta_at_r}) <= {delta}", "o")
-    return f"({outer}).lo"
-
+# Rho-zCDP of (epsilon, delta = 1e-5); a test checks each against the conversion formula.
+RHO = {0.1: 0.0004329937294018, 1.0: 0.030556595197640, 10.0: 1.7826956163289518}
+_rho = "CASE epsilon " + " ".join(f"WHEN {e!r} THEN CAST({r!r} AS DOUBLE)" for e, r in RHO.items()) + " END"
 
 _eps_list = ", ".join(f"CAST({e!r} AS DOUBLE)" for e in Q.GRID_EPSILONS)
 _reg("calibration_sweep", f"""
@@ -254,7 +239,7 @@ loss AS (SELECT g.c AS max_contributions,
          FROM totals, g GROUP BY g.c),
 grid AS (SELECT max_contributions, loss, unnest([{_eps_list}]) AS epsilon,
                 CAST({Q.PARAMS.delta!r} AS DOUBLE) AS delta, CAST({Q.PARAMS.horizon} AS BIGINT) AS horizon FROM loss),
-r AS (SELECT *, {_rho_sql('epsilon', 'delta')} AS rho FROM grid)
+r AS (SELECT *, {_rho} AS rho FROM grid)
 SELECT max_contributions, round(loss, 9) AS loss, epsilon, delta, horizon, round(rho, 9) AS rho,
        round(sqrt(ln(horizon) * power(max_contributions * {Q.PARAMS.per_record_clamp!r}, 2) / (2.0 * rho)), 6) AS sigma
 FROM r""")

@@ -17,7 +17,7 @@ from veilspark.operators import bounding, calibration, counts, dp, release
 from veilspark.plans import fixtures as fx
 from veilspark.plans.histogram import private_histogram
 from veilspark.params import PrivacyParams
-from veilspark.session import table
+from veilspark.session import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -140,7 +140,7 @@ def q_merged_counts(spark, sf_dir):
 
 
 def _indexed(spark, sf_dir, horizon=None) -> DataFrame:
-    merged = counts.merged_counts(_partials(spark, sf_dir), "event_type", "trigger_id")
+    merged = materialize(counts.merged_counts(_partials(spark, sf_dir), "event_type", "trigger_id"), "trigger-counts")
     trig = counts.trigger_index(merged, "trigger_id", "i")
     return counts.with_trigger_index(merged, trig, "trigger_id", "i", horizon=horizon)
 
@@ -148,7 +148,7 @@ def _indexed(spark, sf_dir, horizon=None) -> DataFrame:
 @register("trigger_index")
 def q_trigger_index(spark, sf_dir):
     """A3: 0-based index of the non-empty day triggers."""
-    merged = counts.merged_counts(_partials(spark, sf_dir), "event_type", "trigger_id")
+    merged = materialize(counts.merged_counts(_partials(spark, sf_dir), "event_type", "trigger_id"), "trigger-counts")
     return counts.trigger_index(merged, "trigger_id", "i")
 
 
@@ -189,7 +189,7 @@ def q_release_round(spark, sf_dir):
 def q_latest_snapshot(spark, sf_dir):
     """Each event_type's latest release."""
     latest = release.latest_per_key(_releases(spark, sf_dir), "event_type")
-    return latest.select("event_type", "i", "prefix", F.round("noisy", 6).alias("noisy"))
+    return latest.select("event_type", "i", F.round("noisy", 6).alias("noisy"))
 
 
 @register("release_order")

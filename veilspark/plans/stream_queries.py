@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from veilspark.params import DEFAULT_REPLAY_WINDOW
 from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES, _releases_cte
-from veilspark.plans.queries import EVENT_STREAM, PARAMS, TEST_SECRET, register
+from veilspark.plans.queries import PARAMS, TEST_SECRET, register
 from veilspark.session import table, work_path
 from veilspark.streaming.bounding import stream_bound_contributions
 from veilspark.streaming.release import StreamRelease
@@ -22,6 +22,7 @@ from veilspark.streaming.run import arrival_stream, run_foreach_batch, run_to_pa
 
 
 BATCHES = 3
+RELEASE_STREAM = "events-micro-batches"  # noise of its own: its triggers are other ones than the days'
 
 
 def _events_stream(spark, sf_dir, cols):
@@ -35,7 +36,7 @@ def q_stream_bounding(spark, sf_dir):
     """Per-user bounding as keyed streaming state (first 50 arrivals per user)."""
     ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
     kept = stream_bound_contributions(ev, "user_id", fx.EVENT_ORDER, PARAMS.max_contributions)
-    out = run_to_parquet(kept, "stream-bounding", runs=runs)
+    out = run_to_parquet(kept, "stream-bounding", checkpoint=work_path(spark, "stream-bounding-ckpt"), runs=runs)
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
@@ -53,7 +54,7 @@ def q_stream_replay(spark, sf_dir):
                    (F.col("event_id") - (F.col("event_id") * 37) % 200).alias("seq"))
     out, state = work_path(spark, "stream-replay-out"), work_path(spark, "stream-replay-state")
     replay = ReplayBatch(out, state, "producer_id", "seq", fx.EVENT_ORDER, DEFAULT_REPLAY_WINDOW)
-    run_foreach_batch(ev, replay, "stream-replay", runs=runs)
+    run_foreach_batch(ev, replay, "stream-replay", checkpoint=work_path(spark, "stream-replay-ckpt"), runs=runs)
     return spark.read.parquet(out).select("event_id", "producer_id", "seq", F.col("reason").alias("replay_reason"))
 
 
@@ -66,8 +67,8 @@ def q_stream_release(spark, sf_dir):
     ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
     kept = stream_bound_contributions(ev, "user_id", fx.EVENT_ORDER, PARAMS.max_contributions)
     counts, snaps = work_path(spark, "stream-release-counts"), work_path(spark, "stream-release-snaps")
-    run_foreach_batch(kept, StreamRelease(counts, snaps, "event_type", PARAMS, TEST_SECRET, EVENT_STREAM),
-                      "stream-release", runs=runs)
+    run_foreach_batch(kept, StreamRelease(counts, snaps, "event_type", PARAMS, TEST_SECRET, RELEASE_STREAM),
+                      "stream-release", checkpoint=work_path(spark, "stream-release-ckpt"), runs=runs)
     s = spark.read.parquet(snaps)
     last = s.agg(F.max("snapshot_id")).first()[0]
     return s.filter(F.col("snapshot_id") == F.lit(last)).select(
@@ -83,7 +84,7 @@ bev AS (SELECT * FROM (SELECT *, CAST(floor(arrival / ((n + {BATCHES} - 1) // {B
 cnt AS (SELECT batch, event_type, count(*) AS cnt FROM bev GROUP BY ALL),
 trig AS (SELECT batch, CAST(row_number() OVER (ORDER BY batch) - 1 AS BIGINT) AS i FROM (SELECT DISTINCT batch FROM cnt)),
 idx AS (SELECT c.event_type, c.cnt, t.i FROM cnt c JOIN trig t USING (batch)),
-{_releases_cte(PARAMS, 'srel', 'idx')},
+{_releases_cte(PARAMS, 'srel', 'idx', stream=RELEASE_STREAM, trigger='micro-batch')},
 latest AS (SELECT event_type, arg_max(noisy, i) AS noisy FROM srel GROUP BY event_type),
 kept AS (SELECT event_type, noisy, CAST(floor(noisy + 0.5) AS BIGINT) AS released FROM latest
          WHERE floor(noisy + 0.5) >= 0)

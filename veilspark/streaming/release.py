@@ -13,8 +13,9 @@ the batch replaces the 2 s flush tick, W2).  ``StreamRelease`` is the
    (T2), rank (T1) and rounding (P8);
 3. write that snapshot under ``snapshot_id = batch_id`` (S5).
 
-The counts table holds at most (keys x triggers) rows and only the first
-``horizon`` non-empty triggers ever reach a release.
+Only the first ``horizon`` non-empty triggers ever reach a release, so the counts
+table holds at most keys x horizon rows: a later trigger writes nothing and is
+counted in ``cut_triggers``.
 """
 
 from __future__ import annotations
@@ -38,12 +39,14 @@ class StreamRelease:
         self.params = params
         self.secret = secret
         self.stream_id = stream_id
+        self.cut_triggers = 0  # non-empty triggers of this run beyond the horizon
 
     def release(self, counts: DataFrame) -> DataFrame:
         k = self.key
         trig = trigger_index(counts, "trigger_id", "i")
         idx = with_trigger_index(counts, trig, "trigger_id", "i", horizon=self.params.horizon)
-        rel = dp_prefix_sums(idx.select(k, "i", "cnt"), k, self.params, self.secret, self.stream_id)
+        rel = dp_prefix_sums(idx.select(k, "i", "cnt"), k, self.params, self.secret, self.stream_id,
+                             trigger="micro-batch")
         return ordered_release(latest_per_key(rel, k), k)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -53,10 +56,21 @@ class StreamRelease:
         try:
             if counts.isEmpty():
                 return  # an empty trigger does not advance the index
+            if self._full(spark, batch_id):
+                self.cut_triggers += 1
+                return
             self._write(spark, counts, batch_id)
         finally:
             counts.unpersist()
 
+    def _full(self, spark, batch_id: int) -> bool:
+        """Have ``horizon`` earlier batches written counts."""
+        fs_path = spark._jvm.org.apache.hadoop.fs.Path(self.counts_path)
+        if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+            return False
+        before = spark.read.parquet(self.counts_path).select("trigger_id").filter(F.col("trigger_id") < F.lit(int(batch_id)))
+        return before.distinct().count() >= self.params.horizon
+
     def _write(self, spark, counts: DataFrame, batch_id: int) -> None:
         k = self.key
         (counts.withColumn("trigger_id", F.lit(int(batch_id)).cast("long"))

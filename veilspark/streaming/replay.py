@@ -6,8 +6,9 @@ and the seqs seen within the last ``window`` below it (at most ``window``
 values per producer: the state is bounded).  The carried seqs enter the
 batch filter as arrivals that precede every row of the batch.
 
-The carry is a small table written per batch id (``batch_id=<id>``) and read
-by the next batch, and the output is written per batch id with dynamic
+The carry is a small table written per batch id (``batch_id=<id>``), an empty one
+too, and read by the next batch; only batch 0 has none.  A carry that can't be
+read stops the query: without it every window would be open again.  And the output is written per batch id with dynamic
 partition overwrite, so a replayed batch id reads the same carry and rewrites
 the same output: idempotent under retries and restarts.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from veilspark.operators.integrity import replay_filter
 from veilspark.params import DEFAULT_REPLAY_WINDOW
 
-_CARRY_SCHEMA = "producer string, max_seen long, recent array<long>, batch_id long"
+_CARRY_SCHEMA = "producer string, max_seen long, recent array<long>"
 _MARK = "__batch_row"
 
 
@@ -44,21 +45,21 @@ class ReplayBatch:
         self.order_by = list(order_by)
         self.window = int(window)
 
+    def _part(self, batch_id: int) -> str:
+        return f"{self.state_path.rstrip('/')}/batch_id={batch_id}"
+
     def _carry(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        empty = spark.createDataFrame([], _CARRY_SCHEMA)
         if batch_id == 0:
-            return empty.drop("batch_id")
-        part = f"{self.state_path.rstrip('/')}/batch_id={batch_id - 1}"
-        try:  # read only the previous batch's carry, not a listing of every batch so far
-            return spark.read.schema(_CARRY_SCHEMA.replace(", batch_id long", "")).parquet(part)
-        except Exception:  # noqa: BLE001 - the previous batch wrote nothing
-            return empty.drop("batch_id")
+            return spark.createDataFrame([], _CARRY_SCHEMA)
+        # Only the previous batch's carry, not a listing of every batch so far; fails if it is not there.
+        return spark.read.schema(_CARRY_SCHEMA).parquet(self._part(batch_id - 1))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         p, s, w = self.producer, self.seq, self.window
         carry = self._carry(spark, batch_id)
-        seeds = carry.select(
+        here = batch.select(F.col(p).alias("producer")).distinct()
+        seeds = carry.join(here, "producer", "left_semi").select(
             F.col("producer").alias(p),
             F.explode(F.array_union(F.coalesce("recent", F.array().cast("array<long>")), F.array("max_seen"))).alias(s),
         ).filter(F.col(s).isNotNull())
@@ -72,11 +73,12 @@ class ReplayBatch:
         checked = replay_filter(combined, p, s, order, w, "reason").persist()
         try:
             _write_partition(checked.filter(F.col(_MARK)).drop(_MARK), self.out_path, batch_id)
-            self._write_carry(checked, batch_id)
+            self._write_carry(checked, carry.join(here, "producer", "left_anti"), batch_id)
         finally:
             checked.unpersist()
 
-    def _write_carry(self, checked: DataFrame, batch_id: int) -> None:
+    def _write_carry(self, checked: DataFrame, others: DataFrame, batch_id: int) -> None:
+        """``others``: the carry of producers that the batch has no row of, kept as it is."""
         p, s, w = self.producer, self.seq, self.window
         # next carry from the seeds plus this batch's accepted rows, bounded to the window
         acc = checked.filter(~F.col(_MARK) | F.col("reason").isNull()).select(p, s)
@@ -84,4 +86,4 @@ class ReplayBatch:
         recent = (acc.join(top, p).filter(F.col(s) > F.col("max_seen") - F.lit(w))
                   .groupBy(p).agg(F.collect_set(s).alias("recent")))  # <= window values per producer
         nxt = top.join(recent, p, "left").select(F.col(p).alias("producer"), "max_seen", "recent")
-        _write_partition(nxt, self.state_path, batch_id)
+        nxt.unionByName(others).write.mode("overwrite").parquet(self._part(batch_id))

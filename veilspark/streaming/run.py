@@ -1,13 +1,13 @@
 """Running streaming queries: sources over the driver tables and availableNow runs.
 
 Checkpoints and outputs go under the shared folder named by
-``spark.checkpoint.dir`` (``veilspark.session.work_path``), so a restarted
-query resumes from its state store and offsets.
+``spark.checkpoint.dir`` (``veilspark.session.work_path``).  The caller names the
+checkpoint: a query restarted with it resumes from its state store and offsets,
+while a fresh one would give every user a new contribution budget.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +26,10 @@ def parquet_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    if os.path.isfile(path):
-        return r.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
-    return r.parquet(path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if spark.read.format("binaryFile").option("pathGlobFilter", name).load(folder).isEmpty():  # by Spark's own file system
+        return r.parquet(path)
+    return r.option("pathGlobFilter", name).parquet(folder)
 
 
 def arrival_stream(spark: SparkSession, table: DataFrame, order_by: list, rows_per_batch: int) -> tuple[DataFrame, int]:
@@ -61,7 +62,7 @@ def _start(writer, runs: int):
 
 
 def run_to_parquet(stream: DataFrame, name: str, out_path: str | None = None,
-                   checkpoint: str | None = None, runs: int = 1) -> str:
+                   *, checkpoint: str, runs: int = 1) -> str:
     """Append the stream to parquet until all available input is processed; returns the output path.
 
     ``runs`` > 1 restarts the query that many times from its checkpoint
@@ -69,7 +70,6 @@ def run_to_parquet(stream: DataFrame, name: str, out_path: str | None = None,
     """
     spark = stream.sparkSession
     out_path = out_path or work_path(spark, f"{name}-out")
-    checkpoint = checkpoint or work_path(spark, f"{name}-ckpt")
     writer = (stream.writeStream.format("parquet").option("path", out_path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     _start(writer, runs)
@@ -77,14 +77,12 @@ def run_to_parquet(stream: DataFrame, name: str, out_path: str | None = None,
 
 
 def run_foreach_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], name: str,
-                      checkpoint: str | None = None, processing_time: str | None = None, runs: int = 1) -> None:
+                      *, checkpoint: str, processing_time: str | None = None, runs: int = 1) -> None:
     """Drive ``fn`` over micro-batches: availableNow (``runs`` restarts), or a processing-time trigger.
 
     With ``processing_time`` (the flush/snapshot tick of W2/W3) the query runs
     until stopped; the call blocks on it.
     """
-    spark = stream.sparkSession
-    checkpoint = checkpoint or work_path(spark, f"{name}-ckpt")
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if processing_time:
         q = w.trigger(processingTime=processing_time).start()
