@@ -60,25 +60,19 @@ class _FirstArrivals(StatefulProcessor):
 
 
 def _partial_first_arrivals(user: str, order_by: Sequence[str], limit: int):
-    """mapInPandas body: per input partition, each user's first ``limit`` rows by arrival.
+    """mapInPandas body: per Arrow chunk, each user's first ``limit`` rows by arrival.
 
     The global first ``limit`` arrivals of a user are always among the union
-    of the per-partition first ``limit``, so this map-side cut is exact; it
-    caps what one user ships to the stateful task at limit x partitions rows.
-    Memory: at most ``limit`` candidate rows per user seen in the partition.
+    of the per-chunk first ``limit``, so this map-side cut is exact; it
+    caps what one user ships to the stateful task at limit x chunks rows.
+    Memory: one chunk.
     """
     order = list(order_by)
 
     def run(batches):
-        best: pd.DataFrame | None = None
         for chunk in batches:
-            if chunk.empty:
-                continue
-            cand = chunk if best is None else pd.concat([best, chunk], ignore_index=True)
-            cand = cand.sort_values([user, *order], kind="mergesort")
-            best = cand.groupby(user, sort=False, dropna=False).head(limit)
-        if best is not None and not best.empty:
-            yield best.reset_index(drop=True)
+            ordered = chunk.sort_values([user, *order], kind="mergesort")
+            yield ordered.groupby(user, sort=False, dropna=False).head(limit).reset_index(drop=True)
 
     return run
 
