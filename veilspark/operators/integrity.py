@@ -16,7 +16,7 @@ I7  routing-table check: exactly one downstream per stage, known names only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +41,17 @@ def _literal_map(pairs: dict) -> Column:
     return F.create_map(*items)
 
 
-def route_check(df: DataFrame, stage: str, source: str, destination: str, name: str = "route_reason") -> DataFrame:
+def route_check(df: DataFrame, stage: str, source: str, destination: str, name: str = "route_reason",
+                routes: Mapping[str, tuple[str | None, str]] = EXPECTED_INPUT) -> DataFrame:
     """Compare header source/destination with the expectations of ``stage``.
 
-    The routes are a fixed table of five stages, so the lookup is a literal
-    map in the projection (no join, no shuffle, no broadcast); a stage
-    without an entry fails as ``unknown_stage``.
+    ``routes`` names each stage's expected (source or None for any,
+    destination); the default is the example's graph.  A graph is a short
+    list written by hand, so the lookup is a literal map in the projection
+    (no join, no shuffle); a stage without an entry fails as ``unknown_stage``.
     """
-    exp_src_map = _literal_map({k: v[0] for k, v in EXPECTED_INPUT.items()})
-    exp_dst_map = _literal_map({k: v[1] for k, v in EXPECTED_INPUT.items()})
+    exp_src_map = _literal_map({k: v[0] for k, v in routes.items()})
+    exp_dst_map = _literal_map({k: v[1] for k, v in routes.items()})
     st, src, dst = F.col(stage), F.col(source), F.col(destination)
     known = F.coalesce(F.map_contains_key(exp_dst_map, st), F.lit(False))
     exp_src, exp_dst = F.element_at(exp_src_map, st), F.element_at(exp_dst_map, st)
@@ -212,20 +214,31 @@ def apply_policy(df: DataFrame, reason: str = REASON, policy: str = "quarantine"
 
 def verified_stage(df: DataFrame, stage: str, source: str, destination: str, producer: str, seq: str,
                    order_by: Sequence, policy: str = "quarantine", check_routes: bool = True,
-                   check_replay: bool = True, window: int = DEFAULT_REPLAY_WINDOW):
-    """Route check, required fields and replay window, then the policy.
-
-    A value that fails the route or required-field check is rejected before
-    it reaches the replay window, so it never advances a producer's window.
+                   check_replay: bool = True, window: int = DEFAULT_REPLAY_WINDOW,
+                   more: Sequence[tuple[str, str, str, str]] = (), opened: Sequence[str] = (),
+                   routes: Mapping[str, tuple[str | None, str]] = EXPECTED_INPUT):
+    """Routes, tags, agreement, required fields and replay window, then the policy.
+
+    ``more`` names the (source, destination, producer, seq) columns of further
+    envelopes of the same value: each must have come by the stage's route, and
+    all must agree on producer and seq (I2).  ``opened`` names columns of
+    unsealed bodies; null means that the tag did not hold.  A value that fails
+    any of these is rejected before it reaches the replay window, so it never
+    advances a producer's window.
     """
     out = df
     pre = []
     if check_routes:
-        out = route_check(out, stage, source, destination, "__route")
-        pre.append(F.col("__route"))
+        for i, (src, dst) in enumerate([(source, destination), *((m[0], m[1]) for m in more)]):
+            out = route_check(out, stage, src, dst, f"__route{i}", routes)
+            pre.append(F.col(f"__route{i}"))
+    pre += [F.when(F.col(c).isNull(), F.lit("auth_failed")) for c in opened]
     if check_replay:
         pre.append(required_reason(F.col(producer), F.col(seq)))
-    out = out.withColumn(REASON, _first_reason(*pre) if pre else F.lit(None).cast("string")).drop("__route")
+        if more:
+            pre.append(agreement_reason([F.col(producer), *(F.col(m[2]) for m in more)], [F.col(seq), *(F.col(m[3]) for m in more)]))
+    out = out.withColumn(REASON, _first_reason(*pre) if pre else F.lit(None).cast("string"))
+    out = out.drop(*[f"__route{i}" for i in range(len(more) + 1)])
     if check_replay:
         passed = out.filter(F.col(REASON).isNull()).drop(REASON)
         failed = out.filter(F.col(REASON).isNotNull())

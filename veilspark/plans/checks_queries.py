@@ -154,17 +154,19 @@ SELECT event_id, CASE WHEN producer_id IS NULL THEN 'missing_producer' WHEN seq
 def q_header_agreement(spark, sf_dir):
     """The word and count envelopes of one event must carry the same (producer_id, seq).
 
-    The count envelope's seq is moved by one where event_id % 9 = 0.
+    The count envelope's seq is moved by one where event_id % 9 = 0, its producer is another where event_id % 10 = 0.
     """
     h = _parsed_headers(spark, sf_dir)
     count_seq = F.when(F.col("event_id") % 9 == 0, F.col("h.seq") + 1).otherwise(F.col("h.seq"))
-    reason = integrity.agreement_reason([F.col("h.producer_id"), F.col("h.producer_id")], [F.col("h.seq"), count_seq])
+    count_producer = F.when(F.col("event_id") % 10 == 0, F.concat("h.producer_id", F.lit("-2"))).otherwise(F.col("h.producer_id"))
+    reason = integrity.agreement_reason([F.col("h.producer_id"), count_producer], [F.col("h.seq"), count_seq])
     return h.select("event_id", reason.alias("reason"))
 
 
 ORACLES["header_agreement"] = f"""
 WITH {PARSED_SQL}
-SELECT event_id, CASE WHEN event_id % 9 = 0 AND seq IS NOT NULL THEN 'header_mismatch' END AS reason FROM ph""".strip()
+SELECT event_id, CASE WHEN (event_id % 9 = 0 AND seq IS NOT NULL) OR (event_id % 10 = 0 AND producer_id IS NOT NULL)
+                      THEN 'header_mismatch' END AS reason FROM ph""".strip()
 
 # ------------------------------------------------------------------ I4, I5
 
@@ -275,3 +277,45 @@ ok AS (SELECT * FROM pre WHERE pre_reason IS NULL),
 rp AS ({_replay_sql('ok')}),
 allr AS (SELECT replay_reason AS reason FROM rp UNION ALL SELECT pre_reason FROM pre WHERE pre_reason IS NOT NULL)
 SELECT coalesce(reason, 'accepted') AS reason, count(*) AS cnt FROM allr GROUP BY ALL""".strip()
+
+
+#: A graph of the caller's own, beside the example's stages.
+AUDIT_ROUTES = {"audit": (None, "user-contribution-bounding"), "tally": ("sentence-split", "user-contribution-bounding")}
+
+
+@register("verified_stage")
+def q_verified_stage(spark, sf_dir):
+    """U3 on a graph of one's own: two envelopes per value, tags, agreement, required fields, replay; the reason of each event.
+
+    The second envelope is the first one's but for its destination where event_id % 23 = 0 and its seq where
+    event_id % 9 = 0; the tag does not hold where event_id % 13 = 0; every 17th seq is that of the event before.
+    """
+    e = F.col("event_id")
+    seq = F.when(e % 17 == 0, F.col("h.seq") - 1).otherwise(F.col("h.seq"))
+    h = _parsed_headers(spark, sf_dir).select(
+        "event_id", "ts", F.when(e % 2 == 0, F.lit("audit")).otherwise(F.lit("tally")).alias("stage"),
+        F.col("h.source").alias("src"), F.col("h.destination").alias("dst"), F.lit("p").alias("producer"),
+        seq.alias("seq"), F.when(e % 23 == 0, F.lit("elsewhere")).otherwise(F.col("h.destination")).alias("dst2"),
+        F.when(e % 9 == 0, seq + 1).otherwise(seq).alias("seq2"), F.when(e % 13 != 0, F.lit("body")).alias("body"))
+    flagged = integrity.verified_stage(
+        materialize(h, "parsed-headers"), "stage", "src", "dst", "producer", "seq", fx.EVENT_ORDER, policy="flag", window=REPLAY_WINDOW,
+        more=[("src", "dst2", "producer", "seq2")], opened=["body"], routes=AUDIT_ROUTES)
+    return flagged.select("event_id", "reason")
+
+
+_AUDIT_ROUTE_SQL = """CASE WHEN event_id % 2 = 1 AND source IS NULL THEN 'missing_source'
+     WHEN event_id % 2 = 1 AND source <> 'sentence-split' THEN 'source_mismatch'
+     WHEN destination IS NULL THEN 'missing_destination'
+     WHEN destination <> 'user-contribution-bounding' THEN 'destination_mismatch'
+     WHEN event_id % 23 = 0 THEN 'destination_mismatch' END"""
+
+ORACLES["verified_stage"] = f"""
+WITH {PARSED_SQL},
+two AS (SELECT event_id, ts, source, destination, 'p' AS producer_id,
+               CASE WHEN event_id % 17 = 0 THEN seq - 1 ELSE seq END AS seq FROM ph),
+pre AS (SELECT *, coalesce({_AUDIT_ROUTE_SQL}, CASE WHEN event_id % 13 = 0 THEN 'auth_failed' END, {REQ_SQL},
+                           CASE WHEN event_id % 9 = 0 THEN 'header_mismatch' END) AS pre_reason FROM two),
+ok AS (SELECT * FROM pre WHERE pre_reason IS NULL),
+rp AS ({_replay_sql('ok')})
+SELECT event_id, replay_reason AS reason FROM rp
+UNION ALL SELECT event_id, pre_reason FROM pre WHERE pre_reason IS NOT NULL""".strip()

@@ -44,10 +44,10 @@ def bounding_stage(params: PrivacyParams, user: str, order_by: Sequence) -> Stag
 
 
 def verified(stage: str, source: str, destination: str, producer: str, seq: str, order_by: Sequence,
-             check_routes: bool = True, check_replay: bool = True) -> Stage:
-    """U3 as a stage: route + required fields + replay window, failing the job on a violation."""
+             check_routes: bool = True, check_replay: bool = True, **more) -> Stage:
+    """U3 as a stage: all checks of ``verified_stage`` (which takes ``more``), failing the job on a violation."""
     return lambda df: verified_stage(df, stage, source, destination, producer, seq, order_by, policy="fail",
-                                     check_routes=check_routes, check_replay=check_replay)
+                                     check_routes=check_routes, check_replay=check_replay, **more)
 
 
 def word_histogram(df: DataFrame, text: str, user: str, trigger: str, order_by: Sequence, params: PrivacyParams,
