@@ -143,3 +143,24 @@ def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_header_numbers(spark):
+    from veilspark.functions.headers import parse_header
+
+    cases = {'{"seq":5.7}': 5, '{"seq":1e3}': 1000, '{"seq":"7"}': 7, '{"seq":" 7 "}': None, '{"seq":"5.7"}': None, '{"seq":-3}': -3,
+             '{"seq":9223372036854775807}': 2**63 - 1, '{"seq":"x"}': None, '{"seq":null}': None, '{"a":1}': None}
+    df = spark.createDataFrame([(k,) for k in cases], "h string")
+    assert {r.h: r.s for r in df.select("h", parse_header("h")["seq"].alias("s")).collect()} == cases
+
+
+def test_sealed_values_must_be_text(spark, tmp_path):
+    from veilspark.sources.sealed import read_sealed
+
+    (tmp_path / "a.json").write_text('{"header":{"a":1},"nonce":"AAAA","ciphertext":"AAAA"}\n{"header":"h","nonce":null,"ciphertext":"AAAA"}\n'
+                                     '{"header":null,"nonce":"AAAA","ciphertext":"AAAA"}\n{"nonce":"AAAA","ciphertext":"AAAA"}\n')
+    rows = read_sealed(spark, str(tmp_path / "a.json")).collect()
+    assert sorted((r.header, r.nonce) for r in rows if r.nonce) == [("", bytearray(3))] and [r.header for r in rows if not r.nonce] == ["h"]
+    (tmp_path / "b.json").write_text('{"header":"h","nonce":1234,"ciphertext":"AAAA"}\n')
+    with pytest.raises(Exception, match="nonce must be text"):
+        read_sealed(spark, str(tmp_path / "b.json")).collect()

@@ -58,14 +58,22 @@ def _header_map(header) -> Column:
     return F.when(blank, F.lit(None).cast("map<string,string>")).otherwise(F.from_json(h, "map<string,string>"))
 
 
-def _fields_from_map(m: Column) -> Column:
+def _whole_number(m: Column, header, key: str) -> Column:
+    """A header's number: JSON numbers lose their fraction; text must be digits alone, with a sign at most."""
+    v = m[key]
+    as_text = _col(header).rlike(f'"{key}"\\s*:\\s*"')
+    number = F.coalesce(v.try_cast("long"), v.try_cast("double").try_cast("long"))
+    return F.when(as_text, F.when(v.rlike("^[+-]?[0-9]+$"), v.try_cast("long"))).otherwise(number)
+
+
+def _fields_from_map(m: Column, header) -> Column:
     out = F.struct(
         m["source"].alias("source"),
         m["destination"].alias("destination"),
         m["producer_id"].alias("producer_id"),
-        m["seq"].try_cast("long").alias("seq"),
+        _whole_number(m, header, "seq").alias("seq"),
         F.map_filter(m, lambda k, v: ~k.isin(*RESERVED)).alias("attrs"),
-        m["user_id"].try_cast("long").alias("user_id"),
+        _whole_number(m, header, "user_id").alias("user_id"),
     )
     return F.when(m.isNull(), F.lit(None).cast(HEADER_TYPE)).otherwise(out)
 
@@ -78,13 +86,13 @@ def parse_header(header) -> Column:
     null or malformed headers give null.  Prefer ``with_header`` on a
     DataFrame: it keeps the parse in its own projection so it runs once per row.
     """
-    return _fields_from_map(_header_map(header))
+    return _fields_from_map(_header_map(header), header)
 
 
 def with_header(df: DataFrame, header: str = "header", name: str = "h") -> DataFrame:
     """Add the parsed header struct ``name`` (see ``parse_header``), parsing each header once."""
     m = "__header_map"
-    return df.withColumn(m, _header_map(header)).withColumn(name, _fields_from_map(F.col(m))).drop(m)
+    return df.withColumn(m, _header_map(header)).withColumn(name, _fields_from_map(F.col(m), header)).drop(m)
 
 
 HEADER_TYPE = ("struct<source:string,destination:string,producer_id:string,seq:bigint,"

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SEALED_SCHEMA = "header string, nonce string, ciphertext string"
 
 
 def write_sealed(df: DataFrame, path: str, extra_cols: list[str] | None = None, mode: str = "errorifexists") -> None:
@@ -29,7 +28,8 @@ def read_sealed(spark: SparkSession, path: str, multi_line: bool = False, extra_
                 strict: bool = False) -> DataFrame:
     """(header string, nonce binary, ciphertext binary [, extra]) of every entry with a header.
 
-    ``strict`` (array form only) fails unless every file's top level is a JSON
+    A header that is no text counts as empty; a nonce or ciphertext that is no
+    text is an error.  ``strict`` (array form only) fails unless every file's top level is a JSON
     array; Spark's reader alone would accept a lone object as one record.  It
     reads each file's text once more (the array form is read whole per file
     anyway).
@@ -38,12 +38,20 @@ def read_sealed(spark: SparkSession, path: str, multi_line: bool = False, extra_
         not_array = spark.read.text(path, wholetext=True).filter(~F.col("value").rlike(r"^\s*\["))
         if not not_array.isEmpty():
             raise ValueError("sealed dataset must be a JSON array")
-    schema = SEALED_SCHEMA + (", " + extra_schema if extra_schema else "")
+    # As VARIANT, so that a value's JSON type is known: text, or something that a plain string column would turn into text.
+    schema = "header variant, nonce variant, ciphertext variant" + (", " + extra_schema if extra_schema else "")
     raw = spark.read.schema(schema).option("multiLine", str(bool(multi_line)).lower()).option("mode", "FAILFAST").json(path)
     extras = [f.split()[0] for f in extra_schema.split(",") if f.strip()] if extra_schema else []
-    return raw.filter(F.col("header").isNotNull()).select(
-        "header",
-        F.to_binary(F.col("nonce"), F.lit("base64")).alias("nonce"),
-        F.to_binary(F.col("ciphertext"), F.lit("base64")).alias("ciphertext"),
+    kind = F.schema_of_variant("header")
+
+    def text(name):
+        k = F.schema_of_variant(name)
+        wrong = F.raise_error(F.concat(F.lit(f"{name} must be text, is "), k)).cast("string")
+        return F.when(k == "STRING", F.col(name).cast("string")).when(k != "VOID", wrong)
+
+    return raw.filter(F.col("header").isNotNull() & (kind != "VOID")).select(
+        F.when(kind == "STRING", F.col("header").cast("string")).otherwise(F.lit("")).alias("header"),
+        F.to_binary(text("nonce"), F.lit("base64")).alias("nonce"),
+        F.to_binary(text("ciphertext"), F.lit("base64")).alias("ciphertext"),
         *extras,
     )
