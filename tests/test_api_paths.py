@@ -114,7 +114,7 @@ def test_stream_word_histogram_equals_batch_pipeline(spark):
     params = PrivacyParams(max_contributions=20)
     counts, snaps = work_path(spark, "wh-counts"), work_path(spark, "wh-snaps")
     stream_word_histogram(stream, "text", "user_id", ["user_id", "turn"], params, "s", "unit", counts, snaps,
-                          work_path(spark, "wh-ckpt"), runs=runs)
+                          work_path(spark, "wh-ckpt"), runs=runs, trigger="batch")
     last = spark.read.parquet(snaps)
     last = last.filter(F.col("snapshot_id") == last.agg(F.max("snapshot_id")).first()[0])
     got = {(r["key"], r["count"], r["rank"]) for r in last.collect()}

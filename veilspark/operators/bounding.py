@@ -38,9 +38,8 @@ def bound_contributions(df: DataFrame, user: str, order_by: Sequence, max_contri
 
     ``order_by`` must be a total order within a user (end it with a unique
     tie-breaker); the result is then deterministic, so task retries reproduce
-    it exactly.  Rows with a null user are kept (B2): they take a separate
-    branch joined back with ``unionByName`` so the bounded branch keeps the
-    WindowGroupLimit rewrite.
+    it exactly.  Rows with a null user are kept (B2): each is a group of its
+    own, so one read serves both kinds and the WindowGroupLimit rewrite stays.
 
     Spark plans the map-side partial limit only for limits up to
     ``spark.sql.optimizer.windowGroupLimitThreshold``; above it, the rank comes
@@ -50,19 +49,20 @@ def bound_contributions(df: DataFrame, user: str, order_by: Sequence, max_contri
     if max_contributions < 1:
         raise ValueError("max_contributions must be at least 1")
     rn = "__rn"
-    with_user = df.filter(F.col(user).isNotNull())
+    alone = "__alone"
+    grouped = df.withColumn(alone, F.when(F.col(user).isNull(), F.monotonically_increasing_id()))
     if max_contributions <= _group_limit_threshold(df):
-        w = Window.partitionBy(user).orderBy(*_orders(order_by))
-        ranked = with_user.withColumn(rn, F.row_number().over(w))
+        w = Window.partitionBy(user, alone).orderBy(*_orders(order_by))
+        ranked = grouped.withColumn(rn, F.row_number().over(w))
     else:
-        ranked = keyed_row_number(with_user, [user], order_by, rn)
+        # Null users have no order to keep; the carry join of the blocked scan needs keys that are there.
+        keys = grouped.withColumn("__user", F.coalesce(F.col(user).cast("string"), F.lit("")))
+        keys = keys.withColumn(alone, F.coalesce(alone, F.lit(-1).cast("long")))
+        ranked = keyed_row_number(keys, ["__user", alone], order_by, rn).drop("__user")
     kept = ranked.filter(F.col(rn) <= F.lit(max_contributions))
-    no_user = df.filter(F.col(user).isNull())
     if rank_col:
-        kept = kept.withColumn(rank_col, F.col(rn).cast("long"))
-        no_user = no_user.withColumn(rank_col, F.lit(None).cast("long"))
-    kept = kept.drop(rn)
-    return kept.unionByName(no_user)
+        kept = kept.withColumn(rank_col, F.when(F.col(user).isNotNull(), F.col(rn)).cast("long"))
+    return kept.drop(rn, alone)
 
 
 def apply_privacy_level(df: DataFrame, params: PrivacyParams, user: str, order_by: Sequence) -> DataFrame:

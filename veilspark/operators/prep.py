@@ -24,7 +24,6 @@ from veilspark.operators.scan import global_row_number, global_running_sum
 REQUIRED_KEYS = ("body", "category", "id", "rating")
 BLANK_PATTERN = r"^[\s\p{Z}\x1c-\x1f\x85]*$"
 WEIGHT_SCALE = 1_000_000  # integer resolution of the lognormal weights
-MAX_BROADCAST_USERS = 200_000  # bucketed weight table <= 1M rows when broadcast
 
 
 def has_key(record: Column, key: str) -> Column:
@@ -91,8 +90,7 @@ def assign_weighted_users(df: DataFrame, record_id: str, num_users: int, seed: s
 
     The weight table is cut into buckets of the cumulative axis so the lookup
     is an equi-join on the bucket plus a range filter; the bucketed table has
-    at most num_users + 4 x num_users rows and is broadcast when num_users is
-    at most ``MAX_BROADCAST_USERS`` (a shuffle join beyond).
+    at most num_users + 4 x num_users rows, and Spark chooses the join by its size.
     """
     spark = df.sparkSession
     weights = user_weights(spark, num_users, seed)
@@ -105,7 +103,5 @@ def assign_weighted_users(df: DataFrame, record_id: str, num_users: int, seed: s
     ).filter(F.col("hi") > F.col("lo"))
     draw = F.pmod(_keyed_uniform48(F.lit(seed), F.lit("record"), F.col(record_id).cast("string")), F.lit(int(total)))
     recs = df.withColumn("__x", draw).withColumn("__bucket", F.floor(F.col("__x") / width))
-    # at most num_users + n_buckets rows: broadcast while that bound is small, else a shuffle join
-    side = F.broadcast(buckets) if num_users <= MAX_BROADCAST_USERS else buckets
-    joined = recs.join(side, "__bucket").filter((F.col("__x") >= F.col("lo")) & (F.col("__x") < F.col("hi")))
+    joined = recs.join(buckets, "__bucket").filter((F.col("__x") >= F.col("lo")) & (F.col("__x") < F.col("hi")))
     return joined.drop("__bucket", "__x", "lo", "hi", name).withColumnRenamed("__user", name)

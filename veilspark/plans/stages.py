@@ -59,13 +59,15 @@ def word_histogram(df: DataFrame, text: str, user: str, trigger: str, order_by:
 
 def stream_word_histogram(stream: DataFrame, text: str, user: str, order_by: Sequence[str], params: PrivacyParams,
                           secret: bytes | str, stream_id: str, counts_path: str, snapshots_path: str,
-                          checkpoint: str, runs: int = 1, processing_time: str | None = None) -> None:
+                          checkpoint: str, runs: int = 1, processing_time: str | None = None,
+                          trigger: str = "micro-batch") -> None:
     """U4 on a stream: tokenize -> per-user bound (keyed state) -> one trigger per non-empty micro-batch ->
     DP release written as a ranked snapshot per batch (W1 -> W3/W5 -> S5).
 
     ``order_by`` is the arrival order of the records; tokens follow it by
     position.  ``processing_time`` sets the snapshot tick; without it the
-    stream runs availableNow ``runs`` times from ``checkpoint``.
+    stream runs availableNow ``runs`` times from ``checkpoint``.  ``trigger``
+    names the trigger that the noise is bound to.
     """
     from veilspark.streaming.bounding import stream_bound_contributions
     from veilspark.streaming.release import StreamRelease
@@ -74,6 +76,6 @@ def stream_word_histogram(stream: DataFrame, text: str, user: str, order_by: Seq
     toks = tokenize(stream, text, keep=[c for c in stream.columns if c != text])
     order = [*order_by, "pos"]
     bounded = stream_bound_contributions(toks, user, order, params.max_contributions) if params.user_level else toks
-    release = StreamRelease(counts_path, snapshots_path, "word", params, secret, stream_id)
+    release = StreamRelease(counts_path, snapshots_path, "word", params, secret, stream_id, trigger)
     run_foreach_batch(bounded, release, "word-histogram", checkpoint=checkpoint, processing_time=processing_time,
                       runs=runs)

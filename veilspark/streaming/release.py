@@ -32,13 +32,15 @@ from veilspark.sources.snapshot import write_snapshot
 
 class StreamRelease:
     def __init__(self, counts_path: str, snapshots_path: str, key: str, params: PrivacyParams,
-                 secret: bytes | str, stream_id: str):
+                 secret: bytes | str, stream_id: str, trigger: str = "micro-batch"):
+        """``trigger`` names what a trigger is; the noise is bound to it, as in a batch release by that column."""
         self.counts_path = counts_path
         self.snapshots_path = snapshots_path
         self.key = key
         self.params = params
         self.secret = secret
         self.stream_id = stream_id
+        self.trigger = trigger
         self.cut_triggers = 0  # non-empty triggers of this run beyond the horizon
 
     def release(self, counts: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ class StreamRelease:
         trig = trigger_index(counts, "trigger_id", "i")
         idx = with_trigger_index(counts, trig, "trigger_id", "i", horizon=self.params.horizon)
         rel = dp_prefix_sums(idx.select(k, "i", "cnt"), k, self.params, self.secret, self.stream_id,
-                             trigger="micro-batch")
+                             trigger=self.trigger)
         return ordered_release(latest_per_key(rel, k), k)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
