@@ -122,5 +122,5 @@ def materialize(df, name: str = "pinned"):
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
