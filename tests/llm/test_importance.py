@@ -75,3 +75,13 @@ def test_odd_rows(spark):
     assert len({(r.gumbel_key, r.kept) for r in rows if r.doc_id == 5}) == 1
     assert all(r.kept for r in importance.resample(docs, labels.limit(0)).collect())
     assert importance.resample(empty(spark), labels).collect() == []
+
+
+def test_toxic_documents_are_rejected(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = importance.resample(docs, labels, keep=["doc_id"]).join(labels, "doc_id").groupBy("quality", "toxic").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {(r.quality, r.toxic): r.kept for r in rows.collect()}
+    assert kept[1, 0] > 0.95
+    assert kept[1, 1] < 0.6
+    assert max(kept[0, 0], kept[0, 1]) < 0.05
