@@ -1,6 +1,7 @@
 """Base places and template blocks against a direct scan."""
 
 import re
+import textwrap
 from fractions import Fraction
 
 from helpers import documents, empty, odd, odd_rows
@@ -66,3 +67,26 @@ def test_odd_rows(spark):
     check(docs)
     assert licenses.scan(docs).count() == len(odd_rows())
     assert licenses.scan(empty(spark)).collect() == []
+
+
+def test_wrapped_and_commented_notices(spark):
+    rows = []
+    for prefix in ("", "// ", " * ", "# "):
+        for width in (40, 72):
+            for i, (label, template) in enumerate(licenses.TEMPLATES):
+                lines = textwrap.wrap(template, width)
+                text = "\n".join(["Copyright (c) 2020 somebody.", *[prefix + x for x in lines], "int main() { return 0; }"])
+                rows.append((len(rows), f"{text}\n{text}", i, label, len(lines)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, template int, label string, n long")
+    for r in licenses.scan(docs).collect():
+        found = [(b.line, b.containment) for b in r.blocks if b.template == r.template]
+        assert len(found) == 2 and r.label in r.labels.split(","), r.text
+        if r.n > 2:
+            assert found == [(1, 1.0), (r.n + 3, 1.0)], r.text
+
+
+def test_scattered_words_are_no_run(spark):
+    far = " filler" * 60 + "\n"
+    text = far.join(licenses.TEMPLATES[3][1].split())
+    (row,) = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert row.blocks == [] and row.labels == ""

@@ -3,7 +3,12 @@
 Two kinds of finding:
 
 * *base*: places where the words of a phrase stand consecutively;
-* *blocks*: lines whose set of words has at least ``threshold`` of a template's.
+* *blocks*: lines, and runs of words across lines, whose set of words has at least ``threshold`` of a template's.
+
+A run has at most the template's words divided by ``threshold``, so a wrapped or
+commented notice is found wherever its lines break.  Lines count first: runs that
+touch a line with the same template are left out, and of runs that overlap the
+one with the most of the template's words counts.
 
 The block join is exact.  A first pass counts in how many documents each word of
 the templates occurs; words are ordered from rare to frequent.  If a block has
@@ -18,7 +23,9 @@ The templates are a fixed list, so they travel with the tasks.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,6 +105,8 @@ class Templates:
         self.rank = {w: i for i, w in enumerate(every)}
         # Less a billionth, so that a product like 0.8 * 5 that rounds up does not ask for one more.
         self.need = [math.ceil(threshold * len(t) - 1e-9) for t in self.words]
+        # Words of a run across lines.
+        self.reach = [int(len(words(text)) / threshold + 1e-9) for _, text in templates]
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for i, t in enumerate(self.words):
             for at, w in enumerate(sorted(t, key=self.rank.get)[: len(t) - self.need[i] + 1]):
@@ -122,6 +131,39 @@ class Templates:
         return out
 
 
+    def runs(self, found: list[bytes], lines: list[int], template: int, taken: set[int]) -> list[tuple[int, float]]:
+        """(line, containment) of the runs of ``found`` across lines that hold enough of the template.
+
+        ``lines`` is the line of each word; runs that touch a line in ``taken`` don't count.
+        """
+        wanted, need, reach = self.words[template], self.need[template], self.reach[template]
+        at = [i for i, w in enumerate(found) if w in wanted]
+        held: Counter = Counter()
+        windows, first = [], 0
+        for i in at:
+            held[found[i]] += 1
+            while i - at[first] >= reach or held[found[at[first]]] > 1:
+                held[found[at[first]]] -= 1
+                if not held[found[at[first]]]:
+                    del held[found[at[first]]]
+                first += 1
+            if len(held) >= need and taken.isdisjoint(range(lines[at[first]], lines[i] + 1)):
+                windows.append((at[first], i, len(held)))
+        out, done, k = [], -1, 0
+        while k < len(windows):
+            if windows[k][0] <= done:
+                k += 1
+                continue
+            end, best = windows[k][1], windows[k]
+            while k < len(windows) and windows[k][0] <= end:
+                if windows[k][2] > best[2]:
+                    best = windows[k]
+                k += 1
+            done = best[1]
+            out.append((lines[best[0]], best[2] / len(wanted)))
+        return out
+
+
 def word_frequencies(docs: DataFrame, templates: list[tuple[str, str]], text_col: str = "text") -> dict[bytes, int]:
     """In how many rows each word of the templates occurs."""
     known = frozenset(w for _, text in templates for w in words(text))
@@ -151,8 +193,8 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.8, phrase
 
     ``n_words``; ``n_base`` places of the phrases, the first and last place
     (words from 0, null without one) and ``base_labels``; ``blocks`` (line from
-    0, label, template's number, containment) of all lines with at least
-    ``threshold`` of a template's words; ``labels`` of both kinds; ``score``: 1
+    0, label, template's number, containment) of all lines, and runs of words
+    across lines (their first line), with at least ``threshold`` of a template's words; ``labels`` of both kinds; ``score``: 1
     with a base label, else the largest containment, else 0.  Labels are
     distinct, sorted and comma-joined, empty without any.  Null texts count as
     empty; every row gives one row; columns that have the name of an output are
@@ -170,9 +212,16 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.8, phrase
             base = places(found, phrases)
             blocks = []
             if not index.first.isdisjoint(found):
-                for line, part in enumerate(text.split("\n")):
-                    blocks += [{"line": line, "label": index.label[i], "template": i, "containment": share}
-                               for i, share in index.match(set(words(part)))]
+                parts = [words(part) for part in text.split("\n")]
+                hits = [(line, i, share) for line, part in enumerate(parts) for i, share in index.match(set(part))]
+                if len(parts) > 1:
+                    ends = list(accumulate(map(len, parts)))
+                    lines = None
+                    for i, _ in index.match(set(found)):
+                        lines = lines or [bisect_right(ends, k) for k in range(len(found))]
+                        hits += [(line, i, share) for line, share in index.runs(found, lines, i, {h[0] for h in hits if h[1] == i})]
+                blocks = [{"line": line, "label": index.label[i], "template": i, "containment": share}
+                          for line, i, share in sorted(hits, key=lambda h: h[:2])]
             at = [p for p, _ in base]
             base_labels = {label for _, label in base}
             score = 1.0 if base else max((b["containment"] for b in blocks), default=0.0)
