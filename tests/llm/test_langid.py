@@ -102,3 +102,21 @@ def test_odd_rows(spark):
     assert langid.identify(empty(spark), "true", "true").collect() == []
     unlearned = langid.identify(odd(spark), "false", "false").collect()
     assert {(r.lang_pred, r.score, r.rejected) for r in unlearned} == {("und", 0.0, False)}
+
+
+def test_unseen_grams_miss_in_a_full_table():
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 1 << 62, 1 << 21).astype(np.uint64)
+    table = np.sort(langid._hash(keys, 4)), np.zeros(len(keys), np.float32)
+    probe = langid._hash(rng.integers(0, 1 << 62, 200_000).astype(np.uint64), 4)
+    assert langid.Models._find(table, probe)[0].sum() == 0
+    assert langid.Models._find(table, langid._hash(keys[:1000], 4))[0].all()
+
+
+def test_parts_of_a_language_add_up(spark):
+    docs = spark.createDataFrame([(lang, t) for lang, ts in TEXTS.items() for t in ts], "lang string, text string")
+    model = langid.entries(langid.count_grams(docs))
+    n = model.filter("lang = 'aa'").count()
+    whole, parts = ([r.entropies for r in langid.score(docs, model, group_entries=g)[0].orderBy("lang", "text").collect()]
+                    for g in (10 * n, n // 2))
+    assert np.allclose(whole, parts, rtol=1e-9)

@@ -10,10 +10,11 @@ n counts occurrences at the highest order and, below, the different characters
 seen before the gram; D = n1 / (n1 + 2 n2) per order and language; below the
 first order stands the uniform law over all characters seen and one more.
 All seen grams of orders 1 to 4 (with P) and contexts (with the weight of the
-shorter history) of a language lie in one array sorted by a 24-bit hash, beside an
-array of the logarithms; so a language takes at most 2^24 entries of 8
-bytes, and languages go to the tasks in groups of at most ``group_entries``
-entries, one pass over the texts for each group.
+shorter history) of a language lie in one array sorted by a 64-bit hash, beside an
+array of the logarithms, 12 bytes an entry.  Languages go to the tasks in groups
+of at most ``group_entries`` entries, one pass over the texts for each group.  A
+language with more is cut by the character before the last one of a gram, which
+all entries that one place of a text needs have in common; the passes' sums add up.
 
 The prediction is the language with the least cross-entropy per character.
 A calibration part of the training rows, which the models never saw, gives the
@@ -28,7 +29,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +37,7 @@ from veilspark.llm.common import add_columns, slices
 from veilspark.session import materialize
 
 ORDER = 4
-HASH_BITS = 24
+HASH_BITS = 64
 UNKNOWN = "und"
 _PAD = ORDER - 1
 _MASK = [(1 << 16 * k) - 1 for k in range(ORDER + 1)]
@@ -128,7 +129,7 @@ def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
 
 
 def _hash(keys: np.ndarray, kind: int) -> np.ndarray:
-    """The upper HASH_BITS of Spark's xxhash64(kind, key)."""
+    """Spark's xxhash64(kind, key)."""
     def rotl(x, r):
         return x << np.uint64(r) | x >> np.uint64(64 - r)
 
@@ -141,15 +142,15 @@ def _hash(keys: np.ndarray, kind: int) -> np.ndarray:
 
     with np.errstate(over="ignore"):
         seed = one(np.array([kind], np.uint64), np.array([42], np.uint64))
-        return (one(keys, seed) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+        return one(keys, seed).view(np.int64)
 
 
 def entries(grams: DataFrame) -> DataFrame:
-    """``lang``, ``slot``, ``value``: the logarithms that the models need, by hash.
+    """``lang``, ``near``, ``slot``, ``value``: the logarithms that the models need, by hash.
 
     Kinds 1 to 4 are grams with P, kinds 6 to 8 the contexts of orders 2 to 4
     with the shorter history's weight, kind 5 the probability of a character
-    never seen.  Entries of one hash share the larger value.
+    never seen.  ``near`` is the character before the last one, null for kinds 1 and 5.
     """
     counts = {ORDER: grams.select("lang", F.col("gram").alias("key"), F.col("n").alias("c"))}
     for k in range(ORDER - 1, 0, -1):
@@ -176,14 +177,19 @@ def entries(grams: DataFrame) -> DataFrame:
         weight = F.ln(F.col("weight") / symbols) if k == 1 else F.ln("weight")
         parts.append(sums.select("lang", F.lit(ORDER + k).cast("long").alias("kind"), F.col("ctx").alias("key"), weight.alias("value")))
     every = functools.reduce(DataFrame.unionByName, parts)
-    slot = F.shiftrightunsigned(F.xxhash64("kind", "key"), 64 - HASH_BITS)
-    return materialize(every.groupBy("lang", slot.alias("slot")).agg(F.max("value").cast("float").alias("value")), "langid-model")
+    near = (F.when(F.col("kind").between(2, ORDER), F.shiftrightunsigned("key", 16)).when(F.col("kind") > ORDER + 1, F.col("key"))
+            .bitwiseAND(F.lit(_MASK[1])))
+    return materialize(every.select("lang", near.alias("near"), F.xxhash64("kind", "key").alias("slot"),
+                                    F.col("value").cast("float").alias("value")), "langid-model")
 
 
 class Models:
-    """Models of a group of languages: per language sorted hashes and their logarithms."""
+    """Models of a group of languages: per language, or part of one, sorted hashes and their logarithms.
 
-    def __init__(self, tables: dict[str, tuple[np.ndarray, np.ndarray]], memory: int = 48 << 20):
+    A table may end with its part's number and how many there are; places of other parts count zero.
+    """
+
+    def __init__(self, tables: dict, memory: int = 48 << 20):
         self.tables = tables
         bits = 12
         while (8 + 4 * len(tables)) << (bits + 1) <= memory:
@@ -194,7 +200,7 @@ class Models:
         self.known = np.zeros((len(tables), 1 << bits), np.float32)
 
     @staticmethod
-    def _find(table: tuple[np.ndarray, np.ndarray], slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _find(table: tuple, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(table[0], slots), len(table[0]) - 1)
         return table[0][at] == slots, table[1][at]
 
@@ -206,7 +212,8 @@ class Models:
             gram_slots[k], context_slots[k] = _hash(key, k), _hash(key >> np.uint64(16), ORDER + k)
         out = np.zeros((len(self.tables), len(grams)))
         for row, table in zip(out, self.tables.values(), strict=True):
-            left = np.arange(len(grams))
+            part, parts = table[2:] or (0, 1)
+            left = np.flatnonzero((grams >> np.uint64(16) & np.uint64(_MASK[1])) % np.uint64(parts) == part)
             for k in range(ORDER, 0, -1):
                 hit, value = self._find(table, gram_slots[k][left])
                 row[left[hit]] += value[hit]
@@ -237,25 +244,37 @@ class Models:
         return n.tolist(), (-sums / np.maximum(n, 1)[:, None]).tolist()
 
 
-def score(docs: DataFrame, model: DataFrame, text_col: str = "text", group_entries: int = 20_000_000) -> tuple[DataFrame, list[str]]:
+def score(docs: DataFrame, model: DataFrame, text_col: str = "text", group_entries: int = 13_000_000) -> tuple[DataFrame, list[str]]:
     """``docs`` with ``n_counted`` and ``entropies`` (one for each of the returned languages, sorted)."""
     spark = docs.sparkSession
-    sizes = {r.lang: r.n for r in model.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    groups: list[list[str]] = []
+    sizes = {r.lang: (r.n, r.common, r.kinds) for r in model.groupBy("lang").agg(
+        F.count("*").alias("n"), F.count_if(F.col("near").isNull()).alias("common"), F.count_distinct("near").alias("kinds")).collect()}
+    groups: list[list[tuple[str, int, int]]] = []
+    room = 0
     for lang in sorted(sizes):
-        if not groups or sum(sizes[x] for x in groups[-1]) + sizes[lang] > group_entries:
-            groups.append([])
-        groups[-1].append(lang)
+        n, common, kinds = sizes[lang]
+        # The characters seen go with each part.
+        parts = 1 if n <= group_entries else max(1, min(kinds, -(-(n - common) // max(1, group_entries - common))))
+        for part in range(parts):
+            size = common + (n - common) // parts
+            if not groups or size > room:
+                groups.append([])
+                room = group_entries
+            groups[-1].append((lang, part, parts))
+            room -= size
     out = docs.withColumn("entropies", F.array().cast("array<double>"))
     fields = [T.StructField("n_counted", T.LongType()), T.StructField("__more", T.ArrayType(T.DoubleType()))]
     for i, group in enumerate(groups):
-        rows = model.filter(F.col("lang").isin(group)).select("lang", "slot", "value").toArrow()
         tables = {}
-        for lang in group:
+        chosen = functools.reduce(Column.__or__, [(F.col("lang") == lang) & (
+            F.col("near").isNull() | (F.col("near") % parts == part)) for lang, part, parts in group])
+        rows = model.filter(chosen).select("lang", F.coalesce("near", F.lit(-1)).alias("near"), "slot", "value").toArrow()
+        for lang, part, parts in group:
             own = rows.filter(pa.compute.equal(rows["lang"], lang))
-            slots, values = own["slot"].to_numpy().astype(np.uint32), own["value"].to_numpy()
-            order = np.argsort(slots)
-            tables[lang] = slots[order], values[order]
+            near, slots, values = (own[c].to_numpy() for c in ("near", "slot", "value"))
+            mine = np.flatnonzero((near < 0) | (near % parts == part))
+            mine = mine[np.argsort(slots[mine])]
+            tables[lang, part] = slots[mine], values[mine], part, parts
         sent = spark.sparkContext.broadcast(tables)
 
         def start(sent=sent):
@@ -265,6 +284,11 @@ def score(docs: DataFrame, model: DataFrame, text_col: str = "text", group_entri
         out = out.withColumn("entropies", F.concat("entropies", "__more")).drop("__more")
         if i + 1 < len(groups):
             out = materialize(out, "langid-scores")
+    held = [lang for group in groups for lang, _, _ in group]
+    if len(held) > len(sizes):
+        out = out.withColumn("entropies", F.array(*[
+            functools.reduce(Column.__add__, [F.get("entropies", F.lit(i)) for i, x in enumerate(held) if x == lang])
+            for lang in sorted(sizes)]))
     if not groups:
         out = out.withColumn("n_counted", F.lit(0).cast("long"))
     return out, sorted(sizes)
