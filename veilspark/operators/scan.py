@@ -65,6 +65,15 @@ def _small(offsets: DataFrame, n: int) -> DataFrame:
     return F.broadcast(offsets) if n <= _MAX_BROADCAST_BLOCKS else offsets
 
 
+def _with_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the carry of their (key, block); a null key is a key like any other."""
+    theirs = carry.select(*[F.col(c).alias(f"__of_{c}" if c in (*keys, BLK) else c) for c in carry.columns])
+    same = F.col(BLK) == F.col(f"__of_{BLK}")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    return rows.join(theirs, same, "left").drop(*[f"__of_{k}" for k in (*keys, BLK)])
+
+
 def _pin(df: DataFrame) -> DataFrame:
     from veilspark.session import materialize
 
@@ -160,7 +169,7 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence, nam
             F.lit(0),
         ).alias("__carry"),
     )
-    out = scanned.join(carry, [*keys, BLK], "left").withColumn(
+    out = _with_carry(scanned, carry, keys).withColumn(
         name, (F.col("__lrn") + F.coalesce(F.col("__carry"), F.lit(0))).cast("long")
     )
     return out.drop("__lrn", "__carry", BLK)
@@ -187,5 +196,5 @@ def keyed_running_max_before(df: DataFrame, keys: Sequence[str], order_by: Seque
         F.max("__bmax").over(Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))
         .alias("__cmax"),
     )
-    out = scanned.join(carry, [*keys, BLK], "left").withColumn(name, F.greatest("__lmax", "__cmax"))
+    out = _with_carry(scanned, carry, keys).withColumn(name, F.greatest("__lmax", "__cmax"))
     return out.drop("__v", "__lmax", "__cmax")
