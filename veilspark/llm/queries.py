@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, langid, licenses, outliers, repair_store, sharding, simhash, token_counts
+from veilspark.llm import bpe, decontaminate, importance, langid, licenses, merkle, oracles, outliers, repair_store, sharding, simhash, token_counts
 from veilspark.llm.common import read
 from veilspark.session import materialize
 
@@ -83,6 +83,19 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_store.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: manifest of all documents, proofs checked against rows of which some are tampered with."""
+    doc, text = F.col("doc_id"), F.col("text")
+    leaf = lambda n: merkle.leaf_hash(doc, F.col("source"), F.col("lang"), n, text)
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.when(F.crc32(doc.cast("string")) % 7 == 0, leaf(more))
+    made = merkle.build(read(spark, sf_dir, "documents"), group=F.col("lang"), order=[doc], leaf=leaf(F.col("n_chars")),
+                        keep={"doc_id": doc, "tampered": tampered})
+    made = made.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return made.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("path")).alias("proof_sha256"), "folded_root",
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_bounded_ring": op1_bounded_ring,
     "op2_token_counts": op2_token_counts,
@@ -94,6 +107,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_outliers": op9_quality_outliers,
     "op10_repair_store": op10_repair_store,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op13_merkle_manifest": oracles.MERKLE}
