@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, langid, licenses, merkle, oracles, outliers, repair_store, sharding, simhash, token_counts
+from veilspark.llm import bpe, decontaminate, importance, langid, licenses, merkle, oracles, outliers, packing, repair_store, sharding, simhash, token_counts
 from veilspark.llm.common import read
 from veilspark.session import materialize
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -83,6 +84,11 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_store.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: all documents in windows of 4096 ids beside their BM25 neighbours."""
+    return packing.pack_documents(read(spark, sf_dir, "documents"), WORDS, end_id=2, window=4096)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13: manifest of all documents, proofs checked against rows of which some are tampered with."""
     doc, text = F.col("doc_id"), F.col("text")
@@ -107,6 +113,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_outliers": op9_quality_outliers,
     "op10_repair_store": op10_repair_store,
+    "op11_retrieval_packing": op11_retrieval_packing,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
