@@ -62,3 +62,39 @@ SELECT f.doc_id, f.leaf, s.subroot, r.root,
 FROM folded f JOIN subroots s USING (g) CROSS JOIN root r
 JOIN folds e ON e.g = f.g AND e.pos = f.pos AND e.step = len(f.path) + 1
 """
+
+_TURN = "sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))"
+
+TRIE = f"""
+WITH RECURSIVE own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {_TURN}) AS place, {_TURN} AS digest,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (
+  SELECT conv_id, count(*) AS size, {crc32("conv_id")} % 4 AS h, conv_id - conv_id % 20 AS base FROM own GROUP BY conv_id),
+whole AS (
+  SELECT s.*, least(s.h, coalesce(b.size, 0)) AS taken FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.base),
+turns AS (
+  SELECT w.conv_id, o.place AS depth, o.digest, o.words FROM whole w JOIN own o ON o.conv_id = w.base AND o.place <= w.taken
+  UNION ALL
+  SELECT w.conv_id, o.place - w.h + w.taken, o.digest, o.words FROM whole w JOIN own o ON o.conv_id = w.conv_id AND o.place > w.h),
+paths AS (
+  SELECT conv_id, 0::BIGINT AS depth, '' AS node, NULL::VARCHAR AS parent, 0::BIGINT AS words FROM sizes
+  UNION ALL
+  SELECT p.conv_id, t.depth, sha256(p.node || t.digest), p.node, t.words
+  FROM paths p JOIN turns t ON t.conv_id = p.conv_id AND t.depth = p.depth + 1),
+nodes AS (
+  SELECT node, depth, parent, max(words) AS words, min(conv_id) AS conv_id, count(*) AS n FROM paths GROUP BY node, depth, parent),
+kids AS (SELECT parent AS node, count(*) AS children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+counted AS (SELECT n.*, coalesce(k.children, 0) AS children FROM nodes n LEFT JOIN kids k USING (node)),
+under AS (
+  SELECT p.node, count(*) FILTER (x.children = 0) AS leaves, sum((x.n - 1) * x.words) AS saved
+  FROM counted x JOIN paths p ON p.conv_id = x.conv_id AND p.depth <= x.depth GROUP BY p.node),
+lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+ends AS (
+  SELECT p.node, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids
+  FROM paths p JOIN lengths l ON l.conv_id = p.conv_id AND l.depth = p.depth GROUP BY p.node)
+SELECT c.conv_id, c.depth, a.conv_id AS parent_conv_id, c.n AS n_convs, c.children AS n_children, u.leaves AS n_leaves,
+       u.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM counted c JOIN under u USING (node) LEFT JOIN nodes a ON a.node = c.parent LEFT JOIN ends e ON e.node = c.node
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilspark.llm import bpe, decontaminate, importance, langid, licenses, merkle, oracles, outliers, packing, repair_store, sharding, simhash, token_counts
+from veilspark.llm import bpe, conversation_trie, decontaminate, importance, langid, licenses, merkle, oracles, outliers, packing, repair_store, sharding, simhash, token_counts
 from veilspark.llm.common import read
 from veilspark.session import materialize
 
@@ -89,6 +89,13 @@ def op11_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), WORDS, end_id=2, window=4096)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: the prefix trie of all conversations, each rebuilt on the first turns of its family of twenty."""
+    heads = F.crc32(F.col("conv_id").cast("string")) % 4
+    turns, lengths = conversation_trie.rebuilt(read(spark, sf_dir, "conversations"), 20, heads, 3)
+    return conversation_trie.trie(turns, lengths)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13: manifest of all documents, proofs checked against rows of which some are tampered with."""
     doc, text = F.col("doc_id"), F.col("text")
@@ -114,7 +121,8 @@ QUERIES = {
     "op9_quality_outliers": op9_quality_outliers,
     "op10_repair_store": op10_repair_store,
     "op11_retrieval_packing": op11_retrieval_packing,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES: dict[str, str] = {"op13_merkle_manifest": oracles.MERKLE}
+ORACLES: dict[str, str] = {"op12_conversation_trie": oracles.TRIE, "op13_merkle_manifest": oracles.MERKLE}
