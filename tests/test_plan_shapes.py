@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-STREAMING = {"stream_bounding", "stream_replay", "stream_release"}
+STREAMING = {"stream_bounding", "stream_replay", "stream_release", "stream_flush"}
 BATCH = sorted(set(E.queries()) - STREAMING)
 
 

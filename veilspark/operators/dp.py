@@ -31,14 +31,19 @@ def dp_prefix_sums(counts: DataFrame, key: str, params: PrivacyParams, secret: b
     (``trigger`` names it) and parameters.  Rows with ``i >= horizon`` are dropped here (A6); use ``horizon_split``
     to report them.  ``sigma`` defaults to the calibrated value of ``params``.
     """
-    sig = params.sigma if sigma is None else float(sigma)
     kept = counts.filter(F.col(index) < F.lit(int(params.horizon)))
-    with_prefix = prefix_sum(kept, key, index, cnt, "prefix")
+    return with_tree_noise(prefix_sum(kept, key, index, cnt, "prefix"), key, index, "prefix", params, secret, stream_id, sigma, trigger)
+
+
+def with_tree_noise(totals: DataFrame, key: str, index: str, total: str, params: PrivacyParams, secret: bytes | str,
+                    stream_id: str, sigma: float | None = None, trigger: str = "trigger_id") -> DataFrame:
+    """Adds ``noisy``: a key's running ``total`` at trigger ``index`` plus the keyed tree noise of that index."""
+    sig = params.sigma if sigma is None else float(sigma)
     ipad, opad = map(bytes.fromhex, hmac_pads(secret))
-    with_prefix = with_secrets(with_prefix, __ipad=ipad, __opad=opad)
+    with_pads = with_secrets(totals, __ipad=ipad, __opad=opad)
     pads = F.col("__ipad"), F.col("__opad")
     noise = prefix_noise(F.col(key), F.col(index), params.horizon, sig, release_scope(stream_id, params, sig, trigger), pads)
-    return with_prefix.withColumn("noisy", F.col("prefix").cast("double") + noise).drop("__ipad", "__opad")
+    return with_pads.withColumn("noisy", F.col(total).cast("double") + noise).drop("__ipad", "__opad")
 
 
 def horizon_split(counts: DataFrame, key: str, horizon: int, index: str = "i", cnt: str = "cnt") -> DataFrame:

@@ -55,11 +55,11 @@ def snapshot_series(releases: DataFrame, key: str, n_triggers: int, index: str =
 
     Each release is valid on [i, next i of the key); the range is exploded
     with ``sequence`` so no words x triggers grid and no join is built.
-    Keys whose value rounds below zero at t are left out of that snapshot.
+    Releases at or beyond ``n_triggers`` are in no snapshot.  Keys whose value rounds below zero at t are left out of that snapshot.
     """
     w = Window.partitionBy(key).orderBy(index)
-    nxt = F.coalesce(F.lead(index).over(w), F.lit(int(n_triggers)))
-    valid = releases.withColumn("__next", nxt)
+    valid = releases.filter(F.col(index) < F.lit(int(n_triggers)))
+    valid = valid.withColumn("__next", F.coalesce(F.lead(index).over(w), F.lit(int(n_triggers))))
     exploded = valid.select(
         key, F.col(index).alias("release_i"), noisy,
         F.explode(F.sequence(F.col(index), F.col("__next") - F.lit(1))).alias("t"),

@@ -1,4 +1,4 @@
-"""Streaming queries (W1, W3, W4) over three micro-batches.
+"""Streaming queries (W1-W5) over three micro-batches.
 
 The events table is streamed in arrival order (ts, event_id), a third of it
 per micro-batch (``arrival_stream``); each batch is one availableNow run
@@ -17,11 +17,14 @@ from veilspark.plans.queries import PARAMS, TEST_SECRET, register
 from veilspark.session import table, work_path
 from veilspark.streaming.bounding import stream_bound_contributions
 from veilspark.streaming.release import StreamRelease
-from veilspark.streaming.replay import ReplayBatch
+from veilspark.streaming.flush import drain, stream_partial_counts
 from veilspark.streaming.run import arrival_stream, run_foreach_batch, run_to_parquet
+from veilspark.streaming.window import stream_replay_filter
 
 
 BATCHES = 3
+FLUSH_TICK = 1.0  # seconds
+FLUSH_STREAM = "events-flushes"
 RELEASE_STREAM = "events-micro-batches"  # noise of its own: its triggers are other ones than the days'
 
 
@@ -48,14 +51,13 @@ WHERE rn <= {PARAMS.max_contributions} OR user_id IS NULL""".strip()
 
 @register("stream_replay")
 def q_stream_replay(spark, sf_dir):
-    """Replay window per producer over micro-batches, with a bounded carried state."""
+    """Replay window per producer as keyed state (highest and bitmap) over micro-batches."""
     ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "event_type"])
     ev = ev.select("event_id", "ts", F.col("event_type").alias("producer_id"),
                    (F.col("event_id") - (F.col("event_id") * 37) % 200).alias("seq"))
-    out, state = work_path(spark, "stream-replay-out"), work_path(spark, "stream-replay-state")
-    replay = ReplayBatch(out, state, "producer_id", "seq", fx.EVENT_ORDER, DEFAULT_REPLAY_WINDOW)
-    run_foreach_batch(ev, replay, "stream-replay", checkpoint=work_path(spark, "stream-replay-ckpt"), runs=runs)
-    return spark.read.parquet(out).select("event_id", "producer_id", "seq", F.col("reason").alias("replay_reason"))
+    checked = stream_replay_filter(ev, "producer_id", "seq", fx.EVENT_ORDER, DEFAULT_REPLAY_WINDOW, "replay_reason")
+    out = run_to_parquet(checked, "stream-replay", checkpoint=work_path(spark, "stream-replay-ckpt"), runs=runs)
+    return spark.read.parquet(out).select("event_id", "producer_id", "seq", "replay_reason")
 
 
 ORACLES["stream_replay"] = ORACLES["replay_filter"]
@@ -90,3 +92,23 @@ kept AS (SELECT event_type, noisy, CAST(floor(noisy + 0.5) AS BIGINT) AS release
          WHERE floor(noisy + 0.5) >= 0)
 SELECT CAST(row_number() OVER (ORDER BY noisy DESC, event_type ASC) AS BIGINT) AS rank, event_type, released
 FROM kept""".strip()
+
+
+@register("stream_flush")
+def q_stream_flush(spark, sf_dir):
+    """W1 -> W2 -> W3 in one query: bounded events counted in state, flushed by timers, released per flush; counts per key."""
+    ev, runs = _events_stream(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"])
+    kept = stream_bound_contributions(ev, "user_id", fx.EVENT_ORDER, PARAMS.max_contributions)
+    flushed = stream_partial_counts(kept, "event_type", FLUSH_TICK)
+    counts, snaps = work_path(spark, "stream-flush-counts"), work_path(spark, "stream-flush-snaps")
+    release = StreamRelease(counts, snaps, "event_type", PARAMS, TEST_SECRET, FLUSH_STREAM, cnt="cnt")
+    query = (flushed.writeStream.foreachBatch(release).option("checkpointLocation", work_path(spark, "stream-flush-ckpt"))
+             .trigger(processingTime="0 seconds").start())
+    drain(query, runs)
+    return spark.read.parquet(counts).groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
+
+
+ORACLES["stream_flush"] = f"""
+SELECT event_type, count(*) AS cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn <= {PARAMS.max_contributions} OR user_id IS NULL GROUP BY event_type""".strip()

@@ -1,17 +1,22 @@
 """Snapshot sink (S5): the released histogram, in release order.
 
 Each snapshot is written as its own partition (``snapshot_id``) with the rank
-of every key, so rewriting a snapshot (a replayed micro-batch) replaces it
-instead of appending a duplicate.  ``snapshot_lines`` renders the text form:
+of every key and then committed (``veilspark.sources.commits``):
+``read_snapshot`` gives the newest committed one, so "current" switches at once and a
+half-written snapshot is never read.  A replayed micro-batch finds its snapshot
+committed and leaves it, one that died before its commit is written again.
+``snapshot_lines`` renders the text form:
 a banner ``=== <instant> ===`` then ``key:count`` lines in rank order;
 ``write_snapshot_text`` writes it as ordered parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilspark.sources.commits import CommitLog
+
 
 def snapshot_lines(release: DataFrame, key: str, count: str = "released", rank: str = "rank",
                    instant: Column | None = None) -> DataFrame:
@@ -28,15 +33,28 @@ def snapshot_lines(release: DataFrame, key: str, count: str = "released", rank:
 
 
 def write_snapshot(release: DataFrame, path: str, snapshot_id: int, key: str, count: str = "released",
-                   rank: str = "rank") -> None:
-    """Write one snapshot partition idempotently (dynamic partition overwrite)."""
+                   rank: str = "rank") -> bool:
+    """Write one snapshot partition and commit it; False, and nothing written, if its id is committed already."""
+    log = CommitLog(release.sparkSession, path)
+    if log.read(snapshot_id) is not None:
+        return False
     out = release.select(
-        F.lit(int(snapshot_id)).cast("long").alias("snapshot_id"),
         F.current_timestamp().alias("snapshot_ts"),
         F.col(rank).cast("long").alias("rank"), F.col(key).alias("key"), F.col(count).cast("long").alias("count"),
     )
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_id").parquet(path))
+    folder = f"snapshot_id={int(snapshot_id)}"
+    out.write.mode("overwrite").parquet(f"{log.path}/{folder}")  # no reader looks there before the commit
+    return log.commit(snapshot_id, {"folder": folder})
+
+
+def read_snapshot(spark: SparkSession, path: str, snapshot_id: int | None = None) -> DataFrame | None:
+    """The newest committed snapshot, or the one with the given id: (snapshot_id, snapshot_ts, rank, key, count); None if not there."""
+    log = CommitLog(spark, path)
+    entry = log.latest() if snapshot_id is None else log.read(snapshot_id)
+    if entry is None:
+        return None
+    rows = spark.read.parquet(f"{log.path}/{entry['folder']}")
+    return rows.select(F.lit(entry["version"]).cast("long").alias("snapshot_id"), "*")
 
 
 def write_snapshot_text(release: DataFrame, path: str, key: str, count: str = "released", rank: str = "rank",

@@ -2,20 +2,27 @@
 
 Keyed by user with one ``ValueState<long>``: how many contributions the user
 made so far (kept or not, over the whole run; no expiry, as in B1).  Within
-a micro-batch a user's rows arrive in Arrow chunks of no particular order;
-the processor keeps only a running *top-C by arrival* across the chunks, so
-its memory per user is O(C), never O(rows of the user), and the result is
-exactly the first C arrivals overall.  State lives in the configured state
-store (RocksDB in ``veilspark.session.build_session``) and is checkpointed.
+a micro-batch a user's rows arrive in no particular order; the processor keeps
+only a running *first C by arrival*, so its memory per user is O(C), never
+O(rows of the user), and the result is exactly the first C arrivals overall.
+State lives in the configured state store (RocksDB in
+``veilspark.session.build_session``) and is checkpointed.
+
+Rows pass as Arrow batches and Spark rows, never as pandas frames, which would
+turn a BIGINT column with a null into doubles.  Arrival orders nulls first and
+NaN last, as Spark sorts, so a stream keeps the rows that its batch twin keeps.
 
 Rows without a user bypass the state and are always kept (B2).
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -32,47 +39,69 @@ def require_rocksdb_state(spark) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
+def arrival_key(columns: Sequence[str]):
+    """Sort key of a Spark row by ``columns`` ascending: nulls first, NaN last, as Spark orders them."""
+    def key(row):
+        values = [row[c] for c in columns]
+        return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in values)
+
+    return key
+
+
 class _FirstArrivals(StatefulProcessor):
     def __init__(self, limit: int, order_cols: Sequence[str]):
         self.limit = int(limit)
-        self.order_cols = list(order_cols)
+        self.key = arrival_key(list(order_cols))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", StructType([StructField("n", LongType(), False)]))
 
     def handleInputRows(self, key, rows, timerValues):
         before = self.seen.get()[0] if self.seen.exists() else 0
-        room = max(0, self.limit - before)
-        best = None
         total = 0
-        for chunk in rows:
-            total += len(chunk)
-            if room == 0 or chunk.empty:
-                continue
-            cand = chunk if best is None else pd.concat([best, chunk], ignore_index=True)
-            best = cand.sort_values(self.order_cols, kind="mergesort").head(room)
+
+        def counted():
+            nonlocal total
+            for row in rows:
+                total += 1
+                yield row
+
+        stream = counted()
+        best = heapq.nsmallest(max(0, self.limit - before), stream, key=self.key)
+        for _ in stream:  # nothing is taken when no room is left: count the rows
+            pass
         self.seen.update((before + total,))
-        if best is not None and not best.empty:
-            yield best.reset_index(drop=True)
+        yield from best
 
     def close(self) -> None:
         pass
 
 
 def _partial_first_arrivals(user: str, order_by: Sequence[str], limit: int):
-    """mapInPandas body: per Arrow chunk, each user's first ``limit`` rows by arrival.
+    """mapInArrow body: per Arrow batch, each user's first ``limit`` rows by arrival.
 
     The global first ``limit`` arrivals of a user are always among the union
-    of the per-chunk first ``limit``, so this map-side cut is exact; it
-    caps what one user ships to the stateful task at limit x chunks rows.
-    Memory: one chunk.
+    of the per-batch first ``limit``, so this map-side cut is exact; it
+    caps what one user ships to the stateful task at limit x batches rows.
+    Memory: one batch.
     """
     order = list(order_by)
 
     def run(batches):
-        for chunk in batches:
-            ordered = chunk.sort_values([user, *order], kind="mergesort")
-            yield ordered.groupby(user, sort=False, dropna=False).head(limit).reset_index(drop=True)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = {}
+            for i, c in enumerate([user, *order]):
+                values = batch.column(batch.schema.get_field_index(c))
+                if pa.types.is_floating(values.type):
+                    keys[f"nan{i}"] = pa.compute.is_nan(values)
+                keys[f"key{i}"] = values
+            at = pa.compute.sort_indices(pa.table(keys), sort_keys=[(k, "ascending") for k in keys], null_placement="at_start")
+            users = keys["key0"].dictionary_encode().indices.take(at).to_numpy()
+            starts = np.flatnonzero(np.append(True, users[1:] != users[:-1]))
+            place = np.arange(len(users)) - np.repeat(starts, np.diff(np.append(starts, len(users))))
+            yield batch.take(at.filter(pa.array(place < limit)))
 
     return run
 
@@ -80,7 +109,7 @@ def _partial_first_arrivals(user: str, order_by: Sequence[str], limit: int):
 def stream_bound_contributions(stream: DataFrame, user: str, order_by: Sequence[str], limit: int) -> DataFrame:
     """Keep each user's first ``limit`` contributions (arrival = ``order_by``) across micro-batches.
 
-    Plan: map-side partial limit per input partition (``mapInPandas``), then
+    Plan: map-side partial limit per input partition (``mapInArrow``), then
     the keyed state (one counter per user) finishes the bound exactly.  The
     counter then counts the rows that reached it: below C that is every row
     of the user (nothing was cut), and once the user has C or more rows it is
@@ -89,8 +118,8 @@ def stream_bound_contributions(stream: DataFrame, user: str, order_by: Sequence[
     require_rocksdb_state(stream.sparkSession)
     schema = stream.schema
     with_user = stream.filter(F.col(user).isNotNull())
-    with_user = with_user.mapInPandas(_partial_first_arrivals(user, order_by, limit), schema)
-    kept = with_user.groupBy(user).transformWithStateInPandas(
+    with_user = with_user.mapInArrow(_partial_first_arrivals(user, order_by, limit), schema)
+    kept = with_user.groupBy(user).transformWithState(
         statefulProcessor=_FirstArrivals(limit, order_by),
         outputStructType=schema,
         outputMode="Append",
