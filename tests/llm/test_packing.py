@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -23,11 +24,26 @@ def test_chunks_are_encoded_like_whole_texts():
     rng = random.Random(3)
     letters = "ab CDe'stllre  \n\n\t\r\x1c\x85\xa0 日本éßİΣσǺ̈🙂_-.,,..!%19²½ɐªʰ<|>\x00"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(6000)]
-    texts += ["a <|endoftext|> b", "<|endoftext|>.", "a<|startoftext|>b", "It's I'LL don't.", "", " ", "\n", "é.", "ÀÉ, ß."]
+    texts += ["a <|endoftext|> b", "<|endoftext|>.", "a<|startoftext|>b", "It's I'LL don't.", "", " ", "\n", "é.", "ÀÉ, ß.", "İ.", "''S's'T!'t", None]
+    ascii_ = "abAB's'tREvel.,!-<|>_09\t\x7f "
+    texts += ["".join(rng.choice(ascii_) for _ in range(rng.randint(0, 40))) for _ in range(6000)]
     encoder, got = packing.WordEncoder(WORDS), []
     for at in range(0, len(texts), 500):
-        got += encoder.encode(texts[at : at + 500])
-    assert [np.frombuffer(g, encoder.kind).tolist() for g in got] == library(texts)
+        flat, begin = encoder.encode(pa.array([None, "x", *texts[at : at + 500]]).slice(2))
+        got += [flat[i:j].tolist() for i, j in zip(begin[:-1], begin[1:], strict=True)]
+    assert got == library([t or "" for t in texts])
+
+
+def test_new_words_are_merged_like_the_library():
+    rng = random.Random(8)
+    alphabets = ["etaoinshr", "abcdefghijklmnopqrstuvwxyz", "aeéèêàçñüößéionst", "".join(chr(c) for c in range(0xAA, 0x250) if chr(c).isalpha())]
+    words = list({"".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(1, 64))) for _ in range(3000)})
+    words += ["".join(rng.choice(alphabets[0]) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    words = [w.lower() for w in words if "İ" not in w]
+    ids, size = packing.Merges(WORDS, "</w>").encode([w.encode() for w in words])
+    ends = np.cumsum(size)
+    assert [ids[j - n : j].tolist() for j, n in zip(ends.tolist(), size.tolist(), strict=True)] == library(words)
+    assert [len(x) for x in packing.Merges(WORDS).encode([])] == [0, 0]
 
 
 def test_windows_hold_the_best_unused_neighbours():

@@ -26,12 +26,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from veilspark.llm.common import Recent, slices
+from veilspark.llm.merges import Merges
 from veilspark.session import materialize
 
 #: BM25's saturation of repeats and its share of length normalisation.
@@ -41,12 +43,13 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 class WordEncoder:
-    """Texts to ids by the tokenizers library, with the ids of recent chunks remembered.
+    """Texts to ids as the tokenizers library gives them, with the ids of recent chunks remembered.
 
-    For tokenizers whose pieces never cross a space or line end: a text's ids
-    are those of its chunks between them.  New chunks of letters alone are one
-    piece each and go to the library together; the ids with the word-end suffix
-    tell them apart again.  Other new chunks go by themselves.
+    For byte-level tokenizers that lower-case and whose pieces never cross a
+    space or line end: a text's ids are those of its chunks between them, and a
+    batch looks every distinct chunk up once, lower-cased if it is ASCII.  New
+    chunks that are one word of letters, with a full stop or comma at most (a
+    piece of its own), are merged together (``merges``); the library encodes all others.
     """
 
     def __init__(self, path: str):
@@ -55,8 +58,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.ends = np.zeros(self.size, bool)
-        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+        self.merges = Merges(path, "</w>")
         self.stops = dict(zip(".,", self._ids([".", ","]), strict=True))
         self.chunks = Recent(lambda c: self._new([c])[0], 500_000)
 
@@ -65,39 +67,59 @@ class WordEncoder:
         return [np.array(e.ids, self.kind).tobytes() for e in made]
 
     def _new(self, chunks: list[str]) -> list[bytes]:
-        # A full stop or comma after a letter is a piece of its own (but for the one letter whose lower case ends in a mark).
-        cores = [c[:-1] if c[-1:] in (".", ",") and c[-2:-1].isalpha() and c[-2] < "ɐ" and c[-2] != "İ" else c for c in chunks]
-        ids = {c: self.chunks.get(c) or self.chunks.old.get(c) for c in cores}
-        unknown = [c for c, known in ids.items() if known is None]
-        plain = [c for c in unknown if c.isalpha() and max(c) < "ɐ"]
-        unknown = [c for c in unknown if not (c.isalpha() and max(c) < "ɐ")]
-        for at in range(0, len(plain), 5000):
-            part = plain[at : at + 5000]
-            (raw,) = self._ids([" ".join(part)])
-            size = self.kind.itemsize
-            stops = (np.flatnonzero(self.ends[np.frombuffer(raw, self.kind)]) * size + size).tolist()
-            if len(stops) == len(part) and stops[-1] == len(raw):
-                ids |= {c: raw[i:j] for c, i, j in zip(part, [0, *stops], stops)}  # noqa: B905
-            else:
-                unknown += part
-        ids |= zip(unknown, self._ids(unknown), strict=True)
-        return [ids[core] if core is c else ids[core] + self.stops[c[-1]] for c, core in zip(chunks, cores, strict=True)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, little-endian integers of the width of ``kind``."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        known = [list(map(self.chunks.get, p)) for p in parts]
-        missing = list({c: None for p, k in zip(parts, known, strict=True) if None in k
-                        for c, x in zip(p, k, strict=True) if x is None})
-        new = {c: self.chunks.old.get(c) for c in missing}
-        missing = [c for c, ids in new.items() if ids is None]
-        new |= zip(missing, self._new(missing), strict=True)
-        for c, ids in new.items():
-            if len(c) <= self.chunks.longest:
-                self.chunks[c] = ids
-        self.chunks.trim()
-        return [b"".join(k) if None not in k else b"".join([new[c] if x is None else x for c, x in zip(p, k, strict=True)])
-                for p, k in zip(parts, known, strict=True)]
+        cores = [c[:-1] if c[-1:] in (".", ",") else c for c in chunks]
+        # Latin letters lower-case one by one, but for one, and are then in the tokenizer's normal form.
+        plain = [c.isalpha() and len(c) <= 64 and (c.isascii() or max(c) < "ɐ" and "İ" not in c) for c in cores]
+        cores = [c.lower() if p else c for c, p in zip(cores, plain, strict=True)]
+        words = list({c: None for c, p in zip(cores, plain, strict=True) if p})
+        ids, size = self.merges.encode([w.encode() for w in words])
+        raw, ends = ids.astype(self.kind).tobytes(), np.cumsum(size) * self.kind.itemsize
+        made = {w: raw[i:j] for w, i, j in zip(words, [0, *ends[:-1].tolist()], ends.tolist())}  # noqa: B905
+        rest = iter(self._ids([c for c, p in zip(chunks, plain, strict=True) if not p]))
+        return [next(rest) if not p else made[core] if len(core) == len(c) else made[core] + self.stops[c[-1]]
+                for c, core, p in zip(chunks, cores, plain, strict=True)]
+
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks, from memory or computed together."""
+        memory = self.chunks
+        found = list(map(memory.get, chunks))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        ids = list(map(memory.old.get, [chunks[i] for i in missing]))
+        new = [i for i, x in zip(missing, ids, strict=True) if x is None]
+        made = iter(self._new([chunks[i] for i in new]))
+        ids = [next(made) if x is None else x for x in ids]
+        for i, x in zip(missing, ids, strict=True):
+            found[i] = x
+            if len(chunks[i]) <= memory.longest:
+                memory[chunks[i]] = x
+        memory.trim()
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, one after the other; where each text begins, and the end).  Null counts as empty."""
+        texts = texts.fill_null("")
+        special = pa.compute.match_substring(texts, "<|")  # it may hold an added token's string, which lower-casing could make
+        if pa.compute.any(special).as_py():
+            others, begin = self._encode(pa.compute.if_else(special, "", texts))
+            whole = dict(zip(np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist(), self._ids(texts.filter(special).to_pylist()), strict=True))
+            parts = [np.frombuffer(whole[i], self.kind) if i in whole else others[begin[i] : begin[i + 1]] for i in range(len(texts))]
+            return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        return self._encode(texts)
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pa.compute.ascii_lower(pa.compute.replace_substring(texts, "\n", " "))
+        chunks = pa.compute.split_pattern(texts, " ")
+        distinct = chunks.flatten().dictionary_encode()
+        ids = self._known(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+        joined = np.frombuffer(b"".join(ids), self.kind)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        begin = np.cumsum(size) - size
+        code = distinct.indices.to_numpy()
+        length = size[code]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        flat = joined[np.repeat(begin[code] - ends[:-1], length) + np.arange(ends[-1])]
+        offsets = chunks.offsets.to_numpy()
+        return flat, ends[offsets - offsets[0]]
 
 
 @functools.cache
@@ -114,13 +136,21 @@ def with_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
         encoder = load(tokenizer_path)
         end = np.array([end_id], encoder.kind).tobytes()
         for batch in batches:
-            for part in slices(batch, 1, 2 << 20):
-                ids = [x + end for x in encoder.encode([t or "" for t in part.column(1).to_pylist()])]
+            for part in slices(batch, 1, 4 << 20):
+                flat, at = encoder.encode(part.column(1))
+                ids = [flat[i:j].tobytes() + end for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, "doc_id long, ids binary")
 
 
+def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, ascending, and how often each occurs."""
+    ordered = np.sort(ids, kind="stable")  # a radix sort for 16-bit ids
+    first = np.flatnonzero(np.append(len(ids) > 0, ordered[1:] != ordered[:-1]))
+    return ordered[first], np.diff(np.append(first, len(ids)))
+
+
 def document_frequencies(encoded: DataFrame, size: int, width: int) -> DataFrame:
     """``term``, ``df`` (documents that have it), ``tf``: each task counts its documents, at most ``size`` rows each."""
     kind = f"<u{width}"
@@ -129,7 +159,7 @@ def document_frequencies(encoded: DataFrame, size: int, width: int) -> DataFrame
         df, tf = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                terms, n = np.unique(np.frombuffer(x.as_py(), kind), return_counts=True)
+                terms, n = counted(np.frombuffer(x.as_buffer(), kind))
                 df[terms] += 1
                 tf[terms] += n
         terms = np.flatnonzero(df)
@@ -157,9 +187,13 @@ class Bm25:
 
     def heaviest(self, ids: np.ndarray, most: int) -> np.ndarray:
         """The ``most`` heaviest terms of a text, falling (ties: smaller id first); fewer if fewer have a weight."""
-        terms, tf = np.unique(ids, return_counts=True)
+        terms, tf = counted(ids)
         w = self.weights(terms, tf, len(ids))
-        order = np.lexsort((terms, -w))[:most]
+        if len(w) > most:
+            least = np.partition(w, len(w) - most)[len(w) - most]
+            near = np.flatnonzero(w >= least)
+            terms, w = terms[near], w[near]
+        order = np.argsort(-w, kind="stable")[:most]
         return terms[order[w[order] > 0]]
 
 
@@ -168,12 +202,14 @@ class Index:
 
     def __init__(self, units: list[np.ndarray], model: Bm25):
         lengths = np.array([len(u) for u in units], np.int64)
-        keys = np.concatenate(units).astype(np.int64) << 32 | np.repeat(np.arange(len(units)), lengths)
-        keys, tf = np.unique(keys, return_counts=True)
-        terms, self.units = keys >> 32, keys & 0xFFFFFFFF
+        each = [counted(u) for u in units]
+        terms, tf = np.concatenate([t for t, _ in each]), np.concatenate([n for _, n in each])
+        order = np.argsort(terms, kind="stable")  # by term, then unit
+        terms, tf = terms[order], tf[order]
+        self.units = np.repeat(np.arange(len(units)), [len(t) for t, _ in each])[order]
         self.weights = model.weights(terms, tf, lengths[self.units])
-        self.terms, self.first = np.unique(terms, return_index=True)
-        self.last = np.append(self.first[1:], len(terms))
+        self.first = np.flatnonzero(np.append(True, terms[1:] != terms[:-1]))
+        self.terms, self.last = terms[self.first], np.append(self.first[1:], len(terms))
         self.model, self.n = model, len(units)
 
     def scores(self, ids: np.ndarray, query_terms: int) -> np.ndarray:
@@ -262,7 +298,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
         for batch in batches:
             keys = []
             for x in batch.column(1):
-                top = model.heaviest(np.frombuffer(x.as_py(), model.kind), 3).tolist()
+                top = model.heaviest(np.frombuffer(x.as_buffer(), model.kind), 3).tolist()
                 keys.append(top + [-1] * (3 - len(top)))
             columns = [pa.array([k[i] for k in keys], pa.int32()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["doc_id", "ids", "k0", "k1", "k2"])
@@ -288,7 +324,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
         for batch in batches:
             rows = []
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(raw.as_py(), model.kind)
+                ids = np.frombuffer(raw.as_buffer(), model.kind)
                 whole = len(ids) - len(ids) % window
                 for at in range(0, whole, window):  # a window that the document fills alone
                     rows.append(piece(doc, at, ids[at : at + window], len(ids), task + made, 0, None))
