@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from helpers import documents, empty, odd, odd_rows
@@ -12,9 +13,7 @@ from veilspark.llm.queries import TOKENIZER
 
 
 def tokenizer():
-    t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(TOKENIZER)
 
 
 def test_chunks_are_encoded_like_whole_texts():
@@ -22,9 +21,13 @@ def test_chunks_are_encoded_like_whole_texts():
     letters = "ab cde'stllre  \n\t\x1c\x1d\x85\xa0 ᠎​9²½日本éß🙂_-.!%AB\x00\r\x0b"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
     texts += ["a <|endoftext|> b", " <|endoftext|>", "word " * 300, " lead", "trail ", "two  spaces here"]
+    few = "aB.,é \n"
+    texts += ["".join(rng.choice(few) for _ in range(rng.randint(0, 25))) for _ in range(6000)]
+    texts += ["x <|endoftext|>", "<|endoftext|>\nword.", "<|ENDOFTEXT|> <| a", "one\ntwo. three,\nfour", "\n", "\n\n", "a\n", "\na", "'s\n's 's"]
     encoder, got = store.load(TOKENIZER), []
     for at in range(0, len(texts), 700):
-        got += encoder.encode(texts[at:at + 700])
+        got += encoder.encode(pa.array([None, *texts[at:at + 700]]).slice(1))
+    assert encoder.encode(pa.array([None, "a <|endoftext|> b"]))[1] == np.array([64, 220, 50256, 275], "<u4").tobytes()
     want = tokenizer().encode_batch(texts, add_special_tokens=False)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
 
@@ -50,6 +53,19 @@ def test_frequent_pairs_become_rules():
     assert len(symbols) <= 7 and max(store.expansion_lengths(rules, 10)) >= 32
 
 
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 5000, 300)
+    ids = np.concatenate([np.concatenate((passage, rng.integers(0, 50_000, rng.integers(1, 9)))) for _ in range(400)]).astype(np.uint32)
+    for least in (2, 8, 16):
+        rules, symbols = store.compress(ids, 50_257, least=least)
+        pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        _, counts = np.unique(pairs[symbols[:-1] != symbols[1:]], return_counts=True)
+        assert counts.max(initial=0) < least
+        lengths = store.expansion_lengths(rules, 50_257)
+        assert lengths.max() >= 300 and (store.expand(symbols, rules, lengths, 50_257) == ids).all()
+
+
 def test_wide_symbols_when_ids_are_large():
     ids = np.array([70_000, 70_001] * 50, np.uint32)
     rules, symbols = store.compress(ids, 80_000)

@@ -29,6 +29,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from veilspark.llm.common import Recent, slices
+from veilspark.llm.merges import Merges
 from veilspark.session import work_path
 
 END_ID = 0
@@ -44,65 +46,88 @@ BLOCK = ("shard int, block int, n_ids long, doc_ids array<long>, doc_sizes array
 
 
 class Encoder:
-    """Texts to ids by the tokenizers library, with the ids of recent chunks remembered.
+    """Texts to ids as the tokenizers library gives them, with the ids of recent chunks remembered.
 
     The tokenizer's pattern starts a new piece at a single space before a
-    non-space, so the ids of a chunk between such spaces don't depend on what
-    stands around it; texts with other spaces next to a space are encoded whole.
+    non-space, and a single line end between non-spaces is a piece of its own,
+    so the ids of what stands between them don't depend on what is around.  A
+    batch looks every distinct chunk up once.  New chunks that are one word of
+    letters, with a full stop or comma at most, are merged together
+    (``merges``); the library encodes other chunks, and whole texts that have other
+    white space beside a space or line end or may hold an added token's string.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.chunks = Recent(lambda c: self._chunks([c])[0], 400_000)
+        self.merges = Merges(path)
+        self.chunks = Recent(lambda c: self._new([c])[0], 400_000)
         self.stops = dict(zip(".,", self._ids([".", ","]), strict=True))
-        vocabulary = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for x, i in vocabulary.items() if x.startswith("\u0120")]] = True  # a byte-level space comes first
+        (self.line,) = self._ids(["\n"])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes | None]:
-        """Ids of a space and each chunk; None where what stands around could matter.
-
-        A full stop or comma after a letter is a piece of its own, so it is cut off and its id put after the rest's.
-        """
-        cores = [c[:-1] if c[-1:] in (".", ",") and c[-2:-1].isalpha() else c for c in chunks]
-        ids = {c: self.chunks.get(c) or self.chunks.old.get(c) for c in cores}
-        whole = [c for c, known in ids.items() if not known and c and not c[0].isspace() and not c[-1].isspace()]
-        # All in one text: the only ids that start with a space are the first ones of the chunks.
-        for at in range(0, len(whole), 5000):
-            part = whole[at : at + 5000]
-            (raw,) = self._ids([" " + " ".join(part)])
-            cuts = np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")]) * 4
-            if len(cuts) == len(part):
-                ids |= {c: raw[i:j] for c, i, j in zip(part, cuts.tolist(), [*cuts[1:].tolist(), len(raw)], strict=True)}
-            else:
-                ids |= dict(zip(part, self._ids([" " + c for c in part]), strict=True))
-        return [ids[core] if core is c or ids[core] is None else ids[core] + self.stops[c[-1]]
-                for c, core in zip(chunks, cores, strict=True)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [t.split(" ") for t in texts]
-        known = [list(map(self.chunks.get, p)) for p in parts]  # of the first one too, which is not asked for
-        missing = list({c: None for p, k in zip(parts, known, strict=True) if None in k for c, x in zip(p[1:], k[1:], strict=True) if x is None})
-        new = {c: self.chunks.old.get(c) for c in missing}
-        missing = [c for c, ids in new.items() if ids is None]
-        new |= zip(missing, self._chunks(missing), strict=True)
-        for c, ids in new.items():
-            if ids is not None and len(c) <= self.chunks.longest:
-                self.chunks[c] = ids
-        self.chunks.trim()
-        # A chunk without ids of its own leaves None, and the whole text is encoded at once.
-        rest = [[new[c] if x is None else x for c, x in zip(p[1:], k[1:], strict=True)] for p, k in zip(parts, known, strict=True)]
-        alone = [None not in r and not (r and p[0][-1:].isspace()) for p, r in zip(parts, rest, strict=True)]
-        whole = list({p[0] if a else t: None for t, p, a in zip(texts, parts, alone, strict=True)})
-        made = dict(zip(whole, self._ids(whole), strict=True))
-        return [made[p[0]] + b"".join(r) if a else made[t] for t, p, r, a in zip(texts, parts, rest, alone, strict=True)]
+    def _new(self, chunks: list[str]) -> list[bytes | None]:
+        """Ids of a space and each chunk, or of a chunk that begins with a line end; None where what stands around could matter."""
+        texts = [c[1:] if c[:1] == "\n" else " " + c for c in chunks]
+        cores = [t[:-1] if t[-1:] in (".", ",") else t for t in texts]
+        bare = [c[1:] if c[:1] == " " else c for c in cores]
+        plain = [b.isalpha() and len(b) <= 64 and (b.isascii() or max(b) < "\u0250") for b in bare]
+        words = list({c: None for c, p in zip(cores, plain, strict=True) if p})
+        ids, size = self.merges.encode([w.encode() for w in words])
+        raw, ends = ids.astype("<u4").tobytes(), (np.cumsum(size) * 4).tolist()
+        made = {w: raw[i:j] for w, i, j in zip(words, [0, *ends], ends)}  # noqa: B905
+        whole = [t for t, b, p in zip(texts, bare, plain, strict=True) if not p]
+        alone = [t.strip(" ") != "" and not t.lstrip(" ")[0].isspace() and not t[-1].isspace() for t in whole]
+        encoded = iter(self._ids([t for t, a in zip(whole, alone, strict=True) if a]))
+        rest = iter([next(encoded) if a else None for a in alone])
+        out = []
+        for c, t, core, p in zip(chunks, texts, cores, plain, strict=True):
+            x = next(rest) if not p else made[core] if core is t else made[core] + self.stops[t[-1]]
+            out.append(x if x is None or c[:1] != "\n" else self.line + x)
+        return out
+
+    def _known(self, chunks: list[str]) -> list[bytes | None]:
+        memory = self.chunks
+        found = list(map(memory.get, chunks))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        ids = list(map(memory.old.get, [chunks[i] for i in missing]))
+        made = iter(self._new([chunks[i] for i, x in zip(missing, ids, strict=True) if x is None]))
+        ids = [next(made) if x is None else x for x in ids]
+        for i, x in zip(missing, ids, strict=True):
+            found[i] = x
+            if x is not None and len(chunks[i]) <= memory.longest:
+                memory[chunks[i]] = x
+        memory.trim()
+        return found
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        if not len(texts):
+            return []
+        texts = texts.fill_null("")
+        lines = pa.compute.replace_substring(pa.compute.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        chunks = pa.compute.split_pattern(lines, " ")  # the first is empty, the second begins with a line end
+        offsets = chunks.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        distinct = chunks.flatten().dictionary_encode()
+        code = distinct.indices.to_numpy()
+        known = self._known(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+        around = np.fromiter((x is None for x in known), bool, len(known))[code]
+        around[offsets[:-1]] = False
+        whole = np.add.reduceat(around, offsets[:-1], dtype=np.int64) > 0
+        whole |= pa.compute.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        ids = [x or b"" for x in known]
+        joined = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin, length = np.cumsum(size) - size, size[code]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        flat = joined[np.repeat(begin[code] - ends[:-1], length) + np.arange(ends[-1])]
+        at = ends[offsets]
+        rest = iter(self._ids(texts.filter(pa.array(whole)).to_pylist()))
+        return [next(rest) if w else flat[i + 1 : j].tobytes() for w, i, j in zip(whole.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 @functools.cache
@@ -111,15 +136,13 @@ def load(path: str) -> Encoder:
     return Encoder(path)
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = 6, round_pairs: int = 2000, least: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, base: int, round_pairs: int = 20_000, least: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols): pairs of symbols that the nonterminals from ``base`` on stand for, and ``ids`` rewritten with them.
 
-    Every pair that a round takes occurs at least ``least`` times.
+    Rounds go on until no pair is found ``least`` times (overlapping places of one symbol twice count once each).
     """
     seq, rules = ids.astype(np.uint32), []
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         kind, shift = (np.uint32, 16) if base + len(rules) + round_pairs <= 1 << 16 else (np.uint64, 32)
         keys = seq[:-1].astype(kind) << kind(shift) | seq[1:].astype(kind)
         ordered = np.sort(keys)
@@ -251,8 +274,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col:
 
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            for piece in slices(batch, 1, 2 << 20):
-                encoded = encoder.encode([t or "" for t in piece.column(1).to_pylist()])
+            for piece in slices(batch, 1, 4 << 20):
+                encoded = encoder.encode(piece.column(1))
                 for doc, ids in zip(piece.column(0).to_pylist(), encoded, strict=True):
                     doc_ids.append(doc)
                     parts.append(ids + end)
