@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilspark.sources.arrays import read_array
 
 
 def write_sealed(df: DataFrame, path: str, extra_cols: list[str] | None = None, mode: str = "errorifexists") -> None:
@@ -29,18 +30,18 @@ def read_sealed(spark: SparkSession, path: str, multi_line: bool = False, extra_
     """(header string, nonce binary, ciphertext binary [, extra]) of every entry with a header.
 
     A header that is no text counts as empty; a nonce or ciphertext that is no
-    text is an error.  ``strict`` (array form only) fails unless every file's top level is a JSON
-    array; Spark's reader alone would accept a lone object as one record.  It
-    reads each file's text once more (the array form is read whole per file
-    anyway).
+    text is an error.  ``strict`` (array form only) reads each array by byte ranges
+    in many tasks (``veilspark.sources.arrays``) and fails unless every file's top level is
+    one; Spark's reader alone takes a file whole in one task and a lone object as one record.
     """
-    if strict and multi_line:
-        not_array = spark.read.text(path, wholetext=True).filter(~F.col("value").rlike(r"^\s*\["))
-        if not not_array.isEmpty():
-            raise ValueError("sealed dataset must be a JSON array")
     # As VARIANT, so that a value's JSON type is known: text, or something that a plain string column would turn into text.
     schema = "header variant, nonce variant, ciphertext variant" + (", " + extra_schema if extra_schema else "")
-    raw = spark.read.schema(schema).option("multiLine", str(bool(multi_line)).lower()).option("mode", "FAILFAST").json(path)
+    if strict and multi_line:
+        fields = [f.split(None, 1) for f in schema.split(", ")]
+        record = read_array(spark, path).select(F.parse_json("text").alias("r"))
+        raw = record.select(*[F.variant_get("r", f"$.{name}", kind).alias(name) for name, kind in fields])
+    else:
+        raw = spark.read.schema(schema).option("multiLine", str(bool(multi_line)).lower()).option("mode", "FAILFAST").json(path)
     extras = [f.split()[0] for f in extra_schema.split(",") if f.strip()] if extra_schema else []
     kind = F.schema_of_variant("header")
 
