@@ -5,7 +5,8 @@ A header is a flat JSON object with the reserved keys ``source``,
 ``destination``, ``producer_id`` and ``seq``; every other key is an attribute
 (``user_id`` for instance).  Parsing is Spark's JSON reader: ``seq`` is read as
 text and cast, so a number or numeric text both give a long, anything else
-null; an empty, null or malformed header gives nulls throughout.
+null; an empty or null header gives nulls throughout.  A header that breaks off
+or goes wrong midway gives the pairs before that point.
 """
 
 from __future__ import annotations
@@ -52,10 +53,21 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A JSON string, a value without nesting, and a run of pairs; possessive, so no text makes them search back.
+_TEXT = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+"'
+_NUMBER = r"-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
+_PAIR = rf"\s*+{_TEXT}\s*+:\s*+(?:{_TEXT}|(?:true|false|null|{_NUMBER})(?=\s*+(?:[,}}]|$)))\s*+"
+_WHOLE_PAIRS = rf"^\s*+\{{({_PAIR}(?:,{_PAIR})*+)"
+
+
 def _header_map(header) -> Column:
     h = _col(header)
     blank = h.isNull() | (F.length(h) == F.lit(0))
-    return F.when(blank, F.lit(None).cast("map<string,string>")).otherwise(F.from_json(h, "map<string,string>"))
+    # Of a header that is no whole JSON object, the longest beginning that is a list of pairs.
+    pairs = F.regexp_extract(h, _WHOLE_PAIRS, 1)
+    begun = F.when(pairs != "", F.from_json(F.concat(F.lit("{"), pairs, F.lit("}")), "map<string,string>"))
+    whole = F.coalesce(F.from_json(h, "map<string,string>"), begun)
+    return F.when(blank, F.lit(None).cast("map<string,string>")).otherwise(whole)
 
 
 def _whole_number(m: Column, header, key: str) -> Column:
@@ -82,8 +94,8 @@ def parse_header(header) -> Column:
     """struct<source, destination, producer_id, seq long, attrs map<string,string>, user_id long>.
 
     One JSON parse into ``map<string,string>`` (a repeated key keeps its last
-    value; numbers arrive as their text), then plain map lookups.  Empty,
-    null or malformed headers give null.  Prefer ``with_header`` on a
+    value; numbers arrive as their text), then plain map lookups.  Empty and
+    null headers, and those without a whole pair, give null.  Prefer ``with_header`` on a
     DataFrame: it keeps the parse in its own projection so it runs once per row.
     """
     return _fields_from_map(_header_map(header), header)

@@ -32,7 +32,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilspark.operators.scan import global_running_sum
+from veilspark.functions.noise import tree_height
+from veilspark.operators.scan import global_row_number, global_running_sum
+from veilspark.params import PrivacyParams
 from veilspark.session import materialize
 
 _STEPS = 200  # far above what Newton's method takes; every element stops on its own
@@ -165,6 +167,85 @@ def bounding_loss(totals: DataFrame, bounds: Sequence[int], n: str = "n") -> Dat
     )
 
 
+def bound_error(params: PrivacyParams) -> float:
+    """What the variance of one release is, per squared bound C: its noise is a sum over at most height + 1 tree nodes."""
+    per_bound = params.with_(max_contributions=1).sigma  # sigma grows in proportion to C
+    return (tree_height(params.horizon) + 1) * per_bound**2
+
+
+def best_bound(totals: DataFrame, params: PrivacyParams, n: str = "n") -> DataFrame:
+    """A7 over every bound: the C of least squared bias plus variance, one row
+    (max_contributions, users_over, dropped, loss, noise_variance, error).
+
+    The bias of C is what it drops, sum(max(n - C, 0)); the variance is
+    ``bound_error`` times C squared.  Users are counted per total; running sums from
+    the largest total down give the users above it and their contributions, so between
+    two totals the error is a known parabola in C, whose least whole number is
+    one of the two around its vertex, or an end.  So every C from 1 is judged,
+    with a row for each distinct total and none for each C.  Equal errors: the
+    smallest C.  No users, no row.
+    """
+    noise = bound_error(params)
+    sizes = totals.filter(F.col(n) > 0).groupBy(F.col(n).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("users"))
+    sizes = materialize(sizes.withColumn("held", F.col("v") * F.col("users")), "contribution-sizes")
+    down = [F.col("v").desc()]
+    sums = global_running_sum(global_running_sum(sizes, down, "users", "over"), down, "held", "mass")
+    whole = sizes.agg(F.sum("held").alias("total"))
+    # Bounds from the total below (or 1) up to v - 1 are exceeded by the ``over`` users with v or more; v itself by those above it.
+    ranked = materialize(global_row_number(sums.select("v", "users", "held", "over", "mass"), ["v"], "place"), "contribution-sums")
+    lows = ranked.select((F.col("place") + 1).alias("place"), F.col("v").alias("low"))
+    spans = ranked.join(lows, "place", "left").withColumn("low", F.greatest(F.coalesce("low", F.lit(1)), F.lit(1)))
+    over, mass = F.col("over").cast("double"), F.col("mass").cast("double")
+    vertex = F.floor(mass * over / (over * over + F.lit(noise))).cast("long")
+    inside = lambda c: F.least(F.greatest(c, F.col("low")), F.col("v"))
+    tried = F.array_distinct(F.array(F.col("low"), inside(vertex), inside(vertex + 1), F.col("v")))
+    judged = spans.withColumn("c", F.explode(tried)).withColumn("dropped", F.col("mass") - F.col("c") * F.col("over"))
+    error = F.col("dropped").cast("double") * F.col("dropped").cast("double") + F.lit(noise) * F.col("c").cast("double") * F.col("c").cast("double")
+    judged = judged.withColumn("error", error)
+    # At c = v itself the users with exactly v are not over it, and drop nothing.
+    last = F.min(F.struct("error", "c", F.when(F.col("c") == F.col("v"), F.col("over") - F.col("users")).otherwise(F.col("over")).alias("users_over"),
+                          "dropped")).alias("b")
+    best = judged.groupBy(F.lit(0).alias("one")).agg(last)
+    best = best.join(F.broadcast(whole.withColumn("one", F.lit(0))), "one")  # one row each
+    return best.select(
+        F.col("b.c").alias("max_contributions"), F.col("b.users_over").alias("users_over"), F.col("b.dropped").alias("dropped"),
+        (F.col("b.dropped") / F.col("total")).alias("loss"), (F.lit(noise) * F.col("b.c") * F.col("b.c")).alias("noise_variance"),
+        F.col("b.error").alias("error"))
+
+
+#: KLL sketches: items kept on the lowest level, and the rank error that goes with them (99 % confidence, as published).
+SKETCH_K = 2048
+SKETCH_ERROR = 2.296 / SKETCH_K**0.9021
+
+
+def quantile_sketches(values: DataFrame, col: str, trigger: str, k: int = SKETCH_K) -> DataFrame:
+    """A9 for data that keeps coming: (trigger, n, sketch), a KLL sketch of ``col`` for each trigger; nulls don't count.
+
+    Sketches of a few ten kilobytes are stored once per trigger and merged
+    (:func:`sketch_percentile`), so a percentile over any set of triggers reads no value again.
+    """
+    v = F.col(col).cast("double")
+    return values.filter(v.isNotNull()).groupBy(trigger).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(v, F.lit(int(k))).alias("sketch"))
+
+
+def sketch_percentile(sketches: DataFrame, p: float, k: int = SKETCH_K) -> DataFrame:
+    """One row (p, n, value, rank_error) over all given sketches; no row without values.
+
+    ``value`` interpolates linearly, as the exact percentile does, between the
+    sketch's values at ranks (n - 1) p rounded down and up; its rank is within ``rank_error`` x n of the exact one's.
+    """
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("percentile must be within [0, 1]")
+    n = sketches.agg(F.sum("n")).first()[0] or 0
+    merged = sketches.agg(F.kll_merge_agg_double("sketch", F.lit(int(k))).alias("s"))
+    place = max(n - 1, 0) * p
+    at = lambda rank: F.kll_sketch_get_quantile_double("s", F.lit(min((rank + 1) / max(n, 1), 1.0)))
+    low, high = math.floor(place), math.ceil(place)
+    value = at(low) * F.lit(1 - place + low) + at(high) * F.lit(place - low)
+    return merged.filter(F.lit(n > 0)).select(F.lit(float(p)).alias("p"), F.lit(n).cast("long").alias("n"), value.alias("value"),
+                                              F.lit(2.296 / k**0.9021).alias("rank_error"))
+
+
 def calibration_sweep(loss: DataFrame, epsilons: Sequence[float], delta: float, horizon: int,
                       per_record_clamp: float = 1.0) -> DataFrame:
     """A7 sweep: every bound C (with its data loss) x every epsilon -> rho, sigma.

@@ -17,13 +17,16 @@ I7  routing-table check: exactly one downstream per stage, known names only.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilspark.functions.headers import COMPONENTS, EXPECTED_INPUT
 from veilspark.operators.scan import BLK, keyed_row_number, keyed_running_max_before
 from veilspark.params import DEFAULT_REPLAY_WINDOW
+from veilspark.session import materialize, work_path
 
 REASON = "reason"
 
@@ -191,10 +194,41 @@ def routing_table_check(edges: DataFrame, stage: str = "stage", downstream: str
 
 # ------------------------------------------------------------------ I8 / U3
 
+class Split(NamedTuple):
+    """Both outputs of one evaluation, and how many rows each has."""
+
+    accepted: DataFrame
+    quarantined: DataFrame
+    counts: dict[str, int]
+
+    def reasons(self, reason: str = REASON) -> DataFrame:
+        """(reason, cnt) of the quarantined rows; reads that part of the table alone."""
+        return self.quarantined.groupBy(reason).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def split_by_verdict(df: DataFrame, reason: str = REASON) -> Split:
+    """Evaluates ``df`` once and writes it with one folder for each verdict; rows without a ``reason`` are accepted.
+
+    The table lies in the shared work folder, whole rows and all: never give it
+    plaintext that must not rest on disk.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "verdicts")
+    seen = Observation(f"verdicts-{path[-32:]}")
+    bad = F.col(reason).isNotNull()
+    (df.withColumn("__verdict", F.when(bad, 1).otherwise(0))
+     .observe(seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("quarantined"))
+     .write.partitionBy("__verdict").parquet(path))
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__verdict", T.IntegerType())])).parquet(path)
+    return Split(rows.filter("__verdict = 0").drop("__verdict", reason), rows.filter("__verdict = 1").drop("__verdict"),
+                 {k: int(v) for k, v in seen.get.items()})
+
+
 def apply_policy(df: DataFrame, reason: str = REASON, policy: str = "quarantine"):
     """I8: ``fail`` raises on the first violating row; ``quarantine`` returns (accepted, quarantined).
 
-    Both fail closed: rows with a reason are never in the accepted output.
+    Both fail closed: rows with a reason are never in the accepted output.  The
+    two outputs are parts of one written table (``split_by_verdict``), so the checks run once.
     ``flag`` returns the rows with their reason column (null = accepted), for
     callers that write one table and split it later instead of evaluating
     the checks once per output.
@@ -209,7 +243,8 @@ def apply_policy(df: DataFrame, reason: str = REASON, policy: str = "quarantine"
         return df
     if policy != "quarantine":
         raise ValueError("policy must be 'fail', 'quarantine' or 'flag'")
-    return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())
+    split = split_by_verdict(df, reason)
+    return split.accepted, split.quarantined
 
 
 def verified_stage(df: DataFrame, stage: str, source: str, destination: str, producer: str, seq: str,
@@ -240,6 +275,7 @@ def verified_stage(df: DataFrame, stage: str, source: str, destination: str, pro
     out = out.withColumn(REASON, _first_reason(*pre) if pre else F.lit(None).cast("string"))
     out = out.drop(*[f"__route{i}" for i in range(len(more) + 1)])
     if check_replay:
+        out = materialize(out, "checked")  # the replay window reads its rows more than once
         passed = out.filter(F.col(REASON).isNull()).drop(REASON)
         failed = out.filter(F.col(REASON).isNotNull())
         replayed = replay_filter(passed, producer, seq, order_by, window, REASON)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from veilspark.functions.noise import std_gaussian
 from veilspark.operators.scan import global_row_number, global_running_sum
+from veilspark.session import materialize
 
 # The keys a record must carry, and the blank-body rule
 REQUIRED_KEYS = ("body", "category", "id", "rating")
@@ -62,14 +63,24 @@ def clean_records(df: DataFrame, record: str = "record", required: Sequence[str]
 
 
 def dense_ids(df: DataFrame, order_by: Sequence, name: str = "id") -> DataFrame:
-    """replace/add ``name`` with 0..n-1 following ``order_by``."""
-    out = global_row_number(df.drop(name) if name in df.columns else df, order_by, name="__rn")
+    """replace/add ``name`` with 0..n-1 following ``order_by``.
+
+    The rows are written once before they are counted, ranged and numbered, so ``df`` is computed once.
+    """
+    rows = materialize(df.drop(name) if name in df.columns else df, "numbered")
+    out = global_row_number(rows, order_by, name="__rn")
     return out.withColumn(name, F.col("__rn") - F.lit(1)).drop("__rn")
 
 
-def _keyed_uniform48(*parts: Column) -> Column:
+def keyed_uniform(total: int, *parts: Column) -> Column:
+    """A number from 0 to ``total`` - 1 drawn by 120 bits of a hash of ``parts``.
+
+    Whatever the total (below 2^63), no number is likelier than another by more than one in 2^57.
+    """
     h = F.sha2(F.concat_ws("|", *parts), 256)
-    return F.conv(F.substring(h, 1, 12), 16, 10).cast("long")
+    high, low = (F.conv(F.substring(h, at, 15), 16, 10).cast("decimal(19,0)") for at in (1, 16))
+    drawn = (high * F.lit(1 << 60).cast("decimal(19,0)")).cast("decimal(38,0)") + low
+    return (drawn.cast("decimal(38,0)") % F.lit(int(total)).cast("decimal(19,0)")).cast("long")
 
 
 def user_weights(spark: SparkSession, num_users: int, seed: str) -> DataFrame:
@@ -101,7 +112,7 @@ def assign_weighted_users(df: DataFrame, record_id: str, num_users: int, seed: s
         F.col("user_id").alias("__user"), "lo", "hi",
         F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("__bucket"),
     ).filter(F.col("hi") > F.col("lo"))
-    draw = F.pmod(_keyed_uniform48(F.lit(seed), F.lit("record"), F.col(record_id).cast("string")), F.lit(int(total)))
+    draw = keyed_uniform(int(total), F.lit(seed), F.lit("record"), F.col(record_id).cast("string"))
     recs = df.withColumn("__x", draw).withColumn("__bucket", F.floor(F.col("__x") / width))
     joined = recs.join(buckets, "__bucket").filter((F.col("__x") >= F.col("lo")) & (F.col("__x") < F.col("hi")))
     return joined.drop("__bucket", "__x", "lo", "hi", name).withColumnRenamed("__user", name)

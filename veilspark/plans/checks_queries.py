@@ -106,14 +106,17 @@ ORACLES["header_json"] = f"SELECT event_id, {HEADER_SQL} AS header FROM events"
 
 @register("header_fields")
 def q_header_fields(spark, sf_dir):
-    """Header JSON parsed to source, destination, producer_id, seq and user_id."""
-    h = _parsed_headers(spark, sf_dir)
+    """Header JSON parsed to source, destination, producer_id, seq and user_id; broken off in the source where event_id % 8 = 0."""
+    cut = F.concat(F.substring_index("header", '"source"', 1), F.lit('"source":"sent'))
+    broken = (F.col("event_id") % 8 == 0) & F.col("header").contains('"source"')
+    h = with_header(fx.event_headers(spark, sf_dir).withColumn("header", F.when(broken, cut).otherwise(F.col("header"))), "header", "h")
     return h.select("event_id", "h.source", "h.destination", "h.producer_id", "h.seq", "h.user_id")
 
 
 ORACLES["header_fields"] = f"""
 WITH {PARSED_SQL}
-SELECT event_id, source, destination, producer_id, seq, user_id FROM ph""".strip()
+SELECT event_id, CASE WHEN event_id % 8 <> 0 THEN source END AS source, destination, producer_id, seq,
+       CASE WHEN event_id % 8 <> 0 OR source IS NULL THEN user_id END AS user_id FROM ph""".strip()
 
 # ------------------------------------------------------------------ I1, I2, I3/I6
 
@@ -258,16 +261,14 @@ FROM g""".strip()
 
 @register("quarantine_counts")
 def q_quarantine_counts(spark, sf_dir):
-    """Verified stage (route, required fields, replay), flagged once; rows per outcome."""
-    # the verified stage reads its input in several passes: parse the headers once into a written table
-    h = materialize(_parsed_headers(spark, sf_dir).select(
+    """Verified stage (route, required fields, replay), split by verdict in one evaluation; rows per outcome."""
+    h = _parsed_headers(spark, sf_dir).select(
         "event_id", "ts", "stage", F.col("h.source").alias("src"), F.col("h.destination").alias("dst"),
-        F.col("h.producer_id").alias("producer_id"), F.col("h.seq").alias("seq"),
-    ), "parsed-headers")
-    flagged = integrity.verified_stage(h, "stage", "src", "dst", "producer_id", "seq", fx.EVENT_ORDER,
-                                       policy="flag", window=REPLAY_WINDOW)
-    outcome = F.coalesce(F.col("reason"), F.lit("accepted"))
-    return flagged.groupBy(outcome.alias("reason")).agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+        F.col("h.producer_id").alias("producer_id"), F.col("h.seq").alias("seq"))
+    accepted, quarantined = integrity.verified_stage(h, "stage", "src", "dst", "producer_id", "seq", fx.EVENT_ORDER,
+                                                     policy="quarantine", window=REPLAY_WINDOW)
+    outcomes = accepted.select(F.lit("accepted").alias("reason")).unionByName(quarantined.select("reason"))
+    return outcomes.groupBy("reason").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
 
 
 ORACLES["quarantine_counts"] = f"""

@@ -7,6 +7,7 @@ before using it; nothing sealed is recomputed.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import functions as F
@@ -18,10 +19,12 @@ from veilspark.plans import fixtures as fx
 from veilspark.plans.oracles import ORACLES
 from veilspark.plans.queries import _releases, register, WIDE_NOISE
 from veilspark.session import table, work_path
+from veilspark.sources.custom import SplitSource
 from veilspark.sources.records import read_records, read_records_variant, write_records
 from veilspark.sources.sample import sample_with_replacement
 from veilspark.sources.sealed import read_sealed, write_sealed
 from veilspark.sources.snapshot import snapshot_lines
+from veilspark.streaming.run import run_to_parquet
 
 USERS_SEED = "fixture-users"
 SAMPLE_SEED = "fixture-sample"
@@ -97,7 +100,8 @@ w AS (SELECT user_id,
 c AS (SELECT user_id, CAST(sum(weight) OVER (ORDER BY user_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi, weight FROM w),
 t AS (SELECT max(hi) AS total FROM c),
 r AS (SELECT id AS doc_id,
-             CAST(('0x' || substr(sha256('{USERS_SEED}|record|' || CAST(id AS VARCHAR)), 1, 12)) AS BIGINT)
+             (CAST(('0x' || substr(sha256('{USERS_SEED}|record|' || CAST(id AS VARCHAR)), 1, 15)) AS HUGEINT) * {1 << 60}
+              + CAST(('0x' || substr(sha256('{USERS_SEED}|record|' || CAST(id AS VARCHAR)), 16, 15)) AS HUGEINT))
                % (SELECT total FROM t) AS x FROM cleaned)
 SELECT r.doc_id, c.user_id FROM r JOIN c ON r.x >= c.hi - c.weight AND r.x < c.hi""".strip()
 
@@ -265,3 +269,41 @@ ORACLES["snapshot_lines"] = ORACLES["release_order"].replace(
     "SELECT CAST(row_number() OVER (ORDER BY noisy DESC, event_type ASC) AS BIGINT) AS line_no,\n"
     "       event_type || ':' || CAST(released AS VARCHAR) AS line\nFROM kept",
 )
+
+
+class DrawSource(SplitSource):
+    """The draws of S3 as a source of one's own, a few hundred to a split."""
+
+    columns = "draw long, idx long"
+
+    def splits(self, options):
+        return self.slices(options, 0, int(options["draws"]))
+
+    def slices(self, options, start, end):
+        return [(i, min(i + 500, end)) for i in range(start, end, 500)]
+
+    def limit(self, options):
+        return int(options["draws"])
+
+    def open(self, options, split):
+        return options["seed"], int(options["table"])
+
+    def rows(self, handle, split):
+        seed, n = handle
+        for draw in range(*split):
+            yield draw, int(hashlib.sha256(f"{seed}|{draw}".encode()).hexdigest()[:12], 16) % n
+
+
+@register("custom_source")
+def q_custom_source(spark, sf_dir):
+    """U2 + S3: draws with replacement streamed from an own source, a third per run, each run restarted; joined to the documents."""
+    docs = prep.dense_ids(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], "idx")
+    n = docs.count()
+    spark.dataSource.register(DrawSource)
+    draws = (spark.readStream.format("DrawSource").option("seed", SAMPLE_SEED).option("table", n).option("draws", n)
+             .option("rowsPerBatch", max(1, -(-n // 3))).load())
+    out = run_to_parquet(draws.join(docs, "idx"), "custom-source", checkpoint=work_path(spark, "custom-source-ckpt"), runs=3)
+    return spark.read.parquet(out).select("draw", "doc_id")
+
+
+ORACLES["custom_source"] = ORACLES["replay_sample"]

@@ -243,3 +243,24 @@ r AS (SELECT *, {_rho} AS rho FROM grid)
 SELECT max_contributions, round(loss, 9) AS loss, epsilon, delta, horizon, round(rho, 9) AS rho,
        round(sqrt(ln(horizon) * power(max_contributions * {Q.PARAMS.per_record_clamp!r}, 2) / (2.0 * rho)), 6) AS sigma
 FROM r""")
+
+# Fixed value: variance of one release (7 tree nodes) per squared bound at epsilon 10, delta 1e-5, T 60, L_m 1.
+RELEASE_VARIANCE = 7 * (SIGMA[10.0] / 50) ** 2
+
+_reg("best_bound", f"""
+WITH {DOC_TOTALS},
+held AS (SELECT n, count(*) AS users FROM totals WHERE n > 0 GROUP BY n),
+c AS (SELECT unnest(range(1, (SELECT max(n) FROM held) + 1)) AS c),
+e AS (SELECT c, CAST(sum(CASE WHEN n > c THEN users ELSE 0 END) AS BIGINT) AS users_over,
+             CAST(sum(greatest(n - c, 0) * users) AS BIGINT) AS dropped, CAST(sum(n * users) AS BIGINT) AS total
+      FROM c, held GROUP BY c),
+j AS (SELECT *, CAST(dropped AS DOUBLE) * dropped + CAST({RELEASE_VARIANCE!r} AS DOUBLE) * c * c AS error FROM e)
+SELECT c AS max_contributions, users_over, dropped, round(dropped / total, 6) AS loss,
+       round(CAST({RELEASE_VARIANCE!r} AS DOUBLE) * c * c, 6) AS noise_variance, round(error, 6) AS error
+FROM j ORDER BY j.error, c LIMIT 1""")
+
+_reg("sketch_percentile", "SELECT CAST(0.99 AS DOUBLE) AS p, count(*) AS n, true AS within FROM events WHERE value IS NOT NULL")
+
+_reg("custom_stage", """
+WITH v AS (SELECT length(regexp_replace(text, '[^aeiou]', '', 'g')) AS vowels FROM documents WHERE text IS NOT NULL)
+SELECT vowels % 10 AS digit, count(*) AS docs, CAST(sum(vowels) AS BIGINT) AS vowels FROM v GROUP BY ALL""")

@@ -7,8 +7,10 @@ reads whole tables; no row caps, id subsets or prefixes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from veilspark.functions.text import tokenize, unicode_word_count
 from veilspark.operators import bounding, calibration, counts, dp, release
 from veilspark.plans import fixtures as fx
 from veilspark.plans.histogram import private_histogram
+from veilspark.plans.stages import ArrowStage, run_stages
 from veilspark.params import PrivacyParams
 from veilspark.session import materialize, table
 
@@ -268,3 +271,47 @@ def q_calibration_sweep(spark, sf_dir):
     sweep = calibration.calibration_sweep(loss, GRID_EPSILONS, PARAMS.delta, PARAMS.horizon, PARAMS.per_record_clamp)
     return sweep.select("max_contributions", F.round("loss", 9).alias("loss"), "epsilon", "delta", "horizon",
                         F.round("rho", 9).alias("rho"), F.round("sigma", 6).alias("sigma"))
+
+
+@register("best_bound")
+def q_best_bound(spark, sf_dir):
+    """A7 over every C: the bound of least squared bias plus release variance for the document totals."""
+    out = calibration.best_bound(_doc_totals(spark, sf_dir), PARAMS)
+    return out.withColumns({c: F.round(c, 6) for c in ("loss", "noise_variance", "error")})
+
+
+@register("sketch_percentile")
+def q_sketch_percentile(spark, sf_dir):
+    """A9 per trigger: a sketch of event values for each day, written, merged; is the 99th percentile within the stated rank error?"""
+    ev = fx.events(spark, sf_dir).select("trigger_id", "value")
+    sketches = materialize(calibration.quantile_sketches(ev, "value", "trigger_id"), "value-sketches")
+    found = calibration.sketch_percentile(sketches, 0.99)
+    p, n, value, error = found.select("p", "n", "value", "rank_error").first()
+    upto = ev.agg(F.count_if(F.col("value") < value).alias("under"), F.count_if(F.col("value") <= value).alias("upto"))
+    near = (F.col("under") <= F.lit(n * (p + error) + 1)) & (F.col("upto") >= F.lit(n * (p - error) - 1))
+    return upto.select(F.lit(p).alias("p"), F.lit(n).alias("n"), near.alias("within"))
+
+
+class _Vowels(ArrowStage):
+    """Letters counted by a stage object with a life of its own in every task."""
+
+    schema = "doc_id long, vowels long"
+
+    def open(self):
+        return re.compile("[aeiou]")
+
+    def process(self, handle, batch):
+        counts = [len(handle.findall(t or "")) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["doc_id", "vowels"])
+
+
+@register("custom_stage")
+def q_custom_stage(spark, sf_dir):
+    """A stage of one's own between two others: documents with text -> vowels of each -> per number of vowels mod 10."""
+    def with_text(d):
+        return d.filter(F.col("text").isNotNull()).select("doc_id", "text")
+
+    def by_digit(d):
+        return d.groupBy((F.col("vowels") % 10).alias("digit")).agg(F.count(F.lit(1)).alias("docs"), F.sum("vowels").alias("vowels"))
+
+    return run_stages(table(spark, sf_dir, "documents"), [with_text, _Vowels(), by_digit])

@@ -3,17 +3,19 @@
 A *stage* is a plain function ``DataFrame -> DataFrame``; a pipeline is a
 list of stages applied with ``DataFrame.transform``, so the whole chain stays
 one logical plan for Catalyst.  A *source* is any DataFrame (``spark.read``
-or ``spark.readStream``) - there is no separate source interface.  Opaque
-per-partition code goes through ``pandas_stage`` (Arrow batches, never
-row-at-a-time).
+or ``spark.readStream``); ``veilspark.sources.custom`` makes one of your own.  Opaque
+per-partition code goes through ``pandas_stage`` or, if it has something to
+open and close, through an ``ArrowStage`` (Arrow batches, never row-at-a-time).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
+from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from veilspark.functions.text import tokenize
@@ -35,6 +37,43 @@ def pandas_stage(fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
     return lambda df: df.mapInPandas(fn, schema)
 
 
+class ArrowStage:
+    """U1 with a life in every task: subclass it and give ``schema``, ``process`` and, if wanted, ``open`` and ``close``.
+
+    ``open`` runs in the task before its first batch and gives a handle;
+    ``process`` turns a batch into any number of batches; ``flush`` may give
+    more after the last one; ``close`` runs at the end of the task, also when
+    ``process`` fails or nobody asks for the rest.  An instance is a stage.  It
+    is pickled to the tasks, so what can't be pickled belongs into ``open``.
+    """
+
+    schema: str = ""
+
+    def open(self) -> Any:
+        return None
+
+    def process(self, handle: Any, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        raise NotImplementedError
+
+    def flush(self, handle: Any) -> Iterator[pa.RecordBatch]:
+        return iter(())
+
+    def close(self, handle: Any) -> None:
+        pass
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        def run(batches):
+            handle = self.open()
+            try:
+                for batch in batches:
+                    yield from self.process(handle, batch)
+                yield from self.flush(handle)
+            finally:
+                self.close(handle)
+
+        return df.mapInArrow(run, self.schema)
+
+
 def tokenize_stage(text: str, keep: Sequence[str]) -> Stage:
     return lambda df: tokenize(df, text, keep=list(keep))
 
