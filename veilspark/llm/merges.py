@@ -36,6 +36,8 @@ class Merges:
         self.made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
         self.rank = np.argsort(keys, kind="stable")
         self.keys = keys[self.rank]
+        # Of two bytes, the second the last of its word or not.
+        self.first = np.stack([self._rank(np.repeat(self.letter, 256), np.tile(x, 256)).reshape(256, 256) for x in (self.letter, self.last)])
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.base + right
@@ -53,7 +55,9 @@ class Merges:
         symbol[end] = self.last[raw[end]]
         rank = np.full(len(symbol), NONE)
         inner = np.flatnonzero(word[:-1] == word[1:])
-        rank[inner] = self._rank(symbol[inner], symbol[inner + 1])
+        ends = np.zeros(len(symbol), np.int64)
+        ends[end] = 1
+        rank[inner] = self.first[ends[inner + 1], raw[inner], raw[inner + 1]]
         done_symbol, done_word = [], []
         while len(symbol):
             start = np.flatnonzero(np.append(True, word[1:] != word[:-1]))

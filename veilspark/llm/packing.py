@@ -129,44 +129,59 @@ def load(path: str) -> WordEncoder:
 
 
 def with_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``ids`` (with ``end_id`` last) of every whole text; a null text counts as empty."""
+    """``doc_id``, ``ids`` (with ``end_id`` last) of every whole text; a null text counts as empty.
+
+    Each task adds a row with null ``ids``: ``df`` has, for every id of the
+    vocabulary, in how many of the task's documents it is (64-bit integers).
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):
         encoder = load(tokenizer_path)
-        end = np.array([end_id], encoder.kind).tobytes()
+        end, df = np.array([end_id], encoder.kind).tobytes(), np.zeros(encoder.size, np.int64)
+        names = ["doc_id", "ids", "df"]
         for batch in batches:
             for part in slices(batch, 1, 4 << 20):
                 flat, at = encoder.encode(part.column(1))
-                ids = [flat[i:j].tobytes() + end for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                bounds = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
+                ids = [flat[i:j].tobytes() + end for i, j in bounds]
+                for i, j in bounds:
+                    df[counted(flat[i:j])[0]] += 1
+                df[end_id] += len(bounds)  # not an id of texts
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([df.tobytes()], pa.binary())], names=names)
 
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary, df binary")
 
 
 def counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids, ascending, and how often each occurs."""
+    if not len(ids):
+        return ids, np.zeros(0, np.int64)
     ordered = np.sort(ids, kind="stable")  # a radix sort for 16-bit ids
-    first = np.flatnonzero(np.append(len(ids) > 0, ordered[1:] != ordered[:-1]))
-    return ordered[first], np.diff(np.append(first, len(ids)))
+    new = np.empty(len(ids), bool)
+    new[0] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    n = np.empty(len(first), np.int64)
+    np.subtract(first[1:], first[:-1], out=n[:-1])
+    n[-1] = len(ids) - first[-1]
+    return ordered[first], n
 
 
-def document_frequencies(encoded: DataFrame, size: int, width: int) -> DataFrame:
-    """``term``, ``df`` (documents that have it), ``tf``: each task counts its documents, at most ``size`` rows each."""
-    kind = f"<u{width}"
+def document_frequencies(encoded: DataFrame, size: int) -> DataFrame:
+    """``term`` and ``df``, in how many documents it is: the sums of the tasks' counts."""
 
     def run(batches):
-        df, tf = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        df = np.zeros(size, np.int64)
         for batch in batches:
             for x in batch.column(0):
-                terms, n = counted(np.frombuffer(x.as_buffer(), kind))
-                df[terms] += 1
-                tf[terms] += n
+                df += np.frombuffer(x.as_buffer(), np.int64)
         terms = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df[terms]), pa.array(tf[terms])], names=["term", "df", "tf"])
+        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(df[terms])], names=["term", "df"])
 
-    made = encoded.select("ids").mapInArrow(run, "term long, df long, tf long")
-    return made.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+    made = encoded.filter("df IS NOT NULL").select("df").mapInArrow(run, "term long, df long")
+    return made.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 class Bm25:
@@ -215,9 +230,8 @@ class Index:
     def scores(self, ids: np.ndarray, query_terms: int) -> np.ndarray:
         """The BM25 score of every unit for the heaviest terms of ``ids``."""
         query = self.model.heaviest(ids, query_terms)
-        at = np.searchsorted(self.terms, query)
-        at = at[(at < len(self.terms))]
-        at = at[np.isin(self.terms[at], query)]
+        at = np.minimum(np.searchsorted(self.terms, query), len(self.terms) - 1)
+        at = at[self.terms[at] == query]
         if not len(at):
             return np.zeros(self.n)
         spans = [slice(i, j) for i, j in zip(self.first[at].tolist(), self.last[at].tolist(), strict=True)]
@@ -286,10 +300,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
     spark = docs.sparkSession
     encoder = load(tokenizer_path)
     size, width = encoder.size, encoder.kind.itemsize
-    encoded = materialize(with_ids(docs, tokenizer_path, end_id, id_col, text_col), "packing-ids")
-    counts = document_frequencies(encoded, size, width).toArrow()  # at most a row for each id of the vocabulary
-    documents = encoded.count()
-    ids = int(np.sum(counts["tf"].to_numpy())) if documents else 0
+    written = materialize(with_ids(docs, tokenizer_path, end_id, id_col, text_col), "packing-ids")
+    counts = document_frequencies(written, size).toArrow()  # at most a row for each id of the vocabulary
+    encoded = written.filter("ids IS NOT NULL").select("doc_id", "ids")
+    documents, ids = encoded.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()
+    ids //= width
     model = Bm25.of(counts["term"].to_numpy(), counts["df"].to_numpy(), documents, ids, size, f"<u{width}")
     sent = spark.sparkContext.broadcast((model.idf, model.mean, model.kind))  # 8 bytes for each id of the vocabulary
 
@@ -341,7 +356,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, window
     partitions = min(20_000, max(1, ids // shard_ids))  # a task with more makes several shards
     rows = encoded.mapInArrow(keyed, "doc_id long, ids binary, k0 int, k1 int, k2 int")
     order = ["k0", "k1", "k2", "doc_id", "check"]
-    rows = rows.withColumn("check", F.crc32("ids")).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    rows = materialize(rows.withColumn("check", F.crc32("ids")), "packing-keys")  # the ranges are sampled from the keys alone
+    rows = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     return rows.select("doc_id", "ids").mapInArrow(run, PIECES)
 
 
