@@ -24,13 +24,14 @@ def direct(text, threshold=Fraction(4, 5)):
                 at.append(k)
                 base.add(label)
     for line, part in enumerate((text or "").split("\n")):
-        block = set(words(part))
+        own_line = words(part)
         for i, (label, template) in enumerate(licenses.TEMPLATES):
-            t = set(words(template))
-            if len(block & t) >= threshold * len(t):
+            t, reach = set(words(template)), int(len(words(template)) / threshold)
+            held = max((len(t.intersection(own_line[k:k + reach])) for k in range(max(1, len(own_line) - reach + 1))), default=0)
+            if held >= threshold * len(t):
                 labels.add(label)
                 blocks.append((line, i))
-                best = max(best, len(block & t) / len(t))
+                best = max(best, held / len(t))
     return (len(own), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
             ",".join(sorted(base | labels)), 1.0 if at else best, sorted(blocks))
 
@@ -90,3 +91,12 @@ def test_scattered_words_are_no_run(spark):
     text = far.join(licenses.TEMPLATES[3][1].split())
     (row,) = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert row.blocks == [] and row.labels == ""
+
+
+def test_words_far_apart_are_no_notice(spark):
+    texts = ["the game was released last year and players had to renew a fishing license before going under the bridge",
+             " ".join(["released", *["word"] * 2000, "under", *["word"] * 600, "the", "license"]),
+             "word " * 500 + "released under the mit license" + " word" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(docs)
+    assert [r.labels for r in licenses.scan(docs).orderBy("doc_id").collect()] == ["", "", "mit"]

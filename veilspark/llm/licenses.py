@@ -105,7 +105,7 @@ class Templates:
         self.rank = {w: i for i, w in enumerate(every)}
         # Less a billionth, so that a product like 0.8 * 5 that rounds up does not ask for one more.
         self.need = [math.ceil(threshold * len(t) - 1e-9) for t in self.words]
-        # Words of a run across lines.
+        # Words of a block, in a line or across lines.
         self.reach = [int(len(words(text)) / threshold + 1e-9) for _, text in templates]
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for i, t in enumerate(self.words):
@@ -131,6 +131,12 @@ class Templates:
         return out
 
 
+    def near(self, found: list[bytes], template: int, share: float) -> float:
+        """The largest containment of the template in words of ``found`` that stand as near as its length allows; 0 if too small."""
+        if len(found) <= self.reach[template]:
+            return share
+        return max((s for _, s in self.runs(found, [0] * len(found), template, set())), default=0.0)
+
     def runs(self, found: list[bytes], lines: list[int], template: int, taken: set[int]) -> list[tuple[int, float]]:
         """(line, containment) of the runs of ``found`` across lines that hold enough of the template.
 
@@ -213,7 +219,8 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.8, phrase
             blocks = []
             if not index.first.isdisjoint(found):
                 parts = [words(part) for part in text.split("\n")]
-                hits = [(line, i, share) for line, part in enumerate(parts) for i, share in index.match(set(part))]
+                hits = [(line, i, near) for line, part in enumerate(parts) for i, share in index.match(set(part))
+                        if (near := index.near(part, i, share))]
                 if len(parts) > 1:
                     ends = list(accumulate(map(len, parts)))
                     lines = None
