@@ -59,7 +59,7 @@ def test_documents(spark):
         assert {i for i, t in texts if t in plain} <= set(got)
         for m in r.matches:
             item = dict(texts)[m.item]
-            parts = [item[at:at + 120] for at in range(max(1, len(item) - 119))]
+            parts = [item[at:at + 64] for at in range(max(1, len(item) - 63))]
             assert min(distance(x, plain[max(0, m.start - 10):m.end + 10]) for x in parts) == m.edits
             found += 1
     assert found
@@ -69,7 +69,7 @@ def test_edited_passages(spark):
     rng = random.Random(3)
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     hosts = [r.text for r in documents(spark).limit(40).collect()]
-    patterns = d.Patterns([(r.item_id, r.text) for r in items], 12, 120, 0.05)
+    patterns = d.Patterns([(r.item_id, r.text) for r in items], 12, 64, 0.05)
     for _ in range(60):
         item = rng.choice(items)
         changed = list(d.normalise(item.text))
@@ -95,3 +95,21 @@ def test_odd_rows(spark):
     assert got == {7: [(3, 0)], 10: [(4, 0)]}
     assert d.find_leaks(empty(spark), items).collect() == []
     assert all(not r.matches for r in d.find_leaks(odd(spark), items.limit(0)).collect())
+
+
+def test_excerpts_of_long_items_are_found():
+    """Every verbatim excerpt of window + stride - 1 characters, wherever it begins."""
+    rng = random.Random(12)
+    item = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(60))
+    patterns = d.Patterns([(5, item)], q=12, window=64, rate=0.05, stride=8)
+    around = lambda: " ".join("".join(rng.choice("qrstuvwxyz") for _ in range(5)) for _ in range(30))
+    texts = [f"{around()}{item[at:at + 71]}{around()}" for at in range(len(item) - 71)]
+    assert all(found and found[0][0] == 5 for found in d.search(texts, patterns))
+    assert d.search([around(), item[:40] + around()], patterns) == [[], []]
+
+
+def test_short_items_are_found_as_words():
+    patterns = d.Patterns([(1, "E = mc 2!"), (2, "e=mc2"), (3, "..."), (4, "Yes"), (5, "e-mc 2")], q=12, window=64, rate=0.05)
+    found = d.search(["It is E=mc²? e mc 2.", "yesterday", "", None, "Yes", "e MC 2 yes", "xe mc 2"], patterns)
+    assert [[m[0] for m in f] for f in found] == [[1, 5], [], [], [], [4], [1, 4, 5], []]
+    assert found[4] == [(4, 0, 3, 0)] and found[5][1] == (4, 7, 10, 0)

@@ -2,8 +2,10 @@
 
 Texts and benchmark items are lower-cased, and runs of anything but letters and
 digits become one space.  An item is searched for as overlapping *patterns* of
-``window`` characters (shorter items whole), each with an edit budget k, a share
-``rate`` of its length m.  If a region of a document is within k edits of a
+``window`` characters, one every ``stride`` (shorter items whole), each with an edit budget k, a share
+``rate`` of its length m.  So every verbatim excerpt of ``window + stride - 1``
+characters or more (71 by default, about 13 words) holds a whole pattern.  Items of fewer than q characters are
+looked for exactly, as whole words.  If a region of a document is within k edits of a
 pattern, the two share at least t = m - q + 1 - kq of the pattern's q-grams
 (the q-gram lemma), all on at most k + 1 neighbouring diagonals (place in the
 document less place in the pattern).  So:
@@ -25,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,16 +73,22 @@ def gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
 class Patterns:
     """The patterns of one benchmark block with the table of their q-grams."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, window: int, rate: float):
+    def __init__(self, items: list[tuple[int, str]], q: int, window: int, rate: float, stride: int = 8):
         self.q, self.text, self.item = q, [], []
+        short: dict[str, set[int]] = {}
         for item, text in items:
             text = normalise(text)
             if len(text) < q:
+                if text:
+                    short.setdefault(text, set()).add(item)
                 continue
-            stride = max(1, window // 3)
             for at in [*range(0, max(1, len(text) - window), stride), max(0, len(text) - window)]:
                 self.text.append(text[at : at + window])
                 self.item.append(item)
+        self.short = ahocorasick.Automaton()
+        for text, owners in short.items():
+            self.short.add_word(f" {text} ", (len(text), owners))
+        self.short.make_automaton()
         seen = sorted({*zip(self.item, self.text, strict=True)}, key=str)
         self.item, self.text = [x for x, _ in seen], [x for _, x in seen]
         length = np.array([len(x) for x in self.text], np.int64)
@@ -174,9 +183,11 @@ def search(texts: list[str | None], patterns: Patterns) -> list[list[tuple[int,
     starts = np.cumsum([0] + [len(t) + 1 for t in plain])
     codes = _codes(joined)
     best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-    if not patterns.text:
-        return [[] for _ in texts]
-    for p, diagonal, place in patterns.candidates(gram_hashes(codes, patterns.q)):
+    if len(patterns.short):
+        for found, text in zip(best, plain, strict=True):
+            for end, (size, items) in patterns.short.iter(f" {text} "):
+                found |= {item: (0, end - size - 1, end - 1) for item in items if item not in found}
+    for p, diagonal, place in patterns.candidates(gram_hashes(codes, patterns.q)) if patterns.text else ():
         doc = int(np.searchsorted(starts, place, "right")) - 1
         pattern, item, k = patterns.text[p], patterns.item[p], int(patterns.budget[p])
         if item in best[doc] and best[doc][item][0] == 0:
@@ -198,12 +209,12 @@ def search(texts: list[str | None], patterns: Patterns) -> list[list[tuple[int,
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-               q: int = 12, window: int = 120, rate: float = 0.05, block_chars: int = 4_000_000, name: str = "matches") -> DataFrame:
+               q: int = 12, window: int = 64, rate: float = 0.05, block_chars: int = 4_000_000, name: str = "matches",
+               stride: int = 8) -> DataFrame:
     """``docs`` with the array ``name`` of (item, start, end, edits), sorted; empty if the text has no part of the benchmark.
 
     One entry per item, that of its pattern with the fewest edits.  Null and
-    empty texts match nothing; null items and items with fewer than q characters
-    (normalised) are not searched for.  Items of equal text each match.  Rows
+    empty texts match nothing; null items and items without letter or digit are not searched for.  Items of equal text each match.  Rows
     stay as they are, repeated ones too; a column called ``name`` is replaced.
     Empty tables give no matches.
     """
@@ -218,7 +229,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         rows = [(r.item, r.text) for r in items.filter(part == b).collect()]  # block_chars on average
 
         def start(rows=rows):
-            patterns = Patterns(rows, q, window, rate)
+            patterns = Patterns(rows, q, window, rate, stride)
             kinds = ("item", "start", "end", "edits")
             return lambda texts: [[[dict(zip(kinds, m, strict=True)) for m in found] for found in search(texts, patterns)]]
 
