@@ -120,3 +120,11 @@ def test_parts_of_a_language_add_up(spark):
     whole, parts = ([r.entropies for r in langid.score(docs, model, group_entries=g)[0].orderBy("lang", "text").collect()]
                     for g in (10 * n, n // 2))
     assert np.allclose(whole, parts, rtol=1e-9)
+
+
+def test_languages_of_calibration_rows_alone_are_learned(spark):
+    texts = [("en", "the quick brown fox and the lazy dog by the river")] * 6 + [("kk", "бұл қазақ тіліндегі мәтін үлгісі ғой")] * 2
+    rows = [(i, f"{t} {i}", lang) for i, (lang, t) in enumerate(texts)] + [(100, "қазақ тілі мәтін", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = langid.identify(docs, "lang = 'en'", "lang = 'kk'", keep=["doc_id"]).collect()
+    assert {r.doc_id: r.lang_pred for r in out} == {i: lang for i, (lang, _) in enumerate(texts)} | {100: "kk"}

@@ -299,7 +299,8 @@ def identify(docs: DataFrame, train: str, calibrate: str, lang_col: str = "lang"
     """The columns ``keep`` of ``docs`` (default: all) with ``lang_pred``, ``score``, ``cross_entropy`` and ``rejected``.
 
     ``train`` and ``calibrate`` are SQL conditions that choose the rows to learn
-    from; of these only those with a language count.  ``score`` is the
+    from; of these only those with a language count.  Models of the former, tried on
+    the latter, give the calibration; the models that predict learn from both.  ``score`` is the
     calibrated probability of the prediction.  Texts that are null or have no
     letter get ``und``, score 0 and no cross-entropy, as do all texts if
     nothing was learned.  Equal cross-entropies go to the language that sorts
@@ -310,29 +311,38 @@ def identify(docs: DataFrame, train: str, calibrate: str, lang_col: str = "lang"
     keep = [c for c in (keep or docs.columns) if c.lower() not in outputs]
     held = {f"__k{i}": c for i, c in enumerate(dict.fromkeys(keep))}
     labelled = docs.filter(F.col(lang_col).isNotNull())
-    grams = materialize(count_grams(labelled.filter(train), lang_col, text_col), "langid-grams")
-    rows = docs.select(*[F.col(c).alias(k) for k, c in held.items()], F.col(text_col).alias("__text"),
-                       F.when(F.expr(calibrate), F.col(lang_col).cast("string")).alias("__lang"))
-    scored, langs = score(rows, entries(grams), "__text")
-    names = F.array(*[F.lit(x) for x in langs]).cast("array<string>")
-    scored = scored.drop("__text").withColumn("cross_entropy", F.when(F.col("n_counted") > 0, F.array_min("entropies")))
-    scored = scored.withColumn("lang_pred", F.when(
-        F.col("cross_entropy").isNotNull(), F.get(names, F.array_position("entropies", F.col("cross_entropy")) - 1)))
-    scored = materialize(scored, "langid-scored")
+    learned, tried = (F.coalesce(F.expr(c), F.lit(False)) for c in (train, calibrate))
+    part = materialize(count_grams(labelled.filter(learned), lang_col, text_col), "langid-grams")
+    rest = materialize(count_grams(labelled.filter(tried & ~learned), lang_col, text_col), "langid-grams")
 
-    sample = scored.filter("__lang is not null and cross_entropy is not null").withColumn(
-        "own", F.get("entropies", F.array_position(names, F.col("__lang")).cast("int") - 1)).filter("own is not null")
+    def scored_by(rows: DataFrame, grams: DataFrame) -> tuple[DataFrame, list[str]]:
+        scored, langs = score(rows, entries(grams), "__text")
+        scored = scored.drop("__text").withColumn("cross_entropy", F.when(F.col("n_counted") > 0, F.array_min("entropies")))
+        return materialize(scored, "langid-scored"), langs
 
     def odds(factor):
         """Sum over the languages of exp(factor * (least - own)): the inverse of the prediction's probability."""
         return F.aggregate("entropies", F.lit(0.0), lambda a, x: a + F.exp(F.lit(factor) * (F.col("cross_entropy") - x)))
 
+    # Calibrated on rows that these models have not seen; then models of all rows that may be learned from.
+    sample, langs = scored_by(labelled.filter(tried).select(F.col(text_col).alias("__text"), F.col(lang_col).cast("string").alias("__lang")), part)
+    names = F.array(*[F.lit(x) for x in langs]).cast("array<string>")
+    sample = sample.filter("cross_entropy is not null").withColumn(
+        "own", F.get("entropies", F.array_position(names, F.col("__lang")).cast("int") - 1)).filter("own is not null")
     grid = [2.0 ** (i / 2) for i in range(-2, 19)]
     losses = sample.agg(*[F.avg(F.lit(b) * (F.col("own") - F.col("cross_entropy")) + F.ln(odds(b))) for b in grid]).first()
     known = [(loss, b) for loss, b in zip(losses, grid, strict=True) if loss is not None]
     factor = min(known)[1] if known else 1.0
     limits = sample.filter("own = cross_entropy").groupBy(F.col("__lang").alias("of")).agg(
         F.percentile_approx("cross_entropy", 1 - spare, 10_000).alias("limit"))
+    rows = docs.select(*[F.col(c).alias(k) for k, c in held.items()], F.col(text_col).alias("__text"))
+    grams = part
+    if not rest.isEmpty():
+        grams = materialize(part.unionByName(rest).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "langid-grams")
+    scored, langs = scored_by(rows, grams)
+    names = F.array(*[F.lit(x) for x in langs]).cast("array<string>")
+    scored = scored.withColumn("lang_pred", F.when(
+        F.col("cross_entropy").isNotNull(), F.get(names, F.array_position("entropies", F.col("cross_entropy")) - 1)))
     out = scored.join(limits, F.col("lang_pred") == F.col("of"), "left")
     return out.select(
         *[F.col(k).alias(c) for k, c in held.items()],

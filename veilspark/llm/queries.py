@@ -49,7 +49,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Operator 3: learn from three quarters of the documents (an eighth of them to calibrate), predict all."""
+    """Operator 3: learn from three quarters of the documents (calibrated on an eighth of them), predict all."""
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"))
     part = "pmod(xxhash64(doc_id), 8) = 0"
