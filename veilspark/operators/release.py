@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilspark.operators.scan import global_row_number
+from veilspark.session import materialize
 
 
 def round_half_up(x) -> Column:
@@ -43,9 +44,11 @@ def ordered_release(latest: DataFrame, key: str, noisy: str = "noisy", rank: str
     """T1 + P8: rounded counts with their position in release order.
 
     The global position comes from a range-partitioned sort with a broadcast
-    per-block offset table, not from a single-partition window.
+    per-block offset table, not from a single-partition window.  The releases
+    are written first, so they are computed once and not for each pass over them:
+    give no exact count among ``latest``'s columns.
     """
-    kept = rounded_release(latest, noisy, "released")
+    kept = materialize(rounded_release(latest, noisy, "released"), "releases")
     return global_row_number(kept, [F.col(noisy).desc(), F.col(key).asc()], name=rank)
 
 

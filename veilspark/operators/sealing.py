@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilspark.functions.headers import NONCE_BYTES, encode_header, update_header, with_header
-from veilspark.session import with_secrets
+from veilspark.session import materialize, with_secrets
 
 KEY_BYTES = 32  # 256-bit keys only
 
@@ -103,7 +103,8 @@ def reroute(df: DataFrame, key: bytes | str, stage: str, downstream: str, produc
               F.lit("destination_mismatch"))
         .when(body.isNull(), F.lit("auth_failed"))
     )
-    checked = checked.withColumn("reason", reason).drop("__h", _KEY)
+    # One pass checks and writes the sealed rows with their verdict; numbering and sealing read that table.
+    checked = materialize(checked.withColumn("reason", reason).drop("__h", _KEY), "reroute-checked")
     ok = checked.filter(F.col("reason").isNull()).withColumn("__producer", F.lit(producer_id))
     stamped = sequence_stamp(ok, "__producer", order_by, "__seq").withColumnRenamed("header", "__old")
     header = update_header(F.col("__old"), {
