@@ -289,7 +289,7 @@ def q_sketch_percentile(spark, sf_dir):
     p, n, value, error = found.select("p", "n", "value", "rank_error").first()
     upto = ev.agg(F.count_if(F.col("value") < value).alias("under"), F.count_if(F.col("value") <= value).alias("upto"))
     near = (F.col("under") <= F.lit(n * (p + error) + 1)) & (F.col("upto") >= F.lit(n * (p - error) - 1))
-    return upto.select(F.lit(p).alias("p"), F.lit(n).alias("n"), near.alias("within"))
+    return upto.select(F.lit(p).alias("p"), F.lit(n).cast("long").alias("n"), near.alias("within"))
 
 
 class _Vowels(ArrowStage):
