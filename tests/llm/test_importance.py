@@ -41,6 +41,26 @@ def test_documents(spark):
     assert sum(r.doc_id in bad for r in kept) < 0.3 * len(bad)
 
 
+def test_keys_and_sample_against_a_direct_computation(spark):
+    docs, labels = documents(spark), spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    good = {r.doc_id for r in labels.collect() if r.quality == 1 and r.toxic == 0} & set(texts)
+    most, prior = 10_000 << 7, importance.PRIOR
+    found = {i: direct_grams(t, most) for i, t in texts.items()}
+    raw, target = Counter(g for f in found.values() for g in f), Counter(g for i in good for g in found[i])
+    n, m = sum(raw.values()), sum(target.values())
+    noise = dict(docs.select("doc_id", importance.gumbel("doc_id", "text")).collect())
+    want = {}
+    for i, own in found.items():
+        times = Counter(own) if i in good else Counter()  # a target's weight is without itself
+        left = m - sum(times.values())
+        ratios = [math.log((target[g] - times[g] + prior) / (raw[g] * (left / n) + prior)) for g in own]
+        want[i] = (sum(min(0, x) for x in ratios) / len(own) if own else 0) * m / len(good) + noise[i]
+    rows = importance.resample(docs, labels, k=60, keep=["doc_id"]).collect()
+    assert all(math.isclose(r.gumbel_key, want[r.doc_id], rel_tol=1e-9, abs_tol=1e-7) for r in rows)
+    assert {r.doc_id for r in rows if r.kept} == set(sorted(want, key=want.get, reverse=True)[:60])
+
+
 def test_k_is_the_sample_size(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = importance.resample(documents(spark), labels, k=50, keep=["doc_id"]).collect()
