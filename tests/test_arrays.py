@@ -48,7 +48,7 @@ def test_elements_equal_the_plain_parser(spark, tmp_path, ranges):
     rng = random.Random(2)
     given = {}
     for i in range(3):
-        given[f"f{i}.json"] = [{f"k{j}": value(rng) for j in range(rng.randint(0, 4))} for _ in range(40 * i)]
+        given[f"f{i}.json"] = [{f"k{j}": value(rng) for j in range(rng.randint(0, 4))} for _ in range(15 * i)]
         text = json.dumps(given[f"f{i}.json"], ensure_ascii=bool(i % 2), indent=(None, 2, None)[i])
         (tmp_path / f"f{i}.json").write_text(rng.choice(["", " \n", "﻿"]) + text + rng.choice(["", "\n "]))
     for n in (64, 10_000_000):
