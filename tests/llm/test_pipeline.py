@@ -60,5 +60,5 @@ def test_queries_are_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert "pipeline" in names and set(QUERIES) <= set(names)
