@@ -75,21 +75,21 @@ def _release(spark, horizon=100, **more):
 
 
 def test_many_triggers_read_a_base_and_a_few_deltas(spark, monkeypatch):
-    rel = _release(spark, cnt="n", compact_every=4)
-    monkeypatch.setattr("veilspark.streaming.release.write_snapshot", lambda r, p, i, k: i == 46 and write_snapshot(r, p, i, k))
+    rel = _release(spark, cnt="n", compact_every=3)
+    monkeypatch.setattr("veilspark.streaming.release.write_snapshot", lambda r, p, i, k: i == 26 and write_snapshot(r, p, i, k))
     rng = random.Random(3)
     read = []
     newest = rel._newest
     rel._newest = lambda s, e: (read.append(len(e["base"]) + len(e["deltas"])), newest(s, e))[1]
-    for b in range(24):
+    for b in range(14):
         rel(spark.createDataFrame([(f"w{rng.randrange(30)}", rng.randint(1, 50)) for _ in range(4)], "k string, n long"), 2 * b)
-    assert max(read) <= 5
+    assert max(read) <= 4
     counts = spark.read.parquet(rel.counts_path)
     want = {(r.k, r.released, r["rank"]) for r in rel.release(counts.select("trigger_id", "k", "cnt")).collect()}
     assert {(r.key, r["count"], r["rank"]) for r in read_snapshot(spark, rel.snapshots_path).collect()} == want
     # a delta has the keys of its batch alone
     entry = CommitLog(spark, rel.state_path).latest()
-    seen = counts.filter("trigger_id = 46").select("k").distinct().count()
+    seen = counts.filter("trigger_id = 26").select("k").distinct().count()
     assert spark.read.parquet(f"{rel.state_path}/{entry['deltas'][-1]}").count() == seen if entry["deltas"] else True
 
 
