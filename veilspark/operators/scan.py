@@ -9,7 +9,8 @@ helpers here cut the arrival order into *blocks* instead:
    ranges of the total order (a hot key spans many of them); the block id is
    the partition id.  An explicit n keeps AQE from coalescing, so block ids are
    stable within the job that assigns them (a retried task of that job uses
-   the same range bounds).
+   the same range bounds).  n follows the rows and the bytes of the input, so a
+   block of wide rows is no larger than one of narrow rows.
 2. The scan runs *within* (key, block): bounded by the block size.
 3. A per-(key, block) summary (at most #keys + #blocks rows) gives the carry
    from all earlier blocks of the same key through a window over that small
@@ -32,6 +33,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLK = "__blk"
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above bit 33
@@ -44,20 +46,37 @@ def _cols(cs: Sequence) -> list[Column]:
 
 BLOCK_ROWS_CONF = "veilspark.scan.blockRows"
 _DEFAULT_BLOCK_ROWS = 1_000_000
+BLOCK_BYTES_CONF = "veilspark.scan.blockBytes"
+_DEFAULT_BLOCK_BYTES = 128 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row has: the lengths of texts and binaries, of nested values as JSON, and 8 for any other."""
+    size = F.lit(8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return size
 
 
 def num_blocks(spark: SparkSession, n: int | None = None, df: DataFrame | None = None) -> int:
-    """Blocks for a scan: ``n`` if given, else one for each ``veilspark.scan.blockRows`` rows that ``df`` has.
+    """Blocks for a scan: ``n`` if given, else one for each ``veilspark.scan.blockRows`` rows
+    or ``veilspark.scan.blockBytes`` bytes that ``df`` has, whichever gives more.
 
-    The rows are counted (a pass that reads no column), not estimated: give a
-    written table where computing ``df`` is dear.
+    Rows and bytes are counted (a pass that reads only columns of varying
+    length), not estimated: give a written table where computing ``df`` is dear.
     """
     if n:
         return int(n)
     if df is None:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     per = int(spark.conf.get(BLOCK_ROWS_CONF, str(_DEFAULT_BLOCK_ROWS)))
-    return max(1, -(-df.count() // max(1, per)))
+    most = int(spark.conf.get(BLOCK_BYTES_CONF, str(_DEFAULT_BLOCK_BYTES)))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+    return max(1, -(-rows // max(1, per)), -(-(size or 0) // max(1, most)))
 
 
 def _small(offsets: DataFrame, n: int) -> DataFrame:
@@ -153,26 +172,25 @@ def keyed_row_number(df: DataFrame, keys: Sequence[str], order_by: Sequence, nam
 
     Same result as ``row_number() over (partition by keys order by order_by)``
     but a hot key is split over many blocks (see module doc).  The big side
-    is shuffled twice (range, then hash on (key, block)); the per-block
-    summary is aggregated from the windowed rows, whose partitioning already
-    clusters (key, block), so it adds no exchange of the big side.
+    is shuffled once: its blocks are sorted before they are pinned, so a row's
+    position in its (key, block) is its distance from the first one's id, and
+    the carry (at most #keys + #blocks rows, written so that their number is
+    known) is all that is joined to it.
     """
     keys = list(keys)
-    b = with_blocks(df, keys, order_by, n)
-    local = Window.partitionBy(*keys, BLK).orderBy(*_cols(order_by))
-    scanned = b.withColumn("__lrn", F.row_number().over(local).cast("long"))
-    summary = scanned.groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("__cnt"))
-    carry = summary.select(
-        *keys, BLK,
-        F.coalesce(
-            F.sum("__cnt").over(Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("__carry"),
-    )
-    out = _with_carry(scanned, carry, keys).withColumn(
-        name, (F.col("__lrn") + F.coalesce(F.col("__carry"), F.lit(0))).cast("long")
+    n = num_blocks(df.sparkSession, n, df)
+    by = _cols([*keys, *order_by])
+    b = _pin(
+        df.repartitionByRange(n, *by)
+        .sortWithinPartitions(*by)
+        .withColumn("__mid", F.monotonically_increasing_id())
+        .withColumn(BLK, F.shiftright(F.col("__mid"), _LOCAL_BITS))
     )
-    return out.drop("__lrn", "__carry", BLK)
+    summary = b.groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first"))
+    before = F.sum("__cnt").over(Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1))
+    carry = _pin(summary.select(*keys, BLK, (F.coalesce(before, F.lit(0)) - F.col("__first") + F.lit(1)).alias("__carry")))
+    out = _with_carry(b, _small(carry, carry.count()), keys).withColumn(name, (F.col("__mid") + F.col("__carry")).cast("long"))
+    return out.drop("__mid", "__carry", BLK)
 
 
 def keyed_running_max_before(df: DataFrame, keys: Sequence[str], order_by: Sequence, value: Column,
