@@ -124,9 +124,9 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, split = vocabulary, regex.compile(pattern)
-        self.pieces = Recent(vocabulary.encode_piece, 100_000)
+        self.pieces = Recent(vocabulary.encode_piece, 200_000)
         self.split = split.findall
-        self.chunks = Recent(self._chunk)
+        self.chunks = Recent(self._chunk, 400_000)
 
     def _pieces(self, text: str) -> bytes:
         return b"".join([self.pieces[p] for p in self.split(text)])
