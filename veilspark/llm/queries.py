@@ -15,9 +15,9 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoded_digests(docs: DataFrame) -> DataFrame:
+def encoded_digests(docs: DataFrame, remembered: int = 400_000) -> DataFrame:
     """Per document: number of ids, SHA-256 of the ids and of the decoded bytes."""
-    out = bpe.encode_decode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
+    out = bpe.encode_decode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN, remembered=remembered)
     return out.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
