@@ -100,3 +100,42 @@ def test_odd_rows(spark):
     check(spark, odd(spark), 2_000_000)
     assert len(odd_rows()) == store.read(spark, store.write(odd(spark), TOKENIZER, block_ids=1)).count()
     assert store.read(spark, store.write(empty(spark), TOKENIZER)).collect() == []
+
+
+def plain_rounds(ids, base, round_pairs, least):
+    """Re-Pair rounds over lists, every pair counted again in each."""
+    seq, rules = list(ids), []
+    while True:
+        counts = {}
+        for pair in zip(seq, seq[1:]):  # noqa: B905
+            counts[pair] = counts.get(pair, 0) + 1
+        begins, ends, taken = set(), set(), {}
+        for a, b in sorted((p for p in counts if counts[p] >= least), key=lambda p: (-counts[p], p))[: 2 * round_pairs]:
+            if len(taken) < round_pairs and not (a in ends or b in begins or a == b and (a in begins or a in ends)):
+                begins.add(a)
+                ends.add(b)
+                taken[a, b] = base + len(rules) + len(taken)
+        if not taken:
+            return rules, seq
+        out, i = [], 0
+        while i < len(seq):
+            made = taken.get(tuple(seq[i : i + 2]))
+            out.append(seq[i] if made is None else made)
+            i += 1 if made is None else 2
+        seq, rules = out, [*rules, *taken]
+
+
+def test_rounds_look_again_only_where_a_pair_may_be_frequent(monkeypatch):
+    rng = np.random.default_rng(5)
+    for base in (7, 1 << 28):  # pair and place fit in one number, or not
+        for _ in range(150):
+            ids = rng.integers(0, rng.integers(1, 7), rng.integers(0, 400)).astype(np.uint32) + np.uint32(base - 7)
+            pairs, least = int(rng.integers(1, 4)), int(rng.integers(2, 9))
+            rules, symbols = store.compress(ids, base, pairs, least)
+            assert ([tuple(r) for r in rules.tolist()], symbols.tolist()) == plain_rounds(ids.tolist(), base, pairs, least)
+    sorted_, sort = [], np.sort
+    monkeypatch.setattr(np, "sort", lambda x: sorted_.append(len(x)) or sort(x))
+    passage = rng.integers(0, 50_000, 200)
+    ids = np.concatenate([np.concatenate((passage, rng.integers(0, 50_000, 800))) for _ in range(100)]).astype(np.uint32)
+    store.compress(ids, 50_257)
+    assert len(sorted_) > 3 and sum(sorted_) < 2 * len(ids)

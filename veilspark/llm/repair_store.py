@@ -142,44 +142,53 @@ def compress(ids: np.ndarray, base: int, round_pairs: int = 20_000, least: int =
     Rounds go on until no pair is found ``least`` times (overlapping places of one symbol twice count once each).
     """
     seq, rules = ids.astype(np.uint32), []
-    while len(seq) > 1:
-        kind, shift = (np.uint32, 16) if base + len(rules) + round_pairs <= 1 << 16 else (np.uint64, 32)
-        keys = seq[:-1].astype(kind) << kind(shift) | seq[1:].astype(kind)
-        ordered = np.sort(keys)
-        cuts = np.concatenate(([0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1))
-        pairs, counts = ordered[cuts], np.diff(cuts, append=len(ordered))
-        often = np.flatnonzero(counts >= least)
-        often = often[np.argsort(-counts[often], kind="stable")][: 2 * round_pairs]
-        begins, ends, taken = set(), set(), []
-        for pair in pairs[often].tolist():
+    live = np.arange(max(0, len(seq) - 1))  # places whose pair may be frequent: it was in the last round, or touches a new symbol
+    while len(live):
+        shift, wide = (base + len(rules)).bit_length(), len(seq).bit_length()
+        keys = seq[live].astype(np.uint64) << np.uint64(shift) | seq[live + 1]
+        if 2 * shift + wide <= 64:  # pair and place in one number
+            keys = np.sort(keys << np.uint64(wide) | live.astype(np.uint64))
+            place, keys = (keys & np.uint64((1 << wide) - 1)).astype(np.int64), keys >> np.uint64(wide)
+        else:
+            order = np.argsort(keys, kind="stable")
+            place, keys = live[order], keys[order]
+        cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+        counts = np.diff(cuts, append=len(keys))
+        often = counts >= least
+        place, pairs, counts = place[np.repeat(often, counts)], keys[cuts[often]], counts[often]
+        order = np.argsort(-counts, kind="stable")[: 2 * round_pairs]
+        begins, ends, taken, chosen = set(), set(), [], []
+        for i, pair in zip(order.tolist(), pairs[order].tolist(), strict=True):
             a, b = pair >> shift, pair & ((1 << shift) - 1)
             if a in ends or b in begins or a == b and (a in begins or a in ends):
                 continue
             begins.add(a)
             ends.add(b)
-            taken.append(pair)
+            taken.append((a, b))
+            chosen.append(i)
             if len(taken) == round_pairs:
                 break
         if not taken:
             break
-        top = base + len(rules) + len(taken)
-        begin, end = np.zeros(top, bool), np.zeros(top, bool)
-        begin[list(begins)], end[list(ends)] = True, True
-        at = np.flatnonzero(begin[seq[:-1]] & end[seq[1:]])
-        key = keys[at]
-        order = np.argsort(np.array(taken, kind))
-        known = np.array(taken, kind)[order]
-        found = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        good = known[found] == key
-        at, found = at[good], found[good]
+        symbol = np.zeros(len(pairs), np.uint32)
+        symbol[chosen] = base + len(rules) + np.arange(len(taken))
+        made = np.zeros(len(seq), np.uint32)
+        made[place] = np.repeat(symbol, counts)
+        at = np.flatnonzero(made)
         # In a run of one symbol every second place from its first is taken; other pairs can't touch.
         run = np.concatenate(([0], np.cumsum(np.diff(at) != 1)))
         first = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1))
-        keep = (np.arange(len(at)) - first[run]) % 2 == 0 if len(at) else at.astype(bool)
-        at, found = at[keep], found[keep]
-        seq[at] = (base + len(rules) + order[found]).astype(np.uint32)
-        seq = np.delete(seq, at + 1)
-        rules += [(p >> shift, p & ((1 << shift) - 1)) for p in taken]
+        keep = (np.arange(len(at)) - first[run]) % 2 == 0
+        at = at[keep]
+        seq[at] = made[at]
+        # No pair of old symbols gets more frequent, so other places need no second look.
+        look = np.zeros(len(seq), bool)
+        look[place] = look[at] = look[np.maximum(at - 1, 0)] = True
+        stay = np.ones(len(seq), bool)
+        stay[at + 1] = False
+        seq, look = seq[stay], look[stay]
+        live = np.flatnonzero(look[:-1])
+        rules += taken
     return np.array(rules, np.uint32).reshape(-1, 2), seq
 
 
@@ -274,7 +283,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col:
 
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
-            for piece in slices(batch, 1, 4 << 20):
+            for piece in slices(batch, 1, 8 << 20):
                 encoded = encoder.encode(piece.column(1))
                 for doc, ids in zip(piece.column(0).to_pylist(), encoded, strict=True):
                     doc_ids.append(doc)
