@@ -139,3 +139,50 @@ def test_rounds_look_again_only_where_a_pair_may_be_frequent(monkeypatch):
     ids = np.concatenate([np.concatenate((passage, rng.integers(0, 50_000, 800))) for _ in range(100)]).astype(np.uint32)
     store.compress(ids, 50_257)
     assert len(sorted_) > 3 and sum(sorted_) < 2 * len(ids)
+
+
+def test_every_word_is_merged_once_and_the_library_has_the_rest(monkeypatch):
+    encoder, merged, given = store.Encoder(TOKENIZER), [], []
+    merge, ids = encoder.merges.encode_raw, encoder._ids
+    monkeypatch.setattr(encoder.merges, "encode_raw", lambda raw, size: merged.append((bytes(raw), size.tolist())) or merge(raw, size))
+    monkeypatch.setattr(encoder, "_ids", lambda texts: given.extend(texts) or ids(texts))
+    texts = ["abendt abendt. abendt###\nabendt!! Éauxé&&& Éauxé", "x1 abendt,", None, "it's abendt%%% \U0001f642"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer().encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert encoder.encode(pa.array(texts)) == want
+    assert merged == [("abendt abendt Éauxé".encode(), [6, 7, 8])]
+    assert given == [".", "###", "!!", "&&&", ",", "%%%", "x1", "it's", " \U0001f642", ""]
+    # Only the library's chunks are remembered.
+    assert sorted(encoder.chunks) == ["\nit's", "\nx1", "\U0001f642"]
+
+
+def test_letters_and_what_follows_them():
+    latin = [chr(c) for c in range(0x80, 0x260) if chr(c).isprintable()]
+    tails = [*store.TAIL, "'", "'s", "''", "_a", "\x7f", "\x00", ".'re", "!?", "\u00b7", "\u2026", "1", "#1", "\u0301"]
+    texts = [f"{x}{t} a{x}{t}\nb{x}{t}c" for x in latin for t in (".", "'s", "##")] + [f"word{t} \n é{t}\n{t}x {t}\ny{t}" for t in tails]
+    texts += ["a" * n + "." for n in range(55, 75)] + ["é" * n + ",\n" + "é" * n for n in range(25, 40)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
+    assert store.load(TOKENIZER).encode(pa.array(texts)) == want
+
+
+def test_words_of_all_sizes_are_merged_like_the_library(monkeypatch):
+    rng = random.Random(6)
+    words = [" " * rng.randint(0, 1) + "".join(rng.choice("aetnshrdlé") for _ in range(rng.choice([1, 2, 4, 7, 8, 9, 20, 150]))) for _ in range(3000)]
+    words = ["".join(w) for w in dict.fromkeys(words)]
+    want = [np.array(e.ids) for e in tokenizer().encode_batch(words, add_special_tokens=False)]
+    for together in (1, 37, 1 << 15):  # columns of one size only, or joined by longer words
+        monkeypatch.setattr("veilspark.llm.merges.TOGETHER", together)
+        some = slice(0, 200 if together == 1 else None)
+        ids, size = store.Merges(TOKENIZER).encode([w.encode() for w in words[some]])
+        assert size.tolist() == [len(w) for w in want[some]] and (ids == np.concatenate(want[some])).all()
+    assert [len(x) for x in store.Merges(TOKENIZER).encode([])] == [0, 0]
+
+
+def test_rules_are_expanded_together(monkeypatch):
+    rng = np.random.default_rng(7)
+    ids = np.concatenate([rng.integers(0, 60, 40)] * 200 + [rng.integers(0, 60, 50_000)]).astype(np.uint32)
+    rules, symbols = store.compress(ids, 60)
+    assert len(rules) > 1000
+    calls, spread = [], store.spread
+    monkeypatch.setattr(store, "spread", lambda begin, size: calls.append(len(begin)) or spread(begin, size))
+    assert (store.expand(symbols, rules, store.expansion_lengths(rules, 60), 60) == ids).all()
+    assert len(calls) < 40

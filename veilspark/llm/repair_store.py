@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -45,15 +46,34 @@ BLOCK = ("shard int, block int, n_ids long, doc_ids array<long>, doc_sizes array
          "rules binary, lengths binary, symbols binary, width int")
 
 
+#: A word of letters as all Unicode versions have them, what may follow it as one piece, and a chunk of both, after a line end or not.
+LETTERS = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+PLAIN = r"\A\n?" + LETTERS + "[" + re.escape(TAIL) + r"]*\z"
+
+
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``begin`` to ``begin + size`` of each, one after the other."""
+    ends = np.cumsum(size)
+    places = np.repeat(begin - ends + size, size)
+    places += np.arange(len(places))
+    return places
+
+
+def sizes(texts: pa.Array) -> np.ndarray:
+    return pa.compute.binary_length(texts).to_numpy().astype(np.int64)
+
+
 class Encoder:
-    """Texts to ids as the tokenizers library gives them, with the ids of recent chunks remembered.
+    """Texts to ids as the tokenizers library gives them.
 
     The tokenizer's pattern starts a new piece at a single space before a
     non-space, and a single line end between non-spaces is a piece of its own,
     so the ids of what stands between them don't depend on what is around.  A
-    batch looks every distinct chunk up once.  New chunks that are one word of
-    letters, with a full stop or comma at most, are merged together
-    (``merges``); the library encodes other chunks, and whole texts that have other
+    batch looks every distinct chunk up once.  Chunks that are one word of
+    letters, with ASCII punctuation other than an apostrophe at most (one piece), are merged
+    together, each word once in a batch (``merges``); the library encodes other chunks,
+    of which recent ones are remembered, and whole texts that have other
     white space beside a space or line end or may hold an added token's string.
     """
 
@@ -61,8 +81,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Merges(path)
-        self.chunks = Recent(lambda c: self._new([c])[0], 400_000)
-        self.stops = dict(zip(".,", self._ids([".", ","]), strict=True))
+        self.chunks = Recent(lambda c: self._new([c])[0])
+        self.tails = Recent(lambda t: self._ids([t])[0], 10_000)
         (self.line,) = self._ids(["\n"])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -72,22 +92,10 @@ class Encoder:
     def _new(self, chunks: list[str]) -> list[bytes | None]:
         """Ids of a space and each chunk, or of a chunk that begins with a line end; None where what stands around could matter."""
         texts = [c[1:] if c[:1] == "\n" else " " + c for c in chunks]
-        cores = [t[:-1] if t[-1:] in (".", ",") else t for t in texts]
-        bare = [c[1:] if c[:1] == " " else c for c in cores]
-        plain = [b.isalpha() and len(b) <= 64 and (b.isascii() or max(b) < "\u0250") for b in bare]
-        words = list({c: None for c, p in zip(cores, plain, strict=True) if p})
-        ids, size = self.merges.encode([w.encode() for w in words])
-        raw, ends = ids.astype("<u4").tobytes(), (np.cumsum(size) * 4).tolist()
-        made = {w: raw[i:j] for w, i, j in zip(words, [0, *ends], ends)}  # noqa: B905
-        whole = [t for t, b, p in zip(texts, bare, plain, strict=True) if not p]
-        alone = [t.strip(" ") != "" and not t.lstrip(" ")[0].isspace() and not t[-1].isspace() for t in whole]
-        encoded = iter(self._ids([t for t, a in zip(whole, alone, strict=True) if a]))
-        rest = iter([next(encoded) if a else None for a in alone])
-        out = []
-        for c, t, core, p in zip(chunks, texts, cores, plain, strict=True):
-            x = next(rest) if not p else made[core] if core is t else made[core] + self.stops[t[-1]]
-            out.append(x if x is None or c[:1] != "\n" else self.line + x)
-        return out
+        alone = [t.strip(" ") != "" and not t.lstrip(" ")[0].isspace() and not t[-1].isspace() for t in texts]
+        made = iter(self._ids([t for t, a in zip(texts, alone, strict=True) if a]))
+        ids = [next(made) if a else None for a in alone]
+        return [x if x is None or c[:1] != "\n" else self.line + x for c, x in zip(chunks, ids, strict=True)]
 
     def _known(self, chunks: list[str]) -> list[bytes | None]:
         memory = self.chunks
@@ -103,6 +111,43 @@ class Encoder:
         memory.trim()
         return found
 
+    def _words(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, size): ids of chunks that match ``PLAIN``, and where those of each chunk are."""
+        cores = pa.compute.utf8_rtrim(chunks, TAIL)
+        tail_size = sizes(chunks) - sizes(cores)
+        tailed = np.flatnonzero(tail_size)
+        tails = pa.compute.replace_substring_regex(chunks.take(pa.array(tailed)), r"\A\n?" + LETTERS, "").dictionary_encode()
+        lined = pa.compute.starts_with(cores, "\n")
+        words = pa.compute.if_else(lined, pa.compute.utf8_ltrim(cores, "\n"), pa.compute.binary_join_element_wise(" ", cores, ""))
+        words, lined = words.dictionary_encode(), lined.to_numpy(zero_copy_only=False)
+        raw = pa.compute.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary), "")[0]
+        ids, size = self.merges.encode_raw(np.frombuffer(raw.as_buffer(), np.uint8), sizes(words.dictionary))
+        ends = [self.tails[t] for t in tails.dictionary.to_pylist()]
+        ids = np.concatenate((ids.astype("<u4"), np.frombuffer(self.line + b"".join(ends), "<u4")))
+        # Three parts of each chunk: a line end, the word, what follows it.
+        part_begin, part_size = np.zeros((len(chunks), 3), np.int64), np.zeros((len(chunks), 3), np.int64)
+        code = words.indices.to_numpy()
+        part_begin[:, 0], part_size[:, 0] = size.sum(), lined
+        part_begin[:, 1], part_size[:, 1] = (np.cumsum(size) - size)[code], size[code]
+        size = np.fromiter(map(len, ends), np.int64, len(ends)) // 4
+        code = tails.indices.to_numpy()
+        part_begin[tailed, 2], part_size[tailed, 2] = (len(ids) - size.sum() + np.cumsum(size) - size)[code], size[code]
+        size = part_size.sum(axis=1)
+        return ids[spread(part_begin.reshape(-1), part_size.reshape(-1))], np.cumsum(size) - size, size
+
+    def _distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, size, around): ids of distinct chunks, where those of each are, and whether what stands around could matter."""
+        plain = pa.compute.match_substring_regex(chunks, PLAIN)
+        plain = plain.to_numpy(zero_copy_only=False) & (sizes(chunks) <= 64)
+        begin, size, around = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64), np.zeros(len(chunks), bool)
+        ids, begin[plain], size[plain] = self._words(chunks.filter(pa.array(plain)))
+        rest = self._known(chunks.filter(pa.array(~plain)).to_pylist())
+        around[~plain] = [x is None for x in rest]
+        rest = [x or b"" for x in rest]
+        size[~plain] = rest_size = np.fromiter(map(len, rest), np.int64, len(rest)) // 4
+        begin[~plain] = len(ids) + np.cumsum(rest_size) - rest_size
+        return np.concatenate((ids, np.frombuffer(b"".join(rest), "<u4"))), begin, size, around
+
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         if not len(texts):
@@ -114,18 +159,14 @@ class Encoder:
         offsets = offsets - offsets[0]
         distinct = chunks.flatten().dictionary_encode()
         code = distinct.indices.to_numpy()
-        known = self._known(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
-        around = np.fromiter((x is None for x in known), bool, len(known))[code]
+        ids, begin, size, around = self._distinct(distinct.dictionary)
+        around = around[code]
         around[offsets[:-1]] = False
         whole = np.add.reduceat(around, offsets[:-1], dtype=np.int64) > 0
         whole |= pa.compute.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
-        ids = [x or b"" for x in known]
-        joined = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin, length = np.cumsum(size) - size, size[code]
-        ends = np.concatenate(([0], np.cumsum(length)))
-        flat = joined[np.repeat(begin[code] - ends[:-1], length) + np.arange(ends[-1])]
-        at = ends[offsets]
+        length = size[code]
+        at = np.concatenate(([0], np.cumsum(length)))[offsets]
+        flat = ids[spread(begin[code], length)]
         rest = iter(self._ids(texts.filter(pa.array(whole)).to_pylist()))
         return [next(rest) if w else flat[i + 1 : j].tobytes() for w, i, j in zip(whole.tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
@@ -145,10 +186,15 @@ def compress(ids: np.ndarray, base: int, round_pairs: int = 20_000, least: int =
     live = np.arange(max(0, len(seq) - 1))  # places whose pair may be frequent: it was in the last round, or touches a new symbol
     while len(live):
         shift, wide = (base + len(rules)).bit_length(), len(seq).bit_length()
-        keys = seq[live].astype(np.uint64) << np.uint64(shift) | seq[live + 1]
+        keys = (seq[:-1] if len(live) == len(seq) - 1 else seq[live]).astype(np.uint64)
+        keys <<= np.uint64(shift)
+        keys |= seq[1:][live]
         if 2 * shift + wide <= 64:  # pair and place in one number
-            keys = np.sort(keys << np.uint64(wide) | live.astype(np.uint64))
-            place, keys = (keys & np.uint64((1 << wide) - 1)).astype(np.int64), keys >> np.uint64(wide)
+            keys <<= np.uint64(wide)
+            keys |= live.view(np.uint64)
+            keys = np.sort(keys)
+            place = (keys & np.uint64((1 << wide) - 1)).view(np.int64)
+            keys >>= np.uint64(wide)
         else:
             order = np.argsort(keys, kind="stable")
             place, keys = live[order], keys[order]
@@ -174,12 +220,13 @@ def compress(ids: np.ndarray, base: int, round_pairs: int = 20_000, least: int =
         symbol[chosen] = base + len(rules) + np.arange(len(taken))
         made = np.zeros(len(seq), np.uint32)
         made[place] = np.repeat(symbol, counts)
-        at = np.flatnonzero(made)
-        # In a run of one symbol every second place from its first is taken; other pairs can't touch.
-        run = np.concatenate(([0], np.cumsum(np.diff(at) != 1)))
-        first = np.concatenate(([0], np.flatnonzero(np.diff(run)) + 1))
-        keep = (np.arange(len(at)) - first[run]) % 2 == 0
-        at = at[keep]
+        at = np.flatnonzero(made != 0)
+        near = np.diff(at) == 1
+        if near.any():
+            # In a run of one symbol every second place from its first is taken; other pairs can't touch.
+            run = np.concatenate(([0], np.cumsum(~near)))
+            first = np.concatenate(([0], np.flatnonzero(~near) + 1))
+            at = at[(np.arange(len(at)) - first[run]) % 2 == 0]
         seq[at] = made[at]
         # No pair of old symbols gets more frequent, so other places need no second look.
         look = np.zeros(len(seq), bool)
@@ -201,24 +248,33 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
     """The token ids that ``symbols`` stand for."""
-    flat = np.empty(int(lengths.sum()), np.uint32)
-    begin = (np.cumsum(lengths, dtype=np.int64) - lengths) if len(lengths) else np.zeros(0, np.int64)
-    for r, (a, b) in enumerate(rules.tolist()):
-        at = begin[r]
-        for x in (a, b):
-            n = int(lengths[x - base]) if x >= base else 1
-            flat[at : at + n] = flat[begin[x - base] : begin[x - base] + n] if x >= base else x
-            at += n
+    lengths = lengths.astype(np.int64)
+    begin, total = np.cumsum(lengths) - lengths, int(lengths.sum())
+    # Where each part of a rule stands: in the expansion of its own rule, or by itself after all of them.
+    parts = rules.astype(np.int64)
+    rule = parts >= base
+    part_begin, part_size = total + np.arange(parts.size).reshape(-1, 2), np.ones(parts.shape, np.int64)
+    part_begin[rule], part_size[rule] = begin[parts[rule] - base], lengths[parts[rule] - base]
+    flat = np.concatenate((np.zeros(total, np.uint32), rules.reshape(-1).astype(np.uint32)))
+    needs, done = np.where(rule, parts - base, len(rules)), np.zeros(len(rules) + 1, bool)
+    done[-1] = True
+    left = np.arange(len(rules))
+    while len(left):  # all rules whose parts are written
+        ready = done[needs[left]].all(axis=1)
+        now, left = left[ready], left[~ready]
+        if not len(now):
+            raise ValueError("rules stand for one another")
+        flat[spread(begin[now], lengths[now])] = flat[spread(part_begin[now].reshape(-1), part_size[now].reshape(-1))]
+        done[now] = True
     rule = symbols >= base
     size = np.ones(len(symbols), np.int64)
     size[rule] = lengths[symbols[rule] - base]
     # Terminals come after the flat expansions, one for each place.
-    source = np.concatenate((flat, symbols[~rule].astype(np.uint32)))
+    source = np.concatenate((flat[:total], symbols[~rule].astype(np.uint32)))
     first = np.empty(len(symbols), np.int64)
     first[rule] = begin[symbols[rule] - base]
-    first[~rule] = len(flat) + np.arange(int((~rule).sum()))
-    done = np.cumsum(size) - size
-    return source[np.repeat(first - done, size) + np.arange(int(size.sum()))]
+    first[~rule] = total + np.arange(int((~rule).sum()))
+    return source[spread(first, size)]
 
 
 class Block:
